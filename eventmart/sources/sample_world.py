@@ -55,7 +55,7 @@ SELECT event_id, event_type, server_id, shard_seq, ts, late_clock,
               || CASE event_type
                    WHEN 'level_up' THEN ', "new_level": '
                         || CASE WHEN event_id % 61 = 0 THEN 0 ELSE user_id % 30 + day(ts) END
-                        || ', "xp_total": ' || (user_id % 30 + day(ts)) * 100 + k
+                        || ', "xp_total": ' || ((user_id % 30 + day(ts)) * 100 + k)
                    WHEN 'xp_gained' THEN ', "encounter_id": "enc_' || event_id || '", "creature_id": "crt_' || k
                         || '", "xp_amount": ' || amount || ', "xp_total": "' || k * 1000 || '"'
                    WHEN 'gold_credited' THEN ', "encounter_id": "enc_' || event_id || '", "creature_id": "crt_' || k
@@ -65,7 +65,7 @@ SELECT event_id, event_type, server_id, shard_seq, ts, late_clock,
                    ELSE ', "item_instance_id": "itm_' || event_id || '", "item_template_id": '
                         || CASE WHEN event_id % 31 = 0 THEN 'null' ELSE '"tpl_' || k || '"' END
                         || ', "assigned_character_id": "chr_' || user_id || '", "items_given": ["itm_'
-                        || k || '", "itm_' || k + 1 || '"]'
+                        || k || '", "itm_' || (k + 1) || '"]'
                  END || '}' END AS body
 FROM arrived"""
 VIEWS["raw_events"] = """
