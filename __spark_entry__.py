@@ -26,7 +26,7 @@ from eventmart.plans.staging import stg_events  # noqa: E402
 from eventmart.plans.warehouse import Warehouse  # noqa: E402
 from eventmart.session import apply_settings, shared_folder  # noqa: E402
 from eventmart.sources import landing  # noqa: E402
-from eventmart.sources.sample_world import view  # noqa: E402
+from eventmart.sources.sample_world import sample_table, view  # noqa: E402
 from eventmart.streaming import jobs  # noqa: E402
 from oracle_statements import ORACLES  # noqa: E402
 
@@ -56,8 +56,16 @@ def plain(df: DataFrame, *names: str) -> DataFrame:
     return chosen.select(*[lowered(f) for f in chosen.schema.fields])
 
 
+_stored: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class World:
-    """The sample data as raw tables and cleaned feeds, opened on demand."""
+    """The sample data as raw tables, cleaned feeds and models, opened on demand.
+
+    Models that others build on are stored as Parquet in the cluster's shared folder, once per
+    application and data folder. Queries then start from a table, not from a lineage that every
+    reference would repeat and a lost executor would recompute.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = apply_settings(spark), sf_dir
@@ -65,25 +73,32 @@ class World:
     def __getattr__(self, name: str) -> DataFrame:
         return view(self.spark, self.sf_dir, name)
 
-    # models on top of the raw deliveries
+    def stored(self, name: str, build: Callable[[], DataFrame], partition_by: str | None = None) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _stored:
+            _stored[key], _ = landing.materialize(build(), self.scratch(f"model-{name}"), partition_by)
+        return _stored[key]
+
+    # models on top of the raw deliveries and the feeds
     def stg(self) -> DataFrame:
-        return stg_events(self.raw_events, self.clock_corrections)
+        return self.stored("stg", lambda: stg_events(self.raw_events, self.clock_corrections), "event_type")
 
     def timed(self) -> DataFrame:
         return quality.clock_correct(quality.dedup_first(self.raw_events), self.clock_corrections)
 
     def levels(self) -> DataFrame:
-        return history.level_history(self.level_ups, self.characters)
+        return self.stored("levels", lambda: history.level_history(self.level_ups, self.characters))
 
     def item_log(self) -> DataFrame:
         trade = F.col("event_type") == "trade_completed"
         return self.moves_log.withColumn("items_given", F.when(trade, F.array("item_instance_id")))
 
     def custody(self) -> DataFrame:
-        return history.custody_chain(history.item_moves(self.item_log()))
+        return self.stored("custody", lambda: history.custody_chain(history.item_moves(self.item_log())))
 
     def damage(self) -> DataFrame:
-        return rules.damage_hits(self.hits, self.characters, self.abilities, self.levels(), self.gear_score_caps)
+        return self.stored("damage", lambda: rules.damage_hits(
+            self.hits, self.characters, self.abilities, self.levels(), self.gear_score_caps))
 
     # rules, with thresholds that suit the pace of the sample data
     def r(self, rule: str) -> DataFrame:
@@ -105,10 +120,11 @@ class World:
 
     def found(self, *ids: str) -> DataFrame:
         """Violations of the given rules."""
-        return findings.violations([self.r(i) for i in ids], findings.rule_catalogue(self.spark), self.characters)
+        each = [self.stored(i, lambda i=i: self.r(i)) for i in ids]
+        return findings.violations(each, findings.rule_catalogue(self.spark), self.characters)
 
     def offenders(self) -> DataFrame:
-        return findings.offenders(self.found("R03", "R04", "R08", "R11"))
+        return self.stored("offenders", lambda: findings.offenders(self.found("R03", "R04", "R08", "R11")))
 
     # marts
     def dates(self) -> DataFrame:
@@ -120,11 +136,12 @@ class World:
         return facts.fct_sessions(self.logins)
 
     def people(self) -> DataFrame:
-        return dims.dim_character(self.characters, self.accounts, self.classes, self.offenders())
+        return self.stored("people", lambda: dims.dim_character(
+            self.characters, self.accounts, self.classes, self.offenders()))
 
     def fights(self) -> DataFrame:
         log = self.fight_log.withColumn("opponent_character_ids", F.lit(None).cast("array<string>"))
-        return facts.encounter_participation(log, self.creatures, self.levels())
+        return self.stored("fights", lambda: facts.encounter_participation(log, self.creatures, self.levels()))
 
     def ledger(self) -> DataFrame:
         return facts.fct_gold_ledger(self.economy, self.item_templates)
@@ -139,7 +156,8 @@ class World:
         return facts.fct_subzone_activity(self.presence, self.zone_dim())
 
     def gear(self) -> DataFrame:
-        return facts.fct_character_gear(self.people(), self.item_instances, self.item_templates, self.gear_score_caps)
+        return self.stored("gear", lambda: facts.fct_character_gear(
+            self.people(), self.item_instances, self.item_templates, self.gear_score_caps))
 
     def awards(self) -> DataFrame:
         xp = self.ev.where("kind = 'click'").select(
@@ -264,7 +282,7 @@ def recover_attribute(w: World) -> DataFrame:
 
 @query
 def seq_gaps(w: World) -> DataFrame:
-    return plain(quality.seq_gaps(w.timed()))
+    return plain(quality.seq_gaps(w.stg()))
 
 
 @query
@@ -280,7 +298,7 @@ def dq_summary(w: World) -> DataFrame:
 
 @query
 def shard_quality(w: World) -> DataFrame:
-    q = quality.shard_quality(w.raw_events, w.timed())
+    q = quality.shard_quality(w.raw_events, w.stg())
     return plain(q.withColumn("mean_delay_ms", F.round("mean_delay_ms", 3)), "server_id", "rows", "unique_events",
                  "extra_rows", "gaps", "lost_events", "largest_gap", "longest_delay_ms", "mean_delay_ms")
 
@@ -322,11 +340,13 @@ STG_COLUMNS = [
     "account_id", "slot", "is_soulbound", "expires_at_raw", "numeric_repair", "body_raw"]
 
 
-@query
-def stg_events_table(w: World) -> DataFrame:
+def _stg_table(w: World) -> DataFrame:
     return plain(w.stg(), *STG_COLUMNS)
 
 
+REGISTRY["stg_events"] = _stg_table
+
+
 @query
 def level_history(w: World) -> DataFrame:
     return plain(dims.dim_character_level(w.levels()))
@@ -650,7 +670,7 @@ def chain_complete(w: World) -> DataFrame:
         "event_id", F.concat(F.lit("sev_"), "event_id").alias("server_event_id"), F.col("kind").alias("event_type"),
         F.col("ts").alias("event_ts_utc"), fc.text_of("chr_", F.col("user_id")).alias("character_id"),
         fc.text_of("shard-0", F.col("event_id") % 3 + 1).alias("server_id"))
-    gaps = quality.gap_edges(w.timed())
+    gaps = quality.gap_edges(w.stg())
     return plain(checks.chain_completeness(log, ["click", "view", "error"], gaps, max_seconds=2 * DAY),
                  "event_id", "character_id", "complete", "excused", "seconds")
 
@@ -785,11 +805,9 @@ def fight_speed(w: World) -> DataFrame:
 
 def _stream(w: World, name: str) -> DataFrame:
     """A view over the events file read as a stream."""
-    schema = w.spark.read.parquet(f"{w.sf_dir}/events.parquet").schema
+    schema = sample_table(w.spark, w.sf_dir, "events").schema
     source = w.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(w.sf_dir)
-    relation = f"stream_{name}"
-    source.createOrReplaceTempView(relation)
-    return view(w.spark, w.sf_dir, name, {"events": relation})
+    return view(w.spark, w.sf_dir, name, source)
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.functions.columns import bracket_min
+from eventmart.functions.columns import bracket_min, text_of
 
 
 def dim_date(bounds: DataFrame, start: str, end: str, release: Column | None = None) -> DataFrame:
@@ -49,7 +49,7 @@ def dim_character(characters: DataFrame, accounts: DataFrame, classes: DataFrame
 
 
 def dim_character_level(levels: DataFrame) -> DataFrame:
-    label = F.concat_ws("-", F.col("bracket_min_level").cast("string"), F.col("bracket_max_level").cast("string"))
+    label = text_of(F.col("bracket_min_level"), "-", F.col("bracket_max_level"))
     return levels.select("character_id", "level", "valid_from", "valid_to", "bracket_min_level",
                          "bracket_max_level", label.alias("bracket_label"))
 

@@ -55,17 +55,17 @@ def violations(findings: Iterable[DataFrame], catalogue: DataFrame, characters:
     `violation_id` is the position in time order and changes when rules change;
     `violation_key` is a hash of what was found and does not.
     """
-    found = reduce(DataFrame.unionByName, findings)
     rules = catalogue.select("rule_id", "rule_name", "category", "severity", "rulebook_section")
-    actors = characters.select(F.col("character_id").alias("_actor"), "account_id", "faction", "class_id")
-    full = (found.join(F.broadcast(rules), "rule_id")  # as many rows as there are rules
-                 .join(actors, F.col("character_id") == F.col("_actor"), "left")
-                 .withColumn("character_known", F.col("_actor").isNotNull()).drop("_actor")
-                 .withColumn("violation_key", F.sha2(F.concat_ws("|", "rule_id", F.concat_ws(
-                     ",", F.col("evidence_event_ids").cast("array<string>")), "detail"), 256)))
+    found = (reduce(DataFrame.unionByName, findings)
+             .join(F.broadcast(rules), "rule_id"))  # as many rows as there are rules
     order = ["occurred_at", "rule_id", "character_id", "evidence_event_ids", "detail"]
     slices = [time_slice("occurred_at", slice_seconds)]
-    numbered = number_globally(full, order, slices, "violation_id")
+    actors = characters.select(F.col("character_id").alias("_actor"), "account_id", "faction", "class_id")
+    ids = F.concat_ws(",", F.col("evidence_event_ids").cast("array<string>"))
+    numbered = (number_globally(found, order, slices, "violation_id")
+                .join(actors, F.col("character_id") == F.col("_actor"), "left")
+                .withColumn("character_known", F.col("_actor").isNotNull())
+                .withColumn("violation_key", F.sha2(F.concat_ws("|", "rule_id", ids, "detail"), 256)))
     return numbered.select(
         "violation_id", "violation_key", "rule_id", "rule_name", "category", "severity", "rulebook_section",
         "character_id", "account_id", "faction", "class_id", "occurred_at", "encounter_id", "detail",

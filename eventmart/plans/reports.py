@@ -44,7 +44,7 @@ def weekly_pattern(dates: DataFrame, sessions: DataFrame, before: Column | None
 
 
 def bracket_label(low: str) -> Column:
-    return F.concat_ws("-", F.col(low).cast("string"), (F.col(low) + 9).cast("string"))
+    return text_of(F.col(low), "-", F.col(low) + 9)
 
 
 def population(characters: DataFrame) -> DataFrame:
@@ -71,7 +71,7 @@ def looted_by_rarity(loot: DataFrame, rarities: Sequence[str] = RARITIES) -> Dat
     """Items looted per day, one column per rarity, 0 where none."""
     rarity = F.coalesce("rarity", F.lit("unknown")).alias("rarity")
     return (loot.select("loot_date", rarity).groupBy("loot_date").pivot("rarity", list(rarities))
-                .agg(F.count("*")).fillna(0, list(rarities)).orderBy("loot_date"))
+                .agg(F.count(F.lit(1))).fillna(0, list(rarities)).orderBy("loot_date"))
 
 
 def heatmap(activity: DataFrame, zones: DataFrame) -> DataFrame:

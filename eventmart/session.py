@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -35,18 +37,19 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
+    """The folder all executors can reach, as the cluster names it in `spark.checkpoint.dir`.
 
-    Only a session without `spark.checkpoint.dir` (a test on one machine) gets a
-    fresh local folder, which is then recorded in the session.
+    Only where that is unset (a test on one machine) a fresh local folder is used.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        import tempfile
-
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="eventmart-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        folder = _own_folders.setdefault(app, "") or tempfile.mkdtemp(prefix="eventmart-")
+        _own_folders[app] = folder
     return folder.rstrip("/")

@@ -371,7 +371,28 @@ def with_clause(names: list[str], tables: dict[str, str] | None = None) -> str:
     return "WITH " + ",\n".join(parts)
 
 
-def view(spark: SparkSession, sf_dir: str, name: str, tables: dict[str, str] | None = None) -> DataFrame:
-    """A view over the Parquet files of one data folder (or over other relations, such as a stream)."""
-    files = {t: f"parquet.`{sf_dir.rstrip('/')}/{t}.parquet`" for t in SAMPLE_TABLES}
-    return spark.sql(f"{with_clause([name], {**files, **(tables or {})})}\nSELECT * FROM {name}")
+_opened: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def sample_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One sample table; its file is listed and its schema read once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _opened:
+        _opened[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _opened[key]
+
+
+def view(spark: SparkSession, sf_dir: str, name: str, stream: DataFrame | None = None) -> DataFrame:
+    """A view over the sample tables of one folder; `stream` replaces the events table."""
+    key = (spark.sparkContext.applicationId, sf_dir, f"view {name}")
+    if stream is None and key in _opened:
+        return _opened[key]
+    used = [n for n in dependencies(name) if n not in VIEWS]
+    relations = {n: f"sample_{n}" for n in used}
+    for n in used:
+        table = stream if stream is not None and n == "events" else sample_table(spark, sf_dir, n)
+        table.createOrReplaceTempView(relations[n])
+    df = spark.sql(f"{with_clause([name], relations)}\nSELECT * FROM {name}")
+    if stream is None:
+        _opened[key] = df
+    return df
