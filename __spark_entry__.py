@@ -20,6 +20,7 @@ from pyspark.sql import types as T  # noqa: E402
 from eventmart.functions import columns as fc  # noqa: E402
 from eventmart.functions.bodies import json_list_sum, parse_body, text_list  # noqa: E402
 from eventmart.operators import history, quality  # noqa: E402
+from eventmart.operators.ordered import HotKeys, measure_hot_keys  # noqa: E402
 from eventmart.operators.asof import asof_interval_join, asof_join, bracket_join  # noqa: E402
 from eventmart.plans import checks, dims, facts, findings, reports, rules  # noqa: E402
 from eventmart.plans.staging import stg_events  # noqa: E402
@@ -56,6 +57,7 @@ def plain(df: DataFrame, *names: str) -> DataFrame:
     return chosen.select(*[lowered(f) for f in chosen.schema.fields])
 
 
+_hot: dict[tuple[str, str, str], HotKeys] = {}
 _stored: dict[tuple[str, str, str], DataFrame] = {}
 
 
@@ -83,34 +85,48 @@ class World:
     def stg(self) -> DataFrame:
         return self.stored("stg", lambda: stg_events(self.raw_events, self.clock_corrections), "event_type")
 
+    def hot(self, feed: str, key: str) -> HotKeys:
+        """The hot keys of a feed, measured once; they serve every part of the feed."""
+        name = (self.spark.sparkContext.applicationId, self.sf_dir, f"{feed} {key}")
+        if name not in _hot:
+            _hot[name] = measure_hot_keys(getattr(self, feed), [key], self.scratch(f"hot-{feed}"))
+        return _hot[name]
+
+    def hot_actors(self) -> HotKeys:
+        """Characters with very many events: all feeds of single events are parts of `ev`."""
+        return self.hot("actors", "character_id")
+
     def timed(self) -> DataFrame:
         return quality.clock_correct(quality.dedup_first(self.raw_events), self.clock_corrections)
 
     def levels(self) -> DataFrame:
-        return self.stored("levels", lambda: history.level_history(self.level_ups, self.characters))
+        return self.stored("levels", lambda: history.level_history(
+            self.level_ups, self.characters, hot=self.hot_actors()))
 
     def item_log(self) -> DataFrame:
         trade = F.col("event_type") == "trade_completed"
         return self.moves_log.withColumn("items_given", F.when(trade, F.array("item_instance_id")))
 
     def custody(self) -> DataFrame:
-        return self.stored("custody", lambda: history.custody_chain(history.item_moves(self.item_log())))
+        return self.stored("custody", lambda: history.custody_chain(
+            history.item_moves(self.item_log()), hot=self.hot("moves_log", "item_instance_id")))
 
     def damage(self) -> DataFrame:
         return self.stored("damage", lambda: rules.damage_hits(
-            self.hits, self.characters, self.abilities, self.levels(), self.gear_score_caps))
+            self.hits, self.characters, self.abilities, self.levels(), self.gear_score_caps, hot=self.hot_actors()))
 
     # rules, with thresholds that suit the pace of the sample data
     def r(self, rule: str) -> DataFrame:
         return {
             "R01": lambda: rules.burst_damage(self.damage()),
-            "R02": lambda: rules.item_duplication(self.custody()),
-            "R03": lambda: rules.equip_stacking(self.equips, max_seconds=DAY),
-            "R04": lambda: rules.speed_hack(self.visits, self.zone_adjacency),
-            "R05": lambda: rules.gear_above_level(self.equips, self.item_templates, self.levels()),
+            "R02": lambda: rules.item_duplication(self.custody(), hot=self.hot("moves_log", "item_instance_id")),
+            "R03": lambda: rules.equip_stacking(self.equips, max_seconds=DAY, hot=self.hot_actors()),
+            "R04": lambda: rules.speed_hack(self.visits, self.zone_adjacency, hot=self.hot_actors()),
+            "R05": lambda: rules.gear_above_level(self.equips, self.item_templates, self.levels(), hot=self.hot_actors()),
             "R06": lambda: rules.hit_above_max(self.damage()),
-            "R07": lambda: rules.ability_cooldown(self.uses, self.abilities, global_seconds=3600),
-            "R08": lambda: rules.reuse_within(self.amulets, seconds=6 * 3600),
+            "R07": lambda: rules.ability_cooldown(self.uses, self.abilities, global_seconds=3600,
+                                                  hot=self.hot_actors()),
+            "R08": lambda: rules.reuse_within(self.amulets, seconds=6 * 3600, hot=self.hot_actors()),
             "R09": lambda: rules.bound_item_moved(self.custody(), self.moves_log),
             "R10": lambda: rules.illegal_trade(self.trades, self.characters),
             "R11": lambda: rules.transport_misuse(self.boardings, self.transports, self.characters, self.game_versions),
@@ -118,10 +134,13 @@ class World:
             "R13": lambda: rules.wrong_amount(self.stg(), self.creatures),
         }[rule]()
 
+    def rule(self, rule: str) -> DataFrame:
+        """The findings of one rule, stored as the table the violations are built from."""
+        return self.stored(rule, lambda: self.r(rule))
+
     def found(self, *ids: str) -> DataFrame:
         """Violations of the given rules."""
-        each = [self.stored(i, lambda i=i: self.r(i)) for i in ids]
-        return findings.violations(each, findings.rule_catalogue(self.spark), self.characters)
+        return findings.violations([self.rule(i) for i in ids], findings.rule_catalogue(self.spark), self.characters)
 
     def offenders(self) -> DataFrame:
         return self.stored("offenders", lambda: findings.offenders(self.found("R03", "R04", "R08", "R11")))
@@ -133,7 +152,7 @@ class World:
         return dims.dim_date(span, "s", "e", F.lit(RELEASE))
 
     def sessions(self) -> DataFrame:
-        return facts.fct_sessions(self.logins)
+        return facts.fct_sessions(self.logins, hot=self.hot_actors())
 
     def people(self) -> DataFrame:
         return self.stored("people", lambda: dims.dim_character(
@@ -141,7 +160,8 @@ class World:
 
     def fights(self) -> DataFrame:
         log = self.fight_log.withColumn("opponent_character_ids", F.lit(None).cast("array<string>"))
-        return self.stored("fights", lambda: facts.encounter_participation(log, self.creatures, self.levels()))
+        return self.stored("fights", lambda: facts.encounter_participation(
+            log, self.creatures, self.levels(), hot=self.hot("fight_log", "character_id")))
 
     def ledger(self) -> DataFrame:
         return facts.fct_gold_ledger(self.economy, self.item_templates)
@@ -361,7 +381,8 @@ def level_history_from_log(w: World) -> DataFrame:
 @query
 def asof_inner(w: World) -> DataFrame:
     bought = w.ev.where("kind = 'purchase'").select("event_id", fc.text_of("chr_", F.col("user_id")).alias("character_id"), "ts")
-    return plain(asof_join(bought, w.levels(), ["character_id"], "ts", "valid_from", ["level", "bracket_min_level"], tie="level"))
+    return plain(asof_join(bought, w.levels(), ["character_id"], "ts", "valid_from", ["level", "bracket_min_level"], tie="level",
+                           hot=w.hot_actors()))
 
 
 @query
@@ -370,7 +391,8 @@ def asof_left(w: World) -> DataFrame:
     ups = w.level_ups.where("new_level IS NOT NULL")
     return plain(asof_join(w.deaths_log.select("event_id", "character_id", "event_ts_utc"),
                            ups.select("character_id", F.col("event_ts_utc").alias("up_at"), "new_level", "xp_total"),
-                           ["character_id"], "event_ts_utc", "up_at", ["new_level", "xp_total"], how="left"))
+                           ["character_id"], "event_ts_utc", "up_at", ["new_level", "xp_total"], how="left",
+                           hot=w.hot_actors()))
 
 
 @query
@@ -406,7 +428,7 @@ RULE_KEYS = {
     "R06": "r06_above_max", "R07": "r07_cooldown", "R08": "r08_reuse", "R09": "r09_bound_moved",
     "R10": "r10_illegal_pair", "R11": "r11_misuse", "R12": "r12_forbidden_zone", "R13": "r13_wrong_amount"}
 for _rule, _key in RULE_KEYS.items():
-    REGISTRY[_key] = lambda w, rule=_rule: plain(w.r(rule))
+    REGISTRY[_key] = lambda w, rule=_rule: plain(w.rule(rule))
 
 
 @query
@@ -479,7 +501,7 @@ def sessions(w: World) -> DataFrame:
 @query
 def sessions_open(w: World) -> DataFrame:
     """The option that keeps sessions whose logout is missing."""
-    return plain(facts.fct_sessions(w.logins, keep_open=True))
+    return plain(facts.fct_sessions(w.logins, keep_open=True, hot=w.hot_actors()))
 
 
 @query
@@ -671,7 +693,7 @@ def chain_complete(w: World) -> DataFrame:
         F.col("ts").alias("event_ts_utc"), fc.text_of("chr_", F.col("user_id")).alias("character_id"),
         fc.text_of("shard-0", F.col("event_id") % 3 + 1).alias("server_id"))
     gaps = quality.gap_edges(w.stg())
-    return plain(checks.chain_completeness(log, ["click", "view", "error"], gaps, max_seconds=2 * DAY),
+    return plain(checks.chain_completeness(log, ["click", "view", "error"], gaps, max_seconds=2 * DAY, hot=w.hot_actors()),
                  "event_id", "character_id", "complete", "excused", "seconds")
 
 
@@ -705,7 +727,8 @@ def allowed_pairs(w: World) -> DataFrame:
 
 @query
 def balance_continuity(w: World) -> DataFrame:
-    return plain(checks.balance_breaks(w.balances, "character_id", "event_ts_utc", "event_id", "movement", "balance_after"))
+    return plain(checks.balance_breaks(w.balances, "character_id", "event_ts_utc", "event_id", "movement", "balance_after",
+                                       hot=w.hot_actors()))
 
 
 @query
@@ -725,12 +748,13 @@ def reward_after_exit(w: World) -> DataFrame:
 
 @query
 def login_place(w: World) -> DataFrame:
-    return plain(checks.moved_while_away(w.logins))
+    return plain(checks.moved_while_away(w.logins, hot=w.hot_actors()))
 
 
 @query
 def concurrent_members(w: World) -> DataFrame:
-    return plain(checks.concurrent_members(w.party_members, "party_id", "character_id", "joined_at", "left_at"))
+    return plain(checks.concurrent_members(w.party_members, "party_id", "character_id", "joined_at", "left_at",
+                                           hot=w.hot("party_members", "party_id")))
 
 
 @query

@@ -6,15 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 from eventmart.functions.columns import time_slice
-from eventmart.operators.ordered import HOT, HOT_ROWS, SLICE, split_hot
+from eventmart.operators.ordered import HOT, HOT_ROWS, SLICE, Hot, all_cold, split_hot
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str,
               values: Sequence[str], how: str = "inner", tie: str | None = None,
-              slice_seconds: int = 86_400, hot_rows: int = HOT_ROWS) -> DataFrame:
+              slice_seconds: int = 86_400, hot: Hot = HOT_ROWS) -> DataFrame:
     """Attach `values` of the latest right row with `right_on <= left_on` per key.
 
     Both sides are stacked and the last right row seen is carried forward, so the cost is
@@ -36,17 +37,22 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
         keyed = keyed.where(F.col(k).isNotNull())
         known = known.where(F.col(k).isNotNull())
     stacked = keyed.where(F.col("_at").isNotNull()).unionByName(known, allowMissingColumns=True)
-    cut = split_hot(stacked, by, time_slice("_at", slice_seconds), hot_rows)
-    earlier = W.partitionBy(*by).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
-    carry = (cut.where(HOT).groupBy(*by, SLICE)
-                .agg(F.max_by("_match", F.when(F.col("_side") == 0, F.struct("_at", "_tie"))).alias("_last"))
-                .select(*by, SLICE, F.last("_last", ignorenulls=True).over(earlier).alias("_carry")))
-    upto = (W.partitionBy(*by, SLICE).orderBy("_at", "_side", "_tie")
-             .rowsBetween(W.unboundedPreceding, W.currentRow))
-    found = (cut.withColumn("_found", F.last("_match", ignorenulls=True).over(upto))
-                .where(F.col("_side") == 1)
-                .join(carry, [*by, SLICE], "left")
-                .withColumn("_found", F.coalesce("_found", "_carry")))
+    latest = F.last("_match", ignorenulls=True)
+
+    def upto(*keys: str) -> WindowSpec:
+        return (W.partitionBy(*keys).orderBy("_at", "_side", "_tie")
+                 .rowsBetween(W.unboundedPreceding, W.currentRow))
+
+    if all_cold(hot, by):
+        found = stacked.withColumn("_found", latest.over(upto(*by))).where(F.col("_side") == 1)
+    else:
+        cut = split_hot(stacked, by, time_slice("_at", slice_seconds), hot)
+        earlier = W.partitionBy(*by).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
+        at_right = F.when(F.col("_side") == 0, F.struct("_at", "_tie"))
+        carry = (cut.where(HOT).groupBy(*by, SLICE).agg(F.max_by("_match", at_right).alias("_last"))
+                    .select(*by, SLICE, F.last("_last", ignorenulls=True).over(earlier).alias("_carry")))
+        found = (cut.withColumn("_found", latest.over(upto(*by, SLICE))).where(F.col("_side") == 1)
+                    .join(carry, [*by, SLICE], "left").withColumn("_found", F.coalesce("_found", "_carry")))
     if how == "inner":
         found = found.where(F.col("_found").isNotNull())
     out = found.select(*left.columns, *[F.col(f"_found.{v}").alias(v) for v in values])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions.columns import bracket_min, col, seconds_between, time_slice
-from eventmart.operators.ordered import HOT_ROWS, number_rows, with_next, with_previous
+from eventmart.operators.ordered import HOT_ROWS, Hot, number_rows, with_next, with_previous
 
 # The open ends of every interval.
 BEGINNING, END = "2000-01-01 00:00:00", "2100-01-01 00:00:00"
@@ -14,7 +14,7 @@ BEGINNING, END = "2000-01-01 00:00:00", "2100-01-01 00:00:00"
 
 def history_from_changes(changes: DataFrame, snapshot: DataFrame, key: str, ts: str, value: str,
                          before_first: Column | None = None, slice_seconds: int = 7 * 86_400,
-                         hot_rows: int = HOT_ROWS) -> DataFrame:
+                         hot: Hot = HOT_ROWS) -> DataFrame:
     """One row per value held, with half-open [valid_from, valid_to).
 
     The value held before the first change is `before_first` (an expression over the first
@@ -33,17 +33,17 @@ def history_from_changes(changes: DataFrame, snapshot: DataFrame, key: str, ts:
                          .select(key, start.alias("valid_from"), value))
     segments = known.unionByName(first).unionByName(unchanged)
     nexts = with_next(segments, [key], ["valid_from", value], {"at": F.col("valid_from")}, "_next",
-                      time_slice("valid_from", slice_seconds), hot_rows)
+                      time_slice("valid_from", slice_seconds), hot)
     return nexts.select(key, value, "valid_from",
                         F.coalesce("_next.at", F.lit(END).cast("timestamp")).alias("valid_to"))
 
 
-def level_history(events: DataFrame, characters: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def level_history(events: DataFrame, characters: DataFrame, hot: Hot = HOT_ROWS) -> DataFrame:
     """Level of every character over time, with its ten-level bracket."""
     ups = events.where(F.col("event_type") == "level_up").select(
         "character_id", "event_ts_utc", F.col("new_level").alias("level"))
     held = history_from_changes(ups, characters, "character_id", "event_ts_utc", "level",
-                                before_first=F.col("level") - 1, hot_rows=hot_rows)
+                                before_first=F.col("level") - 1, hot=hot)
     low = bracket_min("level")
     return held.withColumns({"bracket_min_level": low, "bracket_max_level": low + 9})
 
@@ -77,18 +77,18 @@ def item_moves(events: DataFrame, use_received: bool = False) -> DataFrame:
 
 
 def custody_chain(moves: DataFrame, item: str = "item_instance_id", ts: str = "event_ts_utc",
-                  event: str = "event_id", slice_seconds: int = 86_400, hot_rows: int = HOT_ROWS) -> DataFrame:
+                  event: str = "event_id", slice_seconds: int = 86_400, hot: Hot = HOT_ROWS) -> DataFrame:
     """Number the hand-overs of each item and add who held it just before."""
     keyed = moves.where(F.col(item).isNotNull())
     piece = time_slice(ts, slice_seconds)
-    steps = number_rows(keyed, [item], [ts, event], "custody_step", piece, hot_rows)
+    steps = number_rows(keyed, [item], [ts, event], "custody_step", piece, hot)
     chained = with_previous(steps, [item], ["custody_step"], {"holder": F.col("holder_after")}, "_prev",
-                            piece, hot_rows)
+                            piece, hot)
     return chained.withColumn("holder_before", F.col("_prev.holder")).drop("_prev")
 
 
 def pair_sessions(events: DataFrame, start: str = "session_login", stop: str = "session_logout",
-                  keep_open: bool = False, slice_seconds: int = 86_400, hot_rows: int = HOT_ROWS) -> DataFrame:
+                  keep_open: bool = False, slice_seconds: int = 86_400, hot: Hot = HOT_ROWS) -> DataFrame:
     """Pair each start with the stop that directly follows it for the same character.
 
     Starts whose stop is missing are dropped; `keep_open` keeps them, closed at the next start
@@ -98,7 +98,7 @@ def pair_sessions(events: DataFrame, start: str = "session_login", stop: str = "
     nexts = with_next(rows.select("character_id", "event_id", "event_type", "event_ts_utc", "zone_id"),
                       ["character_id"], ["event_ts_utc", "event_id"],
                       {"type": F.col("event_type"), "ts": F.col("event_ts_utc")}, "_next",
-                      time_slice("event_ts_utc", slice_seconds), hot_rows)
+                      time_slice("event_ts_utc", slice_seconds), hot)
     missing = ~F.col("_next.type").eqNullSafe(F.lit(stop))
     out = nexts.where(F.col("event_type") == start).select(
         "character_id", F.col("event_ts_utc").alias("login_at"), F.col("_next.ts").alias("logout_at"),

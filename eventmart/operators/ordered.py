@@ -1,20 +1,24 @@
 """Ordered per-key operators that survive a hot key.
 
-A plain window puts all rows of one key in one task. Here a key with more than
-`hot_rows` rows is cut into slices along its order (`slice_by` must never decrease
-along `order`). Windows then run per (key, slice), and only one summary row per
-slice is carried over to the following slices. Keys below the limit keep a single
-slice and pay nothing but the count of rows per key. Results equal the plain window.
+A plain window puts all rows of one key in one task. Here a key with more rows than a limit is cut
+into slices along its order (`slice_by` must never decrease along `order`). Windows then run per
+(key, slice), and only one summary row per slice is carried over to the following slices. All
+other keys keep a single slice. Results equal the plain window.
+
+Which keys are hot is measured once per stored table with `measure_hot_keys` and handed to every
+operator that orders rows of that table (or part of them) by that key; where nothing is hot, the
+operators are plain windows. Given a number instead, an operator counts for itself, which reads its
+input once more. The list of hot keys is broadcast: it holds at most total_rows / limit keys.
 
-The list of hot keys is broadcast: it holds at most total_rows / hot_rows keys.
 Rows with a NULL key have no neighbours to speak of; callers filter them first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,15 +28,49 @@ HOT_ROWS = 2_000_000
 HOT, SLICE = "_hot", "_slice"
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], slice_by: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+@dataclass(frozen=True)
+class HotKeys:
+    """The keys of a table that hold more rows than one task should take."""
+
+    table: DataFrame
+    columns: tuple[str, ...]
+    count: int
+
+    def covers(self, keys: Sequence[str]) -> bool:
+        """Whether windows over `keys` can rely on this list: a part of a cold key is cold as well."""
+        return set(self.columns) <= set(keys)
+
+
+Hot = int | HotKeys
+
+
+def _heavy(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit).select(*keys)
+
+
+def measure_hot_keys(df: DataFrame, keys: Sequence[str], path: str, limit: int = HOT_ROWS) -> HotKeys:
+    """Store the hot keys of a table; one aggregation over its key columns."""
+    seen = Observation()
+    _heavy(df, keys, limit).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return HotKeys(df.sparkSession.read.parquet(path), tuple(keys), int(seen.get["n"]))
+
+
+def all_cold(hot: Hot, keys: Sequence[str]) -> bool:
+    return isinstance(hot, HotKeys) and hot.covers(keys) and hot.count == 0
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], slice_by: Column, hot: Hot = HOT_ROWS) -> DataFrame:
     """Add `_hot` (true for rows of a hot key, else NULL) and `_slice` (0 for other keys)."""
-    hot = (df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
-             .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.lit(True).alias(HOT)))
+    if isinstance(hot, HotKeys) and hot.covers(keys):
+        listed, on = hot.table, hot.columns
+    else:
+        listed, on = _heavy(df, keys, hot if isinstance(hot, int) else HOT_ROWS), tuple(keys)
+    marks = listed.select(*[F.col(k).alias(f"_k_{k}") for k in on], F.lit(True).alias(HOT))
     match = None
-    for k in keys:
+    for k in on:
         one = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
         match = one if match is None else match & one
-    joined = df.join(F.broadcast(hot), match, "left").drop(*[f"_k_{k}" for k in keys])
+    joined = df.join(F.broadcast(marks), match, "left").drop(*[f"_k_{k}" for k in on])
     return joined.withColumn(SLICE, F.when(F.col(HOT), slice_by).otherwise(F.lit(0).cast("bigint")))
 
 
@@ -40,12 +78,12 @@ def _order(order: Sequence[str | Column]) -> list[Column]:
     return [col(o) for o in order]
 
 
-def _neighbour(df, keys, order, values, into, slice_by, hot_rows, ahead: bool) -> DataFrame:
+def _neighbour(df, keys, order, values, into, slice_by, hot, ahead: bool) -> DataFrame:
     row = F.struct(*[v.alias(k) for k, v in values.items()])
     step = F.lead if ahead else F.lag
-    if slice_by is None:
+    if slice_by is None or all_cold(hot, keys):
         return df.withColumn(into, step(row).over(W.partitionBy(*keys).orderBy(*_order(order))))
-    cut = split_hot(df, keys, slice_by, hot_rows)
+    cut = split_hot(df, keys, slice_by, hot)
     edge_of = F.min_by if ahead else F.max_by
     edges = (cut.where(HOT).groupBy(*keys, SLICE)
                 .agg(edge_of(row, F.struct(*_order(order))).alias("_edge"))
@@ -60,25 +98,28 @@ def _neighbour(df, keys, order, values, into, slice_by, hot_rows, ahead: bool) -
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                   values: Mapping[str, Column], into: str = "prev",
-                  slice_by: Column | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                  slice_by: Column | None = None, hot: Hot = HOT_ROWS) -> DataFrame:
     """Add a struct of `values` taken from the previous row of the same key (NULL on the first)."""
-    return _neighbour(df, keys, order, values, into, slice_by, hot_rows, ahead=False)
+    return _neighbour(df, keys, order, values, into, slice_by, hot, ahead=False)
 
 
 def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
               values: Mapping[str, Column], into: str = "next",
-              slice_by: Column | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+              slice_by: Column | None = None, hot: Hot = HOT_ROWS) -> DataFrame:
     """Add a struct of `values` taken from the next row of the same key (NULL on the last)."""
-    return _neighbour(df, keys, order, values, into, slice_by, hot_rows, ahead=True)
+    return _neighbour(df, keys, order, values, into, slice_by, hot, ahead=True)
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], amount: Column,
-                into: str, slice_by: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+                into: str, slice_by: Column, hot: Hot = HOT_ROWS) -> DataFrame:
     """Running total of `amount` per key, up to and including the row.
 
     `order` must be total within a key: equal rows would be added one by one.
     """
-    cut = split_hot(df.withColumn("_amount", amount), keys, slice_by, hot_rows)
+    if all_cold(hot, keys):
+        whole = W.partitionBy(*keys).orderBy(*_order(order)).rowsBetween(W.unboundedPreceding, W.currentRow)
+        return df.withColumn(into, F.sum(amount).over(whole))
+    cut = split_hot(df.withColumn("_amount", amount), keys, slice_by, hot)
     before = W.partitionBy(*keys).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
     offsets = (cut.where(HOT).groupBy(*keys, SLICE).agg(F.sum("_amount").alias("_amount"))
                   .select(*keys, SLICE, F.sum("_amount").over(before).alias("_offset")))
@@ -91,31 +132,33 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], into: str,
-                slice_by: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+                slice_by: Column, hot: Hot = HOT_ROWS) -> DataFrame:
     """1, 2, 3, ... per key along a total order."""
-    return running_sum(df, keys, order, F.lit(1).cast("bigint"), into, slice_by, hot_rows)
+    return running_sum(df, keys, order, F.lit(1).cast("bigint"), into, slice_by, hot)
 
 
-def number_globally(df: DataFrame, order: Sequence[str], slices: Sequence[Column], into: str) -> DataFrame:
-    """1, 2, 3, ... over the whole frame, without sorting it in one task.
+def number_globally(df: DataFrame, order: Sequence[str], coarse: Column, fine: Sequence[str], into: str) -> DataFrame:
+    """1, 2, 3, ... over the whole frame along a total order, without sorting it in one task.
 
-    `slices` is a lexicographic prefix of `order` in coarse form, such as (minute, rule).
-    Rows are numbered per slice; only one count per slice meets in a single window, so
-    choose slices by what the output spans, not finer. No sampling is involved, so a
-    recomputed task gives the same numbers.
+    `fine` is a prefix of `order`, `coarse` an expression that never decreases along it (such as
+    the minute of a leading timestamp). Rows are numbered within each fine group; the groups are
+    counted and their counts summed up within each coarse slice, and the slices among themselves.
+    Only the last step is one task, over one row per slice. Nothing is sampled, so a recomputed
+    task gives the same numbers.
     """
-    names = [f"_s{i}" for i in range(len(slices))]
-    cut = df.select("*", *[s.alias(n) for s, n in zip(slices, names)])
-    before = W.orderBy(*names).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (cut.groupBy(*names).agg(F.count("*").alias("_n"))
-                  .select(*[F.col(n).alias(f"{n}_k") for n in names],
-                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
+    counts = (df.select(*fine, coarse.alias(SLICE)).groupBy(SLICE, *fine).agg(F.count("*").alias("_n")))
+    slices = counts.groupBy(SLICE).agg(F.sum("_n").alias("_n"))
+    before = W.orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
+    starts = slices.select(F.col(SLICE).alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = W.partitionBy(SLICE).orderBy(*fine).rowsBetween(W.unboundedPreceding, -1)
+    groups = (counts.withColumn("_before", F.coalesce(F.sum("_n").over(within), F.lit(0)))
+                    .join(starts, F.col(SLICE).eqNullSafe(F.col("_of")))
+                    .select(*[F.col(c).alias(f"_k_{c}") for c in fine], (F.col("_before") + F.col("_start")).alias("_offset")))
     match = None
-    for n in names:
-        one = F.col(n).eqNullSafe(F.col(f"{n}_k"))
+    for c in fine:
+        one = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
         match = one if match is None else match & one
-    inside = W.partitionBy(*names).orderBy(*order)
-    return (cut.withColumn("_row", F.row_number().over(inside))
-               .join(offsets, match)
-               .withColumn(into, (F.col("_row") + F.col("_offset")).cast("bigint"))
-               .drop("_row", "_offset", *names, *[f"{n}_k" for n in names]))
+    inside = W.partitionBy(*fine).orderBy(*order)
+    return (df.withColumn("_row", F.row_number().over(inside)).join(groups, match)
+              .withColumn(into, (F.col("_row") + F.col("_offset")).cast("bigint"))
+              .drop("_row", "_offset", *[f"_k_{c}" for c in fine]))

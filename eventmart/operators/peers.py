@@ -9,11 +9,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventmart.functions.columns import number_slice, ratio
-from eventmart.operators.ordered import HOT_ROWS, running_sum
+from eventmart.operators.ordered import HOT_ROWS, Hot, running_sum
 
 
 def peer_standing(df: DataFrame, peer_keys: Sequence[str], score: str, is_peer: Column,
-                  slice_width: float, hot_rows: int = HOT_ROWS) -> DataFrame:
+                  slice_width: float, hot: Hot = HOT_ROWS) -> DataFrame:
     """Add `peer_count` (peers other than the row itself) and `peers_below` (strictly lower score).
 
     `is_peer` says which rows others are compared with; a row that is no peer is still ranked.
@@ -25,7 +25,7 @@ def peer_standing(df: DataFrame, peer_keys: Sequence[str], score: str, is_peer:
     marked = df.withColumn("_peer", peer)
     by_score = marked.groupBy(*peer_keys, score).agg(F.sum("_peer").alias("_here"))
     running = running_sum(by_score, list(peer_keys), [score], F.col("_here"), "_upto",
-                          number_slice(score, slice_width), hot_rows)
+                          number_slice(score, slice_width), hot)
     below = running.select(*[F.col(k).alias(f"_g_{k}") for k in peer_keys], F.col(score).alias("_g_score"),
                            (F.col("_upto") - F.col("_here")).alias("peers_below"))
     totals = by_score.groupBy(*peer_keys).agg(F.sum("_here").alias("_total")).select(

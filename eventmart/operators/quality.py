@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions.columns import col, nulls_for, repair_int, repair_label, seconds_between
-from eventmart.operators.ordered import HOT_ROWS, with_next
+from eventmart.operators.ordered import HOT_ROWS, Hot, with_next
 
 
 def dedup_first(df: DataFrame, key: str = "server_event_id", order: str = "event_id",
@@ -79,7 +79,7 @@ def orphans(df: DataFrame, key: str, parent: DataFrame, parent_key: str) -> Data
 
 
 def gap_edges(df: DataFrame, part: str = "server_id", seq: str = "shard_seq", ts: str = "event_ts_utc",
-              bucket: int = 1_000_000, hot_rows: int = HOT_ROWS) -> DataFrame:
+              bucket: int = 1_000_000, hot: Hot = HOT_ROWS) -> DataFrame:
     """One row per hole in a consecutive numbering, with its neighbours.
 
     A shard's stream is one enormous key (one of four may hold most rows), so it is cut by
@@ -87,20 +87,20 @@ def gap_edges(df: DataFrame, part: str = "server_id", seq: str = "shard_seq", ts
     """
     rows = df.where(F.col(part).isNotNull() & F.col(seq).isNotNull()).select(part, seq, ts)
     piece = F.floor(F.col(seq) / F.lit(bucket)).cast("bigint")
-    nexts = with_next(rows, [part], [seq], {"seq": F.col(seq), "ts": F.col(ts)}, "_next", piece, hot_rows)
+    nexts = with_next(rows, [part], [seq], {"seq": F.col(seq), "ts": F.col(ts)}, "_next", piece, hot)
     return nexts.where(F.col("_next.seq") - F.col(seq) > 1).select(
         part, F.col(seq).alias("prev_seq"), F.col(ts).alias("prev_event_ts"),
         F.col("_next.seq").alias("next_seq"), F.col("_next.ts").alias("next_event_ts"))
 
 
 def seq_gaps(df: DataFrame, part: str = "server_id", seq: str = "shard_seq", ts: str = "event_ts_utc",
-             bucket: int = 1_000_000, hot_rows: int = HOT_ROWS, block: int = 10_000) -> DataFrame:
+             bucket: int = 1_000_000, hot: Hot = HOT_ROWS, block: int = 10_000) -> DataFrame:
     """Every missing sequence number with the events either side of it.
 
     A hole is listed in blocks, spread before they are expanded, so one huge hole is neither one
     huge array nor one task.
     """
-    edges = gap_edges(df, part, seq, ts, bucket, hot_rows)
+    edges = gap_edges(df, part, seq, ts, bucket, hot)
     starts = F.sequence(F.col("prev_seq") + 1, F.col("next_seq") - 1, F.lit(block).cast("bigint"))
     blocks = edges.withColumn("_start", F.explode(starts))
     last = F.least(F.col("_start") + (block - 1), F.col("next_seq") - 1)
@@ -108,13 +108,8 @@ def seq_gaps(df: DataFrame, part: str = "server_id", seq: str = "shard_seq", ts:
                   .select(part, "missing_seq", "prev_seq", "prev_event_ts", "next_seq", "next_event_ts"))
 
 
-def lost_by_numbering(df: DataFrame, part: str | Sequence[str], seq: str = "shard_seq") -> list[Column]:
-    """Aggregates that count lost events without ordering them: the span less what arrived."""
-    return [(F.max(seq) - F.min(seq) + 1 - F.countDistinct(seq)).alias("lost_events")]
-
-
 def shard_quality(deliveries: DataFrame, kept: DataFrame, bucket: int = 1_000_000,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+                  hot: Hot = HOT_ROWS) -> DataFrame:
     """Per shard: rows, unique events, extra copies, gaps, lost events, largest gap, delivery delay."""
     copies = deliveries.groupBy("server_id").agg(F.count("*").alias("rows"))
     delay_ms = (F.unix_micros("received_at") - F.unix_micros("event_ts_utc")) / F.lit(1000)
@@ -123,7 +118,7 @@ def shard_quality(deliveries: DataFrame, kept: DataFrame, bucket: int = 1_000_00
         F.max(delay_ms).alias("longest_delay_ms"), F.avg(delay_ms).alias("mean_delay_ms"),
         F.percentile_approx(delay_ms, 0.5, 10_000).alias("typical_delay_ms"))
     size = F.col("next_seq") - F.col("prev_seq") - 1
-    gaps = gap_edges(kept, bucket=bucket, hot_rows=hot_rows).groupBy("server_id").agg(
+    gaps = gap_edges(kept, bucket=bucket, hot=hot).groupBy("server_id").agg(
         F.count("*").alias("gaps"), F.sum(size).alias("lost_events"), F.max(size).alias("largest_gap"))
     return (copies.join(unique, "server_id", "left").join(gaps, "server_id", "left")
                   .withColumn("extra_rows", F.col("rows") - F.col("unique_events"))
@@ -141,29 +136,31 @@ def repair_proof(repaired: DataFrame, reference: DataFrame, key: str, value: str
 
 def dq_summary(deliveries: DataFrame, kept: DataFrame, characters: DataFrame,
                no_character_types: Sequence[str] = ("item_dropped",), level_event: str = "level_up",
-               placeholder: str = "zone_unknown", hot_rows: int = HOT_ROWS) -> DataFrame:
+               placeholder: str = "zone_unknown", hot: Hot = HOT_ROWS) -> DataFrame:
     """One row per check with the number of affected rows.
 
-    The cleaned table is read once: each check is one conditional aggregate, unpivoted at the
-    end. The placeholder check counts delivered rows by text (before deduplication), as delivered.
+    Each check is a conditional aggregate over the cleaned table, unpivoted at the end. Unknown
+    characters are counted per character before the characters are looked up, so a character with
+    very many events is one row of that join. The placeholder check counts delivered rows by text
+    (before deduplication), as delivered.
     """
     delivered = deliveries.agg(
         F.count("*").alias("n"), F.count_if(F.col("body").contains(placeholder)).alias("DQ-5a"))
-    known = characters.select(F.col("character_id").alias("_known")).distinct()
-    flagged = kept.join(known, F.col("character_id") == F.col("_known"), "left")
+    per_character = kept.groupBy("character_id").agg(F.count("*").alias("n"))
+    unknown = orphans(per_character, "character_id", characters, "character_id").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("DQ-5b"))
     has_body, no_character = ~F.col("body_missing"), F.col("character_id").isNull()
     checks = {
         "kept": F.count("*"),
         "DQ-3": F.count_if("ts_corrected"),
         "DQ-4a": F.count_if("body_missing"),
         "DQ-4b": F.count_if(no_character & has_body & ~F.col("event_type").isin(*no_character_types)),
-        "DQ-5b": F.count_if(~no_character & F.col("_known").isNull()),
         "DQ-6a": F.count_if(F.col("numeric_repair") == "bitflip_recovered"),
         "DQ-6b": F.count_if(F.col("numeric_repair") == "overflow_nulled"),
         "DQ-7": F.count_if((F.col("event_type") == level_event) & F.col("new_level").isNull() & has_body),
     }
-    counts = flagged.agg(*[c.alias(k) for k, c in checks.items()])
-    gaps = gap_edges(kept, hot_rows=hot_rows).agg(
+    counts = kept.agg(*[c.alias(k) for k, c in checks.items()])
+    gaps = gap_edges(kept, hot=hot).agg(
         F.coalesce(F.sum(F.col("next_seq") - F.col("prev_seq") - 1), F.lit(0)).alias("DQ-2"))
 
     def rows(one: DataFrame, ids: Sequence[str]) -> DataFrame:
@@ -171,7 +168,7 @@ def dq_summary(deliveries: DataFrame, kept: DataFrame, characters: DataFrame,
         return one.select(F.explode(pairs).alias("p")).select("p.part", "p.n")
 
     parts = (rows(delivered, ["n", "DQ-5a"]).unionByName(rows(gaps, ["DQ-2"]))
-             .unionByName(rows(counts, list(checks))))
+             .unionByName(rows(unknown, ["DQ-5b"])).unionByName(rows(counts, list(checks))))
     # deliveries less kept events = removed copies
     check = F.when(F.col("part").isin("n", "kept"), "DQ-1").otherwise(F.col("part"))
     sign = F.when(F.col("part") == "kept", -1).otherwise(1)

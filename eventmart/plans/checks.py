@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.columns import ratio, seconds_between, time_slice
 from eventmart.operators.asof import asof_join
-from eventmart.operators.ordered import HOT_ROWS, running_sum, with_next, with_previous
+from eventmart.operators.ordered import HOT_ROWS, Hot, running_sum, with_next, with_previous
 from eventmart.operators.quality import first_known
 
 DAY = 86_400
@@ -17,7 +17,7 @@ DAY = 86_400
 
 def chain_completeness(events: DataFrame, chain: Sequence[str], gaps: DataFrame | None = None,
                        max_seconds: float | None = None, slice_seconds: int = DAY,
-                       hot_rows: int = HOT_ROWS) -> DataFrame:
+                       hot: Hot = HOT_ROWS) -> DataFrame:
     """Every event that opens a chain, and whether the rest of the chain follows it directly.
 
     `max_seconds` also limits the time from first to last link. A broken chain is `excused` when
@@ -32,7 +32,7 @@ def chain_completeness(events: DataFrame, chain: Sequence[str], gaps: DataFrame
     linked = rows
     for i in range(1, len(chain)):
         # step i looks one row ahead of what step i-1 already knows
-        linked = with_next(linked, ["character_id"], order, ahead, f"_l{i}", piece, hot_rows)
+        linked = with_next(linked, ["character_id"], order, ahead, f"_l{i}", piece, hot)
         ahead = {"type": F.col(f"_l{i}.type"), "ts": F.col(f"_l{i}.ts")}
     opened = linked.where(F.col("event_type") == chain[0])
     follows = F.lit(True)
@@ -48,7 +48,7 @@ def chain_completeness(events: DataFrame, chain: Sequence[str], gaps: DataFrame
     if gaps is None:
         return out.withColumn("excused", F.lit(False)).drop("_last")
     holes = gaps.select("server_id", "prev_event_ts", F.col("next_event_ts").alias("_hole_end"))
-    near = asof_join(out, holes, ["server_id"], "_last", "prev_event_ts", ["_hole_end"], how="left", hot_rows=hot_rows)
+    near = asof_join(out, holes, ["server_id"], "_last", "prev_event_ts", ["_hole_end"], how="left", hot=hot)
     lost = F.coalesce(F.col("_hole_end") >= F.col("event_ts_utc"), F.lit(False))
     return near.withColumn("excused", ~F.col("complete") & lost).drop("_last", "_hole_end")
 
@@ -115,11 +115,11 @@ def not_allowed(df: DataFrame, allowed: DataFrame, pair: Sequence[str]) -> DataF
 
 
 def balance_breaks(movements: DataFrame, key: str, ts: str, event: str, amount: str, balance: str,
-                   slice_seconds: int = DAY, hot_rows: int = HOT_ROWS) -> DataFrame:
+                   slice_seconds: int = DAY, hot: Hot = HOT_ROWS) -> DataFrame:
     """Movements after which the balance is not the previous balance plus the movement."""
     rows = movements.where(F.col(key).isNotNull() & F.col(balance).isNotNull())
     seq = with_previous(rows, [key], [ts, event], {"balance": F.col(balance)}, "_prev",
-                        time_slice(ts, slice_seconds), hot_rows)
+                        time_slice(ts, slice_seconds), hot)
     expected = F.col("_prev.balance") + F.col(amount)
     return (seq.where(F.col(balance) != expected)
                .withColumns({"expected_balance": expected, "difference": F.col(balance) - expected}).drop("_prev"))
@@ -138,13 +138,13 @@ def reward_after_exit(rewards: DataFrame, exits: DataFrame, by: Sequence[str], t
 
 
 def moved_while_away(events: DataFrame, login: str = "session_login", logout: str = "session_logout",
-                     slice_seconds: int = DAY, hot_rows: int = HOT_ROWS) -> DataFrame:
+                     slice_seconds: int = DAY, hot: Hot = HOT_ROWS) -> DataFrame:
     """Logins directly after a logout, in another place than the logout."""
     rows = events.where(F.col("event_type").isin(login, logout) & F.col("character_id").isNotNull()).select(
         "event_id", "event_type", "event_ts_utc", "character_id", "zone_id")
     seq = with_previous(rows, ["character_id"], ["event_ts_utc", "event_id"],
                         {"type": F.col("event_type"), "zone": F.col("zone_id")}, "_prev",
-                        time_slice("event_ts_utc", slice_seconds), hot_rows)
+                        time_slice("event_ts_utc", slice_seconds), hot)
     bad = seq.where((F.col("event_type") == login) & (F.col("_prev.type") == logout)
                     & (F.col("_prev.zone") != F.col("zone_id")))
     return bad.select("event_id", "character_id", "event_ts_utc", F.col("_prev.zone").alias("logout_zone_id"),
@@ -152,7 +152,7 @@ def moved_while_away(events: DataFrame, login: str = "session_login", logout: st
 
 
 def concurrent_members(members: DataFrame, group: str, member: str, start: str, stop: str,
-                       slice_seconds: int = 30 * DAY, hot_rows: int = HOT_ROWS) -> DataFrame:
+                       slice_seconds: int = 30 * DAY, hot: Hot = HOT_ROWS) -> DataFrame:
     """Largest number of members a group ever had at once.
 
     Every stay is +1 at its start and -1 at its end; at one instant departures come first.
@@ -165,7 +165,7 @@ def concurrent_members(members: DataFrame, group: str, member: str, start: str,
     # identical steps are one row with their sum, so the order below is total
     steps = steps.groupBy(group, "at", "step", member).agg(F.sum("step").alias("delta"))
     load = running_sum(steps, [group], ["at", "step", member], F.col("delta"), "members",
-                       time_slice("at", slice_seconds), hot_rows)
+                       time_slice("at", slice_seconds), hot)
     return load.groupBy(group).agg(F.max("members").alias("max_members"),
                                    F.min_by("at", F.struct(-F.col("members"), F.col("at"))).alias("first_reached_at"))
 
@@ -229,16 +229,16 @@ def pair_net_flow(transfers: DataFrame, giver: str, receiver: str, amount: Colum
 
 
 def creation_clusters(accounts: DataFrame, key: Sequence[str], created: str, gap_seconds: int,
-                      member: str, slice_seconds: int = 30 * DAY, hot_rows: int = HOT_ROWS) -> DataFrame:
+                      member: str, slice_seconds: int = 30 * DAY, hot: Hot = HOT_ROWS) -> DataFrame:
     """Number the runs of accounts created within `gap_seconds` of the one before, per key.
 
     Returns each account with its `cluster`. Group it to get sizes.
     """
     order, piece = [created, member], time_slice(created, slice_seconds)
-    seq = with_previous(accounts, key, order, {"at": F.col(created)}, "_prev", piece, hot_rows)
+    seq = with_previous(accounts, key, order, {"at": F.col(created)}, "_prev", piece, hot)
     opens = F.when(seconds_between(created, "_prev.at") <= gap_seconds, 0).otherwise(1).cast("bigint")
     return running_sum(seq.withColumn("_opens", opens), key, order, F.col("_opens"), "cluster", piece,
-                       hot_rows).drop("_prev", "_opens")
+                       hot).drop("_prev", "_opens")
 
 
 def cluster_sizes(clusters: DataFrame, key: Sequence[str], created: str, min_size: int) -> DataFrame:

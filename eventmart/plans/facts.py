@@ -9,20 +9,20 @@ from eventmart.functions.bodies import json_list_sum
 from eventmart.functions.columns import day, seconds_between
 from eventmart.operators.asof import asof_join, bracket_join
 from eventmart.operators.history import pair_sessions
-from eventmart.operators.ordered import HOT_ROWS
+from eventmart.operators.ordered import HOT_ROWS, Hot
 from eventmart.operators.quality import first_known
 
 DEALT = ("pve_damage_dealt", "pvp_damage_dealt")
 RECEIVED = ("pve_damage_received", "pvp_damage_received")
 
 
-def fct_sessions(events: DataFrame, keep_open: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+def fct_sessions(events: DataFrame, keep_open: bool = False, hot: Hot = HOT_ROWS) -> DataFrame:
     """One row per play session: a login and the logout that follows it."""
-    return pair_sessions(events, keep_open=keep_open, hot_rows=hot_rows)
+    return pair_sessions(events, keep_open=keep_open, hot=hot)
 
 
 def encounter_participation(events: DataFrame, creatures: DataFrame, levels: DataFrame,
-                            hot_rows: int = HOT_ROWS) -> DataFrame:
+                            hot: Hot = HOT_ROWS) -> DataFrame:
     """One row per character and encounter.
 
     The log is read once: starts, ends, summaries and hits are conditional aggregates of one hash
@@ -52,7 +52,7 @@ def encounter_participation(events: DataFrame, creatures: DataFrame, levels: Dat
         F.sum(F.when(hit_taken, F.col("damage"))).alias("_hit_taken")).where(F.col("_starts") > 0)
     ranked = fights.join(creatures.select("creature_id", F.col("rank").alias("creature_rank")), "creature_id", "left")
     placed = asof_join(ranked, levels, ["character_id"], "started_at", "valid_from", ["level", "bracket_min_level"],
-                       how="left", tie="level", hot_rows=hot_rows)
+                       how="left", tie="level", hot=hot)
     return placed.select(
         "encounter_id", "character_id", "encounter_kind", "creature_id", "creature_rank", "opponent_character_ids",
         "party_id", F.col("party_id").isNotNull().alias("in_party"), "zone_id", "sub_zone_id", "started_at",

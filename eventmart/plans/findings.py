@@ -59,10 +59,9 @@ def violations(findings: Iterable[DataFrame], catalogue: DataFrame, characters:
     found = (reduce(DataFrame.unionByName, findings)
              .join(F.broadcast(rules), "rule_id"))  # as many rows as there are rules
     order = ["occurred_at", "rule_id", "character_id", "evidence_event_ids", "detail"]
-    slices = [time_slice("occurred_at", slice_seconds)]
     actors = characters.select(F.col("character_id").alias("_actor"), "account_id", "faction", "class_id")
     ids = F.concat_ws(",", F.col("evidence_event_ids").cast("array<string>"))
-    numbered = (number_globally(found, order, slices, "violation_id")
+    numbered = (number_globally(found, order, time_slice("occurred_at", slice_seconds), order[:3], "violation_id")
                 .join(actors, F.col("character_id") == F.col("_actor"), "left")
                 .withColumn("character_known", F.col("_actor").isNotNull())
                 .withColumn("violation_key", F.sha2(F.concat_ws("|", "rule_id", ids, "detail"), 256)))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions.columns import ratio, text_of
-from eventmart.operators.ordered import HOT_ROWS
+from eventmart.operators.ordered import HOT_ROWS, Hot
 from eventmart.operators.peers import peer_standing, percentile, share_of_total
 
 # Rarities from most common to rarest; where a death may come from, in report order.
@@ -100,7 +100,7 @@ def gear_message(what: str, pct: Column) -> Column:
 
 
 def player_360(gear: DataFrame, characters: DataFrame, sessions: DataFrame, xp: DataFrame,
-               character_id: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+               character_id: str | None = None, hot: Hot = HOT_ROWS) -> DataFrame:
     """Time played, XP per day and standing of the gear score among peers (class and bracket).
 
     Confirmed offenders are nobody's peer, but see their own standing. All characters unless one
@@ -108,7 +108,7 @@ def player_360(gear: DataFrame, characters: DataFrame, sessions: DataFrame, xp:
     """
     who = characters.select("character_id", "character_name", "class_name", "is_confirmed_cheater")
     ranked = peer_standing(gear.join(who, "character_id"), ["class_id", "bracket_min_level"], "gear_score",
-                           ~F.col("is_confirmed_cheater"), slice_width=10.0, hot_rows=hot_rows)
+                           ~F.col("is_confirmed_cheater"), slice_width=10.0, hot=hot)
     if character_id is not None:
         ranked = ranked.where(F.col("character_id") == character_id)
     per_day = sessions.groupBy("character_id", "session_date").agg(F.sum("duration_s").alias("s"))
@@ -126,7 +126,7 @@ def player_360(gear: DataFrame, characters: DataFrame, sessions: DataFrame, xp:
 
 
 def dps_percentile(participation: DataFrame, characters: DataFrame, min_fights: int = 10,
-                   slice_width: float = 10.0, hot_rows: int = HOT_ROWS) -> DataFrame:
+                   slice_width: float = 10.0, hot: Hot = HOT_ROWS) -> DataFrame:
     """Damage per second in won fights and its standing among peers at the level fought at.
 
     Confirmed offenders and characters with too few fights are left out altogether.
@@ -138,7 +138,7 @@ def dps_percentile(participation: DataFrame, characters: DataFrame, min_fights:
         F.sum("damage_done").alias("d"), F.sum("duration_s").alias("s"), F.count("*").alias("fights"))
     dps = per.where(F.col("fights") >= min_fights).join(honest, "character_id").withColumn(
         "dps", ratio(F.col("d"), F.col("s")))
-    ranked = peer_standing(dps, ["class_name", "bracket_min_level"], "dps", F.lit(True), slice_width, hot_rows)
+    ranked = peer_standing(dps, ["class_name", "bracket_min_level"], "dps", F.lit(True), slice_width, hot)
     return ranked.select(
         "character_id", "class_name", bracket_label("bracket_min_level").alias("level_bracket"),
         F.round("dps", 1).alias("dps"), "fights", "peer_count", percentile().alias("dps_percentile"),

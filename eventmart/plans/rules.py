@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.columns import col, seconds_between, stamp, text_of, time_slice
 from eventmart.operators.asof import asof_join, bracket_join
-from eventmart.operators.ordered import HOT_ROWS, with_previous
+from eventmart.operators.ordered import HOT_ROWS, Hot, with_previous
 from eventmart.operators.quality import first_known
 
 FINDING = ["rule_id", "character_id", "occurred_at", "encounter_id", "detail",
@@ -43,7 +43,7 @@ def pair_evidence(prev: str) -> tuple[Column, Column]:
 
 
 def damage_hits(events: DataFrame, characters: DataFrame, abilities: DataFrame, levels: DataFrame,
-                caps: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+                caps: DataFrame, hot: Hot = HOT_ROWS) -> DataFrame:
     """Every hit with the attacker's level at that moment and the largest damage the rules allow.
 
     The bound uses the bracket's gear-score cap, so it is generous. Hits without a known actor,
@@ -58,7 +58,7 @@ def damage_hits(events: DataFrame, characters: DataFrame, abilities: DataFrame,
     known = dealt.join(characters.select("character_id", "class_id"), "character_id")
     known = known.join(abilities.select("ability_id", "base_damage", "damage_per_level"), "ability_id")
     placed = asof_join(known, levels, ["character_id"], "event_ts_utc", "valid_from", ["level"],
-                       tie="level", hot_rows=hot_rows)
+                       tie="level", hot=hot)
     capped = bracket_join(placed, caps, "level", "bracket_min_level", "bracket_max_level")
     base = F.col("base_damage") + F.col("damage_per_level") * F.col("level")
     bound = (base.cast("double") + F.lit(gear_share) * F.col("max_gear_score")) * variance * critical
@@ -94,7 +94,7 @@ def burst_damage(hits: DataFrame, part_rows: int = 50_000) -> DataFrame:
                    encounter="encounter_id", part=F.col("_part"))
 
 
-def item_duplication(custody: DataFrame, slice_seconds: int = 86_400, hot_rows: int = HOT_ROWS) -> DataFrame:
+def item_duplication(custody: DataFrame, slice_seconds: int = 86_400, hot: Hot = HOT_ROWS) -> DataFrame:
     """Somebody hands over an item that is held by another and that they gave away before.
 
     "Gave it before" is the previous row of the same item and giver, so no self join is needed.
@@ -103,7 +103,7 @@ def item_duplication(custody: DataFrame, slice_seconds: int = 86_400, hot_rows:
     evidence = {"event_id": F.col("event_id"), "server_event_id": F.col("server_event_id"),
                 "ts": F.col("event_ts_utc")}
     again = with_previous(given, ["item_instance_id", "giver"], ["event_ts_utc", "custody_step"], evidence, "_prev",
-                          time_slice("event_ts_utc", slice_seconds), hot_rows)
+                          time_slice("event_ts_utc", slice_seconds), hot)
     bad = again.where(F.col("_prev").isNotNull() & (F.col("holder_before") != F.col("giver")))
     detail = text_of("Gave ", F.col("item_instance_id"), " (", F.col("event_type"), ") while ",
                      F.col("holder_before"), " held it; first given away at ", stamp("_prev.ts"))
@@ -111,14 +111,14 @@ def item_duplication(custody: DataFrame, slice_seconds: int = 86_400, hot_rows:
 
 
 def equip_stacking(events: DataFrame, max_seconds: float = 1.0, slice_seconds: int = HOUR,
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+                   hot: Hot = HOT_ROWS) -> DataFrame:
     """A second equip of a slot soon after the first, with nothing taken off between."""
     rows = events.where(F.col("event_type").isin("item_equipped", "item_unequipped")
                         & F.col("character_id").isNotNull() & F.col("slot").isNotNull()).select(
         "event_id", "server_event_id", "event_type", "event_ts_utc", "character_id", "slot", "item_instance_id")
     values = {k: F.col(k) for k in ("event_type", "event_ts_utc", "event_id", "server_event_id")}
     seq = with_previous(rows, ["character_id", "slot"], ["event_ts_utc", "event_id"], values, "_prev",
-                        time_slice("event_ts_utc", slice_seconds), hot_rows)
+                        time_slice("event_ts_utc", slice_seconds), hot)
     gap = seconds_between("event_ts_utc", "_prev.event_ts_utc")
     bad = seq.where((F.col("event_type") == "item_equipped") & (F.col("_prev.event_type") == "item_equipped")
                     & (gap < max_seconds))
@@ -128,7 +128,7 @@ def equip_stacking(events: DataFrame, max_seconds: float = 1.0, slice_seconds: i
 
 
 def speed_hack(events: DataFrame, adjacency: DataFrame, metres_per_second: float = 7.0,
-               slice_seconds: int = HOUR, hot_rows: int = HOT_ROWS) -> DataFrame:
+               slice_seconds: int = HOUR, hot: Hot = HOT_ROWS) -> DataFrame:
     """Two consecutive zone entries on foot, faster than the walking speed allows.
 
     A relocation or login between the entries breaks the chain. At one instant a zone entry comes
@@ -142,7 +142,7 @@ def speed_hack(events: DataFrame, adjacency: DataFrame, metres_per_second: float
     values = {k: F.col(k) for k in ("event_type", "zone_id", "event_ts_utc", "event_id", "server_event_id")}
     order = ["event_ts_utc", F.col("event_type") == on_foot, "server_id", "shard_seq", "event_id"]
     seq = with_previous(rows, ["character_id"], order, values, "_prev",
-                        time_slice("event_ts_utc", slice_seconds), hot_rows)
+                        time_slice("event_ts_utc", slice_seconds), hot)
     walked = seq.where((F.col("event_type") == on_foot) & (F.col("_prev.event_type") == on_foot))
     edge = adjacency.select(F.col("zone_a_id").alias("_a"), F.col("zone_b_id").alias("_b"), "min_distance_m")
     near = walked.join(edge, (F.col("_prev.zone_id") == F.col("_a")) & (F.col("zone_id") == F.col("_b")))
@@ -155,7 +155,7 @@ def speed_hack(events: DataFrame, adjacency: DataFrame, metres_per_second: float
 
 
 def gear_above_level(events: DataFrame, templates: DataFrame, levels: DataFrame, min_excess: int = 2,
-                     hot_rows: int = HOT_ROWS) -> DataFrame:
+                     hot: Hot = HOT_ROWS) -> DataFrame:
     """An equipped item requires clearly more than the level held at that moment.
 
     A template lost from the equip event is recovered from any other event of the item.
@@ -168,7 +168,7 @@ def gear_above_level(events: DataFrame, templates: DataFrame, levels: DataFrame,
         "item_template_id", F.coalesce("item_template_id", "_known")).drop("_known")
     needs = templates.select("item_template_id", F.col("name").alias("item_name"), "level_requirement")
     placed = asof_join(full.join(needs, "item_template_id"), levels, ["character_id"], "event_ts_utc",
-                       "valid_from", ["level"], tie="level", hot_rows=hot_rows)
+                       "valid_from", ["level"], tie="level", hot=hot)
     bad = placed.where(F.col("level_requirement") - F.col("level") >= min_excess)
     detail = text_of("Equipped ", F.col("item_name"), " (requires level ", F.col("level_requirement"),
                      ") at level ", F.col("level"))
@@ -185,15 +185,15 @@ def hit_above_max(hits: DataFrame) -> DataFrame:
 
 
 def ability_cooldown(events: DataFrame, abilities: DataFrame, global_seconds: float = 1.5,
-                     tolerance: float = 0.001, slice_seconds: int = HOUR, hot_rows: int = HOT_ROWS) -> DataFrame:
+                     tolerance: float = 0.001, slice_seconds: int = HOUR, hot: Hot = HOT_ROWS) -> DataFrame:
     """An ability used within the global cooldown, or within its own."""
     used = events.where((F.col("event_type") == "ability_used") & F.col("character_id").isNotNull()).select(
         "event_id", "server_event_id", "event_ts_utc", "character_id", "ability_id", "encounter_id")
     piece = time_slice("event_ts_utc", slice_seconds)
     when, order = {"ts": F.col("event_ts_utc")}, ["event_ts_utc", "event_id"]
-    after_any = with_previous(used, ["character_id"], order, when, "_any", piece, hot_rows)
+    after_any = with_previous(used, ["character_id"], order, when, "_any", piece, hot)
     known = after_any.where(F.col("ability_id").isNotNull())
-    after_same = with_previous(known, ["character_id", "ability_id"], order, when, "_same", piece, hot_rows)
+    after_same = with_previous(known, ["character_id", "ability_id"], order, when, "_same", piece, hot)
     own = abilities.select("ability_id", "cooldown_s")
     unnamed = after_any.where(F.col("ability_id").isNull())  # only the global cooldown can judge these
     judged = after_same.join(own, "ability_id", "left").unionByName(unnamed, allowMissingColumns=True)
@@ -207,13 +207,13 @@ def ability_cooldown(events: DataFrame, abilities: DataFrame, global_seconds: fl
 
 
 def reuse_within(events: DataFrame, seconds: int = 3600, event_type: str = "amulet_used", what: str = "Amulet",
-                 rule: str = "R08", slice_seconds: int = HOUR, hot_rows: int = HOT_ROWS) -> DataFrame:
+                 rule: str = "R08", slice_seconds: int = HOUR, hot: Hot = HOT_ROWS) -> DataFrame:
     """The amulet used again inside its cooldown."""
     used = events.where((F.col("event_type") == event_type) & F.col("character_id").isNotNull()).select(
         "event_id", "server_event_id", "event_ts_utc", "character_id")
     values = {"ts": F.col("event_ts_utc"), "event_id": F.col("event_id"), "server_event_id": F.col("server_event_id")}
     seq = with_previous(used, ["character_id"], ["event_ts_utc", "event_id"], values, "_prev",
-                        time_slice("event_ts_utc", slice_seconds), hot_rows)
+                        time_slice("event_ts_utc", slice_seconds), hot)
     gap = seconds_between("event_ts_utc", "_prev.ts")
     detail = text_of(f"{what} used ", F.round(gap / 60, 1), " min after the previous use")
     return finding(seq.where(gap < seconds), rule, detail, *pair_evidence("_prev"))
@@ -239,10 +239,12 @@ def bound_item_moved(custody: DataFrame, events: DataFrame,
 def illegal_trade(events: DataFrame, characters: DataFrame, max_sides: int = 16) -> DataFrame:
     """A trade between characters of different factions, or in different zones.
 
-    A trade has two sides, each logged once; every pair of its events is compared. A trade id
-    borne by more than `max_sides` events is corrupt: comparing all its pairs would be quadratic,
-    so there each event is compared with the trade's first and last side, which still names every
-    event that differs from either and reports the trade whenever any two sides differ.
+    A trade has two sides, each logged once, so one aggregation that keeps the first and the last
+    side of every trade already holds the pair: no self join. Only trade ids borne by more events
+    get their members back. Up to `max_sides` all their pairs are compared; beyond that the id is
+    corrupt and all pairs would be quadratic, so each member is compared with the first, the last
+    and the first fully known side, which names every member that differs from one of them and
+    reports the trade whenever any two sides differ.
     """
     side = events.where((F.col("event_type") == "trade_completed") & F.col("trade_id").isNotNull()
                         & F.col("character_id").isNotNull()).select(
@@ -250,24 +252,22 @@ def illegal_trade(events: DataFrame, characters: DataFrame, max_sides: int = 16)
     sides = side.join(characters.select("character_id", "faction"), "character_id")
     row = F.struct("character_id", "event_id", "server_event_id", "event_ts_utc", "zone_id", "faction")
     known = F.col("faction").isNotNull() & F.col("zone_id").isNotNull()
-    size = sides.groupBy("trade_id").agg(
-        F.count("*").alias("_n"), F.min(row).alias("_first"), F.max(row).alias("_last"),
-        F.min(F.when(known, row)).alias("_known"))
-    wide = size.where(F.col("_n") > max_sides)
-    usual = sides.join(wide.select("trade_id"), "trade_id", "left_anti")
-    pairs = usual.select("trade_id", row.alias("a")).join(
-        usual.select("trade_id", row.alias("b")), "trade_id").where(
-        F.col("b.character_id") > F.col("a.character_id"))
-    ends = sides.select("trade_id", row.alias("_me")).join(wide, "trade_id")
-    against = ends.select("trade_id", "_me", F.explode(F.array_distinct(
-        F.array("_first", "_last", F.coalesce("_known", "_first")))).alias("_other"))
-    low, high = F.least("_me.character_id", "_other.character_id"), F.greatest("_me.character_id", "_other.character_id")
-    star = against.where(low != high).select(
-        "trade_id",
-        F.when(F.col("_me.character_id") == low, F.col("_me")).otherwise(F.col("_other")).alias("a"),
-        F.when(F.col("_me.character_id") == low, F.col("_other")).otherwise(F.col("_me")).alias("b"))
-    bad = pairs.unionByName(star.distinct()).where(
-        (F.col("a.faction") != F.col("b.faction")) | (F.col("a.zone_id") != F.col("b.zone_id")))
+    size = sides.groupBy("trade_id").agg(F.count("*").alias("_n"), F.min(row).alias("a"), F.max(row).alias("b"),
+                                         F.min(F.when(known, row)).alias("_known"))
+    two = size.where(F.col("_n") == 2).select("trade_id", "a", "b")
+    more = size.where(F.col("_n") > 2)
+    members = sides.select("trade_id", row.alias("_me")).join(more, "trade_id")
+    usual = members.where(F.col("_n") <= max_sides)
+    among = usual.select("trade_id", F.col("_me").alias("a")).join(
+        usual.select("trade_id", F.col("_me").alias("b")), "trade_id")
+    fixed = F.array_distinct(F.array("a", "b", F.coalesce("_known", "a")))
+    against = members.where(F.col("_n") > max_sides).select("trade_id", "_me", F.explode(fixed).alias("_other"))
+    mine_first = F.col("_me.character_id") < F.col("_other.character_id")
+    star = against.select("trade_id", F.when(mine_first, F.col("_me")).otherwise(F.col("_other")).alias("a"),
+                          F.when(mine_first, F.col("_other")).otherwise(F.col("_me")).alias("b")).distinct()
+    bad = two.unionByName(among).unionByName(star).where(
+        (F.col("a.character_id") < F.col("b.character_id"))
+        & ((F.col("a.faction") != F.col("b.faction")) | (F.col("a.zone_id") != F.col("b.zone_id"))))
     detail = text_of("Trade ", F.col("trade_id"), " with ", F.col("b.character_id"), ": factions ",
                      F.col("a.faction"), "/", F.col("b.faction"), ", zones ", F.col("a.zone_id"), "/",
                      F.col("b.zone_id"))

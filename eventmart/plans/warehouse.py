@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.operators import history, quality
+from eventmart.operators.ordered import HotKeys, measure_hot_keys
 from eventmart.plans import dims, facts, findings, reports, rules
 from eventmart.plans.staging import stg_events
 from eventmart.sources.landing import lower_types, materialize, write_csv
@@ -28,13 +29,14 @@ RAW_TABLES = [
 ]
 RULES: dict[str, Callable[["Warehouse"], DataFrame]] = {
     "R01": lambda w: rules.burst_damage(w["int_damage_hits"]),
-    "R02": lambda w: rules.item_duplication(w["int_item_custody"]),
-    "R03": lambda w: rules.equip_stacking(w["stg_events"]),
-    "R04": lambda w: rules.speed_hack(w["stg_events"], w.raw["zone_adjacency"]),
-    "R05": lambda w: rules.gear_above_level(w["stg_events"], w.raw["item_templates"], w["int_level_history"]),
+    "R02": lambda w: rules.item_duplication(w["int_item_custody"], hot=w.hot("item_instance_id")),
+    "R03": lambda w: rules.equip_stacking(w["stg_events"], hot=w.hot("character_id")),
+    "R04": lambda w: rules.speed_hack(w["stg_events"], w.raw["zone_adjacency"], hot=w.hot("character_id")),
+    "R05": lambda w: rules.gear_above_level(w["stg_events"], w.raw["item_templates"], w["int_level_history"],
+                                           hot=w.hot("character_id")),
     "R06": lambda w: rules.hit_above_max(w["int_damage_hits"]),
-    "R07": lambda w: rules.ability_cooldown(w["stg_events"], w.raw["abilities"]),
-    "R08": lambda w: rules.reuse_within(w["stg_events"]),
+    "R07": lambda w: rules.ability_cooldown(w["stg_events"], w.raw["abilities"], hot=w.hot("character_id")),
+    "R08": lambda w: rules.reuse_within(w["stg_events"], hot=w.hot("character_id")),
     "R09": lambda w: rules.bound_item_moved(w["int_item_custody"], w["stg_events"]),
     "R10": lambda w: rules.illegal_trade(w["stg_events"], w.raw["characters"]),
     "R11": lambda w: rules.transport_misuse(w["stg_events"], w.raw["transports"], w.raw["characters"],
@@ -54,10 +56,13 @@ MODELS: dict[str, dict[str, Model]] = {
         "dq_shard_quality": lambda w: quality.shard_quality(w.raw["events"], w["stg_events"]),
     },
     "intermediate": {
-        "int_level_history": lambda w: history.level_history(w["stg_events"], w.raw["characters"]),
-        "int_item_custody": lambda w: history.custody_chain(history.item_moves(w["stg_events"])),
+        "int_level_history": lambda w: history.level_history(w["stg_events"], w.raw["characters"],
+                                                             hot=w.hot("character_id")),
+        "int_item_custody": lambda w: history.custody_chain(history.item_moves(w["stg_events"]),
+                                                            hot=w.hot("item_instance_id")),
         "int_damage_hits": lambda w: rules.damage_hits(w["stg_events"], w.raw["characters"], w.raw["abilities"],
-                                                       w["int_level_history"], w.raw["gear_score_caps"]),
+                                                       w["int_level_history"], w.raw["gear_score_caps"],
+                                                       hot=w.hot("character_id")),
     },
     "cheats": {
         "cheat_rule_catalogue": lambda w: findings.rule_catalogue(w.spark),
@@ -75,9 +80,9 @@ MODELS: dict[str, dict[str, Model]] = {
         "dim_zone": lambda w: dims.dim_zone(w.raw["sub_zones"], w.raw["zones"]),
         "dim_item_template": lambda w: dims.dim_item_template(w.raw["item_templates"], w.raw["item_template_classes"]),
         "dim_creature": lambda w: dims.dim_creature(w.raw["creatures"], w.raw["zones"]),
-        "fct_sessions": lambda w: facts.fct_sessions(w["stg_events"]),
+        "fct_sessions": lambda w: facts.fct_sessions(w["stg_events"], hot=w.hot("character_id")),
         "fct_encounter_participation": lambda w: facts.encounter_participation(
-            w["stg_events"], w.raw["creatures"], w["int_level_history"]),
+            w["stg_events"], w.raw["creatures"], w["int_level_history"], hot=w.hot("character_id")),
         "fct_deaths": lambda w: facts.fct_deaths(w["stg_events"], w.raw["creatures"]),
         "fct_creature_kills": lambda w: facts.fct_creature_kills(w["fct_encounter_participation"]),
         "fct_loot": lambda w: facts.fct_loot(w["stg_events"], w.raw["item_templates"]),
@@ -119,6 +124,7 @@ class Warehouse:
                  window: tuple[str, str, str] = ("2026-08-10", "2026-09-11", "2026-08-26 09:41:00")) -> None:
         self.spark, self.raw, self.folder, self.window = spark, raw, folder.rstrip("/"), window
         self._tables: dict[str, DataFrame] = {}
+        self._hot: dict[str, HotKeys] = {}
         self._layer_of = {m: layer for layer, models in MODELS.items() for m in models}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -126,6 +132,17 @@ class Warehouse:
             self._tables[name] = MODELS[self._layer_of[name]][name](self)
         return self._tables[name]
 
+    def hot(self, key: str) -> HotKeys:
+        """The hot values of a key among all cleaned events, measured once.
+
+        Items count by all the events that name them, also as part of a traded list.
+        """
+        if key not in self._hot:
+            items = F.concat(F.array(key), F.coalesce("items_given", F.array())) if key == "item_instance_id" else F.array(key)
+            named = self["stg_events"].select(F.explode(items).alias(key))
+            self._hot[key] = measure_hot_keys(named, [key], f"{self.folder}/hot/{key}")
+        return self._hot[key]
+
     def path(self, name: str) -> str:
         return f"{self.folder}/{self._layer_of[name]}/{name}"
 
