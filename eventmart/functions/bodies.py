@@ -58,9 +58,9 @@ def text_list(value: Column) -> Column:
 def json_list_sum(value: Column, field: str = "total") -> Column:
     """Sum of one number over a JSON list of objects; NULL for an empty list, missing numbers skipped."""
     items = F.from_json(value, T.ArrayType(T.StructType([T.StructField(field, T.LongType())])))
-    numbers = F.filter(F.transform(items, lambda x: x[field]), lambda x: x.isNotNull())
-    start = F.lit(None).cast("bigint")
-    return F.aggregate(numbers, start, lambda total, x: F.coalesce(total, F.lit(0).cast("bigint")) + x)
+    zero = F.lit(0).cast("bigint")
+    return F.aggregate(items, F.lit(None).cast("bigint"),
+                       lambda total, x: F.when(x[field].isNull(), total).otherwise(F.coalesce(total, zero) + x[field]))
 
 
 def unpack(df: DataFrame, j: str = "j", event_type: str = "event_type") -> list[Column]:

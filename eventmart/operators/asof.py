@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from eventmart.functions.columns import time_slice
 from eventmart.operators.ordered import HOT, HOT_ROWS, SLICE, Hot, all_cold, split_hot
 
+UNKEYED_GROUPS = 4096
+
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str,
               values: Sequence[str], how: str = "inner", tie: str | None = None,
@@ -27,16 +29,19 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
     tie_col = F.col(tie).cast("bigint") if tie else F.lit(None).cast("bigint")
-    facts = left.select("*", F.col(left_on).alias("_at"), F.lit(1).alias("_side"),
-                        F.lit(None).cast("bigint").alias("_tie"))
+    keyed = F.col(left_on).isNotNull()
+    for k in by:
+        keyed = keyed & F.col(k).isNotNull()
+        right = right.where(F.col(k).isNotNull())
+    # rows that cannot match pass along, spread over many groups of their own
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(UNKEYED_GROUPS)).cast("int") + 1
+    facts = left.select("*", F.col(left_on).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast("bigint").alias("_tie"),
+                        F.when(keyed, F.lit(0)).otherwise(spread).alias("_group"))
     known = right.where(F.col(right_on).isNotNull()).select(
-        *by, F.col(right_on).alias("_at"), F.lit(0).alias("_side"), tie_col.alias("_tie"),
+        *by, F.col(right_on).alias("_at"), F.lit(0).alias("_side"), tie_col.alias("_tie"), F.lit(0).alias("_group"),
         F.struct(*values).alias("_match"))
-    keyed = facts
-    for k in by:
-        keyed = keyed.where(F.col(k).isNotNull())
-        known = known.where(F.col(k).isNotNull())
-    stacked = keyed.where(F.col("_at").isNotNull()).unionByName(known, allowMissingColumns=True)
+    stacked = (facts if how == "left" else facts.where(F.col("_group") == 0)).unionByName(known, allowMissingColumns=True)
+    groups = [*by, "_group"]
     latest = F.last("_match", ignorenulls=True)
 
     def upto(*keys: str) -> WindowSpec:
@@ -44,24 +49,18 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
                  .rowsBetween(W.unboundedPreceding, W.currentRow))
 
     if all_cold(hot, by):
-        found = stacked.withColumn("_found", latest.over(upto(*by))).where(F.col("_side") == 1)
+        found = stacked.withColumn("_found", latest.over(upto(*groups))).where(F.col("_side") == 1)
     else:
         cut = split_hot(stacked, by, time_slice("_at", slice_seconds), hot)
         earlier = W.partitionBy(*by).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
         at_right = F.when(F.col("_side") == 0, F.struct("_at", "_tie"))
         carry = (cut.where(HOT).groupBy(*by, SLICE).agg(F.max_by("_match", at_right).alias("_last"))
                     .select(*by, SLICE, F.last("_last", ignorenulls=True).over(earlier).alias("_carry")))
-        found = (cut.withColumn("_found", latest.over(upto(*by, SLICE))).where(F.col("_side") == 1)
+        found = (cut.withColumn("_found", latest.over(upto(*groups, SLICE))).where(F.col("_side") == 1)
                     .join(carry, [*by, SLICE], "left").withColumn("_found", F.coalesce("_found", "_carry")))
     if how == "inner":
         found = found.where(F.col("_found").isNotNull())
-    out = found.select(*left.columns, *[F.col(f"_found.{v}").alias(v) for v in values])
-    if how == "left":
-        unkeyed = F.col("_at").isNull()
-        for k in by:
-            unkeyed = unkeyed | F.col(k).isNull()
-        out = out.unionByName(facts.where(unkeyed).select(*left.columns), allowMissingColumns=True)
-    return out
+    return found.select(*left.columns, *[F.col(f"_found.{v}").alias(v) for v in values])
 
 
 def asof_interval_join(left: DataFrame, history: DataFrame, by: Sequence[str], on: str,

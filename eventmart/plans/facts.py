@@ -25,31 +25,36 @@ def encounter_participation(events: DataFrame, creatures: DataFrame, levels: Dat
                             hot: Hot = HOT_ROWS) -> DataFrame:
     """One row per character and encounter.
 
-    The log is read once: starts, ends, summaries and hits are conditional aggregates of one hash
-    aggregation, not four scans joined together. Descriptive columns take the value of the smallest
-    event id that has one. Damage comes from the fight's summary if there is one, else from hits.
+    Times, counts and damage of all events of a fight are one hash aggregation; the descriptive
+    columns come from the start and end events only and take the value of the smallest event id
+    that has one. Both are partitioned alike, so joining them moves nothing. Damage comes from the
+    fight's summary if there is one, else from its hits.
     """
     kind = F.col("event_type")
     start, end = kind == "encounter_started", kind == "encounter_ended"
     summary = kind == "encounter_damage_summary"
     hit_done, hit_taken = kind.isin(*DEALT), kind.isin(*RECEIVED)
+    by = ["encounter_id", "character_id"]
+    rows = events.where((start | end | summary | hit_done | hit_taken)
+                        & F.col("encounter_id").isNotNull() & F.col("character_id").isNotNull())
 
     def first(column: str, when: Column) -> Column:
         return F.min_by(column, F.when(when & F.col(column).isNotNull(), F.col("event_id"))).alias(column)
 
-    rows = events.where((start | end | summary | hit_done | hit_taken)
-                        & F.col("encounter_id").isNotNull() & F.col("character_id").isNotNull())
-    fights = rows.groupBy("encounter_id", "character_id").agg(
-        F.count_if(start).alias("_starts"),
+    numbers = rows.select(
+        *by, start.alias("_start"), F.when(start, F.col("event_ts_utc")).alias("_from"),
+        F.when(end, F.col("event_ts_utc")).alias("_to"),
+        F.when(summary, json_list_sum(F.col("summary_damage_done"))).alias("_done"),
+        F.when(summary, json_list_sum(F.col("summary_damage_received"))).alias("_taken"),
+        F.when(hit_done, F.col("damage")).alias("_hit"), F.when(hit_taken, F.col("damage")).alias("_got"))
+    measured = numbers.groupBy(*by).agg(
+        F.count_if("_start").alias("_starts"), F.min("_from").alias("started_at"), F.max("_to").alias("ended_at"),
+        F.sum("_done").alias("_sum_done"), F.sum("_taken").alias("_sum_taken"), F.sum("_hit").alias("_hit_done"),
+        F.sum("_got").alias("_hit_taken")).where(F.col("_starts") > 0)
+    described = rows.where(start | end).groupBy(*by).agg(
         *[first(c, start) for c in ("encounter_kind", "creature_id", "opponent_character_ids", "party_id",
-                                    "zone_id", "sub_zone_id")],
-        first("outcome", end),
-        F.min(F.when(start, F.col("event_ts_utc"))).alias("started_at"),
-        F.max(F.when(end, F.col("event_ts_utc"))).alias("ended_at"),
-        F.sum(F.when(summary, json_list_sum(F.col("summary_damage_done")))).alias("_sum_done"),
-        F.sum(F.when(summary, json_list_sum(F.col("summary_damage_received")))).alias("_sum_taken"),
-        F.sum(F.when(hit_done, F.col("damage"))).alias("_hit_done"),
-        F.sum(F.when(hit_taken, F.col("damage"))).alias("_hit_taken")).where(F.col("_starts") > 0)
+                                    "zone_id", "sub_zone_id")], first("outcome", end))
+    fights = measured.join(described, by)
     ranked = fights.join(creatures.select("creature_id", F.col("rank").alias("creature_rank")), "creature_id", "left")
     placed = asof_join(ranked, levels, ["character_id"], "started_at", "valid_from", ["level", "bracket_min_level"],
                        how="left", tie="level", hot=hot)
