@@ -414,6 +414,29 @@ def legal_max(w: World) -> DataFrame:
                  "ability_base_at_level", "gear_score_cap", "max_possible_hit")
 
 
+@query
+def unjudged_hits(w: World) -> DataFrame:
+    lost = w.hits.withColumns({
+        "character_id": F.when(F.col("event_id") % 7 > 0, F.col("character_id")).otherwise("chr_gone"),
+        "ability_id": F.when(F.col("event_id") % 11 > 0, F.col("ability_id"))})
+    return plain(rules.unjudged_hits(lost, w.characters, w.abilities))
+
+
+@query
+def repair_int_sql(w: World) -> DataFrame:
+    """The repair as a SQL function."""
+    fc.register_sql_functions(w.spark)
+    return plain(w.arrived.select("event_id", F.expr("repair_int(amount)").alias("amount")))
+
+
+@query
+def landed_since(w: World) -> DataFrame:
+    """An incremental read: only the landed partitions from one day on."""
+    path = w.scratch("since")
+    landing.land_table(w.raw_events, path, "received_at")
+    return plain(landing.read_landed(w.spark, path, since="2024-01-20"), "event_id", "server_event_id", "received_at")
+
+
 @query
 def bracket_cap_join(w: World) -> DataFrame:
     joined = bracket_join(w.characters.select("character_id", "level"), w.gear_score_caps, "level",

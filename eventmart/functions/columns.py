@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # The corrupted-integer rule of the event log.
@@ -22,6 +22,12 @@ def repair_int(value: str | Column) -> Column:
     return F.when(v < 0, F.bitwise_not(v)).when(v < F.lit(INT_OVERFLOW), v)
 
 
+def register_sql_functions(spark: SparkSession) -> None:
+    """Offer the integer repair to SQL users as `repair_int(v)`."""
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION repair_int(v BIGINT) RETURNS BIGINT "
+              f"RETURN CASE WHEN v < 0 THEN ~v WHEN v < {INT_OVERFLOW} THEN v END")
+
+
 def repair_label(values: Sequence[str | Column]) -> Column:
     """Which repair a row needed, looking at several raw integers at once."""
     raw = [col(v) for v in values]

@@ -41,7 +41,6 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
         *by, F.col(right_on).alias("_at"), F.lit(0).alias("_side"), tie_col.alias("_tie"), F.lit(0).alias("_group"),
         F.struct(*values).alias("_match"))
     stacked = (facts if how == "left" else facts.where(F.col("_group") == 0)).unionByName(known, allowMissingColumns=True)
-    groups = [*by, "_group"]
     latest = F.last("_match", ignorenulls=True)
 
     def upto(*keys: str) -> WindowSpec:
@@ -49,15 +48,16 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
                  .rowsBetween(W.unboundedPreceding, W.currentRow))
 
     if all_cold(hot, by):
-        found = stacked.withColumn("_found", latest.over(upto(*groups))).where(F.col("_side") == 1)
+        found = stacked.withColumn("_found", latest.over(upto(*by, "_group"))).where(F.col("_side") == 1)
     else:
         cut = split_hot(stacked, by, time_slice("_at", slice_seconds), hot)
+        cut = cut.withColumn(SLICE, F.when(F.col("_group") > 0, F.col("_group").cast("bigint")).otherwise(F.col(SLICE)))
         earlier = W.partitionBy(*by).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
         at_right = F.when(F.col("_side") == 0, F.struct("_at", "_tie"))
         carry = (cut.where(HOT).groupBy(*by, SLICE).agg(F.max_by("_match", at_right).alias("_last"))
                     .select(*by, SLICE, F.last("_last", ignorenulls=True).over(earlier).alias("_carry")))
-        found = (cut.withColumn("_found", latest.over(upto(*groups, SLICE))).where(F.col("_side") == 1)
-                    .join(carry, [*by, SLICE], "left").withColumn("_found", F.coalesce("_found", "_carry")))
+        found = (cut.withColumn("_found", latest.over(upto(*by, SLICE))).where(F.col("_side") == 1)
+                    .join(carry, [*by, SLICE], "left").withColumn("_found", F.when(F.col("_group") == 0, F.coalesce("_found", "_carry"))))
     if how == "inner":
         found = found.where(F.col("_found").isNotNull())
     return found.select(*left.columns, *[F.col(f"_found.{v}").alias(v) for v in values])

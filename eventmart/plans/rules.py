@@ -67,6 +67,24 @@ def damage_hits(events: DataFrame, characters: DataFrame, abilities: DataFrame,
                   .drop("base_damage", "damage_per_level", "bracket_min_level", "bracket_max_level"))
 
 
+def unjudged_hits(events: DataFrame, characters: DataFrame, abilities: DataFrame) -> DataFrame:
+    """How many hits the combat rules cannot see, by reason.
+
+    Hits are counted per actor and ability before the lookups, so a busy actor is one row of them.
+    """
+    dealt = events.where(F.col("event_type").isin("pve_damage_dealt", "pvp_damage_dealt"))
+    per = dealt.groupBy("character_id", "ability_id", F.col("damage").isNull().alias("_no_damage")).agg(
+        F.count("*").alias("n"))
+    actors = characters.select(F.col("character_id").alias("_actor"))
+    known = abilities.select(F.col("ability_id").alias("_ability"))
+    full = (per.join(actors, F.col("character_id") == F.col("_actor"), "left")
+               .join(known, F.col("ability_id") == F.col("_ability"), "left"))
+    reason = (F.when(F.col("_no_damage"), "no damage").when(F.col("_actor").isNull(), "unknown actor")
+               .when(F.col("_ability").isNull(), "unknown ability"))
+    return full.select(reason.alias("reason"), "n").where(F.col("reason").isNotNull()).groupBy("reason").agg(
+        F.sum("n").alias("hits"))
+
+
 def burst_damage(hits: DataFrame, part_rows: int = 50_000) -> DataFrame:
     """Several hits of one character in one encounter at one instant.
 

@@ -56,10 +56,19 @@ def land_table(df: DataFrame, path: str, partition_ts: str | None = None) -> tup
     return int(seen.get["rows"]), landed
 
 
-def read_landed(spark: SparkSession, path: str, keep_date: bool = False) -> DataFrame:
-    """A landed table; `received_date` is a partition for pruning and not part of the data."""
+def read_landed(spark: SparkSession, path: str, keep_date: bool = False, since: str | None = None) -> DataFrame:
+    """A landed table; `received_date` is a partition for pruning and not part of the data.
+
+    `since` (a date as text) reads only the partitions from that day on, and the rows without a
+    receive date, for an incremental run.
+    """
     df = spark.read.parquet(path)
-    return df if keep_date or "received_date" not in df.columns else df.drop("received_date")
+    if "received_date" not in df.columns:
+        return df
+    if since is not None:
+        date = F.col("received_date").cast("string")
+        df = df.where((date >= since) | (date == UNKNOWN_DATE))
+    return df if keep_date else df.drop("received_date")
 
 
 MANIFEST = "table_name string, source_rows bigint, landed_rows bigint, reconciled boolean"

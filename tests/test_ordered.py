@@ -65,11 +65,11 @@ def history(spark):
 @pytest.mark.parametrize("limit", [0, 150, 10_000])
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_asof_equals_brute_force(spark, log, history, limit, how):
-    left = log.unionByName(spark.createDataFrame([(9001, None, at(5), 1)], log.schema))
+    left = log.unionByName(spark.createDataFrame([(9001, None, at(5), 1), (9002, "a", None, 1), (9003, "b", None, 1)], log.schema))
     known = [tuple(r) for r in history.collect()]
     want = []
     for r in left.collect():
-        best = max(((s, lv) for k, s, lv in known if k == r.k and s <= r.ts), default=None)
+        best = max(((s, lv) for k, s, lv in known if k == r.k and r.ts and s <= r.ts), default=None)
         if best or how == "left":
             want.append((r.id, best[1] if best else None))
     got = asof_join(left, history, ["k"], "ts", "since", ["level"], how, tie="level", slice_seconds=1800, hot=limit)
