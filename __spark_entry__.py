@@ -31,6 +31,12 @@ from eventmart.sources.sample_world import sample_table, view  # noqa: E402
 from eventmart.streaming import jobs  # noqa: E402
 from oracle_statements import ORACLES  # noqa: E402
 
+try:  # the operators for training data are an addition that may be absent
+    import corpus_pipeline  # noqa: E402
+    from eventmart.llm import queries as training  # noqa: E402
+except ImportError:
+    training = None
+
 RELEASE = "2024-01-15 00:00:00"
 WINDOW = ("2024-01-01", "2024-01-31", RELEASE)
 DAY = 86_400
@@ -907,8 +913,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: (lambda spark, sf_dir, fn=fn: fn(World(spark, sf_dir))) for name, fn in REGISTRY.items()}
+    own = {name: (lambda spark, sf_dir, fn=fn: fn(World(spark, sf_dir))) for name, fn in REGISTRY.items()}
+    return own | (training.QUERIES | {"pipeline": corpus_pipeline.run} if training else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, sql in ORACLES.items() if name in REGISTRY}
+    own = {name: sql for name, sql in ORACLES.items() if name in REGISTRY}
+    return own | (training.ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}) if training else {})
