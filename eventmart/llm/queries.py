@@ -83,17 +83,17 @@ ORACLES = {
     "op9_warc_round_trip": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
         d AS (SELECT *, max(page_id) OVER (PARTITION BY h, n) AS keeper,
-                     list_transform(range(8), k -> ('0x' || substr(h, k * 5 + 1, 5))::BIGINT) AS parts FROM p)
+                     [('0x' || substr(h, (k * 5 + 1)::INT, 5))::BIGINT for k in range(8)] AS parts FROM p)
         SELECT page_id, n::BIGINT AS payload_bytes,
-               list_aggregate(list_transform(parts, v -> list_aggregate(list_transform([15, 10, 5, 0],
-                   s -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> s) & 31) + 1, 1)), 'string_agg', '')), 'string_agg', '') AS payload_digest,
+               array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((parts[(i // 4 + 1)::INT] >> (15 - 5 * (i % 4))::INT) & 31) + 1)::INT, 1)
+                                for i in range(32)], '') AS payload_digest,
                CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id = keeper THEN NULL ELSE keeper END AS refers_to
         FROM d""",
     "op10_near_duplicates": r"""
-        WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(
-                 translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), x -> x <> '') AS ws FROM documents),
-        s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(greatest(len(ws) - 2, 1)), i -> array_to_string(ws[i + 1:i + 3], ' '))) AS g
+        WITH RECURSIVE w AS (SELECT doc_id, [x for x in regexp_split_to_array(
+                 translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+') if x <> ''] AS ws FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest([array_to_string(ws[i + 1:i + 3], ' ') for i in range(greatest(len(ws) - 2, 1))]) AS g
               FROM w WHERE len(ws) > 0),
         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
         e AS (SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id
