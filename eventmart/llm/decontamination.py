@@ -18,6 +18,7 @@ from eventmart.llm.common import store, texts
 # words: A-Z in lower case; letters, digits and what lies beyond ASCII
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 END = 1 << 60
+SPAN = 4  # neighbouring entries that the first bound of a passage takes together
 
 
 def words(text: bytes) -> list[bytes]:
@@ -89,6 +90,26 @@ class Index:
             self.terms.append((ids, weights, [ids[min(k + block, len(ids)) - 1] for k in cut],
                                [max(weights[k : k + block]) for k in cut], block, max(weights)))
         self.tops = np.array([t[5] for t in self.terms] + [0.0])  # the last one is for words that aren't in the index
+        # largest weight of each term among SPAN neighbouring entries, for a first bound of whole passages
+        span, near = SPAN, []
+        for t, (ids, weights, *_) in enumerate(self.terms):
+            best: dict[int, float] = {}
+            for e, s in zip(ids, weights):
+                best[e // span] = max(s, best.get(e // span, 0.0))
+            near += [(t, b, s) for b, s in best.items()]
+        self.spans = len(self.entries) // span + 1
+        self.near_term, self.near_span = (np.array([x[k] for x in near], dtype=np.int64) for k in (0, 1))
+        self.near_best = np.array([x[2] for x in near])
+        self.near_from = np.searchsorted(self.near_term, np.arange(len(self.terms) + 1))
+
+    def bounds(self, passage: np.ndarray, term: np.ndarray, n: int) -> np.ndarray:
+        """The most that any entry can score in each of n passages, from (passage, term) pairs."""
+        key = np.unique(passage * (len(self.terms) + 1) + term)
+        passage, term = key // (len(self.terms) + 1), key % (len(self.terms) + 1)
+        count = self.near_from[term + 1] - self.near_from[term]
+        at = np.arange(count.sum()) + np.repeat(self.near_from[term] - np.cumsum(count) + count, count)
+        sums = np.bincount(np.repeat(passage, count) * self.spans + self.near_span[at], self.near_best[at], n * self.spans)
+        return sums.reshape(n, self.spans).max(axis=1)
 
     def search(self, terms: set[int], threshold: float) -> list[tuple[int, float]]:
         """Block-max WAND: all entries whose score, the sum of the terms' weights, is at least the threshold."""
@@ -133,22 +154,32 @@ class Index:
 def passages(ws: list[bytes], index: Index, width: int, threshold: float) -> dict[int, tuple[float, list[int]]]:
     """For each item that a passage of the text retrieves: its best score and the passages' starts.
 
-    Passages are `width` words and begin every half width, so every run of half the width lies in one.
-    A passage whose words' largest weights don't add up to the threshold can't retrieve anything.
+    Passages are `width` words and begin every half width, so every run of half the width lies in one. One
+    whose bound, from the largest weights of its terms in neighbouring entries, stays below the threshold
+    can't retrieve anything; the others go through the index.
     """
-    ids, out = index.numbers(ws), {}
-    step = width // 2
-    sums = np.r_[0.0, np.cumsum(index.tops[ids])]
-    starts = np.arange(0, max(1, len(ws) - step), step)
-    for s in starts[sums[np.minimum(starts + width, len(ws))] - sums[starts] >= threshold - 1e-9].tolist():
-        terms = set(ids[s : s + width].tolist()) - {len(index.terms)}
-        if index.tops[list(terms)].sum() < threshold - 1e-9:
+    out: dict[int, tuple[float, list[int]]] = {}
+    ids = index.numbers(ws)
+    known = np.flatnonzero(ids < len(index.terms))
+    if not known.size:
+        return out
+    step, term = width // 2, ids[known]
+    n = max(1, -(-(len(ws) - step) // step))
+    later = known // step  # the last passage a word lies in; it lies in the one before, too
+    for begin in range(0, n, 256):
+        end = min(n, begin + 256)
+        both = np.concatenate([later, later - 1]), np.concatenate([term, term])
+        here = (both[0] >= begin) & (both[0] < end)
+        if not here.any():
             continue
-        for entry, score in index.search(terms, threshold):
-            item = index.entries[entry][0]
-            best, at = out.setdefault(item, (0.0, []))
-            at.append(s)
-            out[item] = (max(best, score), at)
+        bound = index.bounds(both[0][here] - begin, both[1][here], end - begin)
+        for k in (begin + np.flatnonzero(bound >= threshold - 1e-9)).tolist():
+            s = k * step
+            for entry, score in index.search(set(ids[s : s + width].tolist()) - {len(index.terms)}, threshold):
+                item = index.entries[entry][0]
+                best, at = out.setdefault(item, (0.0, []))
+                at.append(s)
+                out[item] = (max(best, score), at)
     return out
 
 
