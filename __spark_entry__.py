@@ -149,7 +149,7 @@ class World:
         return findings.violations([self.rule(i) for i in ids], findings.rule_catalogue(self.spark), self.characters)
 
     def offenders(self) -> DataFrame:
-        return self.stored("offenders", lambda: findings.offenders(self.found("R03", "R04", "R08", "R11")))
+        return self.stored("offenders", lambda: findings.offenders(self.found(*RULE_KEYS)))
 
     # marts
     def dates(self) -> DataFrame:
@@ -469,7 +469,7 @@ def wrong_price(w: World) -> DataFrame:
 
 @query
 def violations(w: World) -> DataFrame:
-    return plain(w.found("R03", "R04", "R08", "R11", "R13").drop("violation_key"))
+    return plain(w.found(*RULE_KEYS).drop("violation_key"))
 
 
 @query
@@ -486,7 +486,7 @@ def offenders(w: World) -> DataFrame:
 
 @query
 def rule_results(w: World) -> DataFrame:
-    return plain(findings.rule_results(findings.rule_catalogue(w.spark), w.found("R03", "R04", "R08", "R11", "R13")))
+    return plain(findings.rule_results(findings.rule_catalogue(w.spark), w.found(*RULE_KEYS)))
 
 
 @query
@@ -839,7 +839,7 @@ def always_together(w: World) -> DataFrame:
 @query
 def offender_timeline(w: World) -> DataFrame:
     confirmed = w.offenders().where("confirmed_cheater")
-    return plain(checks.offender_timeline(w.visits, w.found("R03", "R04", "R08", "R11"), confirmed))
+    return plain(checks.offender_timeline(w.visits, w.found(*RULE_KEYS), confirmed))
 
 
 @query
@@ -878,7 +878,7 @@ def stream_skew(w: World) -> DataFrame:
 
 @query
 def stream_gaps(w: World) -> DataFrame:
-    return plain(jobs.run_to_table(jobs.loss_stream(_stream(w, "raw_events")), w.scratch("gaps")))
+    return plain(quality.lost_events(jobs.run_to_table(jobs.loss_stream(_stream(w, "raw_events")), w.scratch("gaps"))))
 
 
 @query

@@ -56,11 +56,15 @@ def text_list(value: Column) -> Column:
 
 
 def json_list_sum(value: Column, field: str = "total") -> Column:
-    """Sum of one number over a JSON list of objects; NULL for an empty list, missing numbers skipped."""
-    items = F.from_json(value, T.ArrayType(T.StructType([T.StructField(field, T.LongType())])))
+    """Sum of one number over a JSON list of objects; NULL for an empty list, missing numbers skipped.
+
+    Numbers may be quoted; text that is no whole number counts as missing.
+    """
+    items = F.from_json(value, T.ArrayType(T.StructType([T.StructField(field, T.StringType())])))
+    numbers = F.transform(items, lambda x: x[field].try_cast("bigint"))
     zero = F.lit(0).cast("bigint")
-    return F.aggregate(items, F.lit(None).cast("bigint"),
-                       lambda total, x: F.when(x[field].isNull(), total).otherwise(F.coalesce(total, zero) + x[field]))
+    return F.aggregate(numbers, F.lit(None).cast("bigint"),
+                       lambda total, x: F.when(x.isNull(), total).otherwise(F.coalesce(total, zero) + x))
 
 
 def unpack(df: DataFrame, j: str = "j", event_type: str = "event_type") -> list[Column]:

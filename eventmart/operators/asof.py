@@ -84,7 +84,10 @@ def bracket_join(df: DataFrame, brackets: DataFrame, value: str, low: str, high:
     """Join on `value BETWEEN low AND high`, without a nested loop over the facts.
 
     Each bracket is expanded to the whole numbers it covers, which turns the range into an equi
-    join on the number. Meant for integer values and brackets of bounded width (levels).
+    join on the number. Meant for whole values and brackets of bounded width (levels): a value with
+    a fraction meets no bracket, and neither does a bracket that ends before it begins.
     """
-    table = brackets.withColumn("_value", F.explode(F.sequence(F.col(low).cast("bigint"), F.col(high).cast("bigint"))))
-    return df.withColumn("_value", F.col(value).cast("bigint")).join(table, "_value", how).drop("_value")
+    start, end = F.ceil(low).cast("bigint"), F.floor(high).cast("bigint")
+    table = brackets.where(start <= end).withColumn("_bracket_value", F.explode(F.sequence(start, end)))
+    whole = df.withColumn("_value", F.when(F.col(value) == F.floor(value), F.col(value).cast("bigint")))
+    return whole.join(table, F.col("_value") == F.col("_bracket_value"), how).drop("_value", "_bracket_value")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.functions.columns import col, nulls_for, repair_int, repair_label, seconds_between
@@ -208,8 +208,8 @@ def skew_by_hour(events: DataFrame, alarm_seconds: float = 60.0) -> DataFrame:
                          "from_shard_seq", "to_shard_seq")
 
 
-def loss_by_hour(events: DataFrame) -> DataFrame:
-    """Lost events per shard and receive hour, from the span of sequence numbers seen.
+def spans_by_hour(events: DataFrame) -> DataFrame:
+    """The span of sequence numbers seen per shard and receive hour.
 
     Only aggregates that merge are used, so it also runs on a stream whose copies were dropped
     upstream.
@@ -217,5 +217,24 @@ def loss_by_hour(events: DataFrame) -> DataFrame:
     return (events.groupBy("server_id", F.window("received_at", "1 hour").alias("w"))
                   .agg(F.count("*").alias("events"), F.min("shard_seq").alias("first_seq"),
                        F.max("shard_seq").alias("last_seq"))
-                  .select("server_id", F.col("w.start").alias("hour_start"), "events",
-                          (F.col("last_seq") - F.col("first_seq") + 1 - F.col("events")).alias("lost_events")))
+                  .select("server_id", F.col("w.start").alias("hour_start"), "events", "first_seq", "last_seq"))
+
+
+def lost_events(spans: DataFrame) -> DataFrame:
+    """Lost events per shard and hour, those between two hours counted in the later one.
+
+    What is missing up to an hour is the span of all numbers seen so far less the events seen so
+    far; an hour's loss is how much that grew. It is negative where an hour brings late events. The
+    sum over a shard's hours is the number of its sequence gaps. A shard has one row per hour here.
+    """
+    order = Window.partitionBy("server_id").orderBy("hour_start")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    missing = F.max("last_seq").over(so_far) - F.min("first_seq").over(so_far) + 1 - F.sum("events").over(so_far)
+    counted = spans.withColumn("_missing", missing)
+    return counted.select("server_id", "hour_start", "events",
+                          (F.col("_missing") - F.coalesce(F.lag("_missing").over(order), F.lit(0))).alias("lost_events"))
+
+
+def loss_by_hour(events: DataFrame) -> DataFrame:
+    """Lost events per shard and receive hour, from the sequence numbers seen."""
+    return lost_events(spans_by_hour(events))

@@ -254,38 +254,29 @@ def bound_item_moved(custody: DataFrame, events: DataFrame,
     return finding(bad, "R09", detail, *pair_evidence("_eq"), character="giver")
 
 
-def illegal_trade(events: DataFrame, characters: DataFrame, max_sides: int = 16) -> DataFrame:
+def illegal_trade(events: DataFrame, characters: DataFrame) -> DataFrame:
     """A trade between characters of different factions, or in different zones.
 
-    A trade has two sides, each logged once, so one aggregation that keeps the first and the last
-    side of every trade already holds the pair: no self join. Only trade ids borne by more events
-    get their members back. Up to `max_sides` all their pairs are compared; beyond that the id is
-    corrupt and all pairs would be quadratic, so each member is compared with the first, the last
-    and the first fully known side, which names every member that differs from one of them and
-    reports the trade whenever any two sides differ.
+    Each side of a trade is reported once, against the smallest earlier one (by character id) whose
+    faction or zone differs; for the usual two sides that is the pair. An unknown faction or zone
+    differs from nothing. Linear for any number of sides: the smallest side with a known faction,
+    and the smallest whose faction is another one, hold every side's partner; likewise for zones.
     """
     side = events.where((F.col("event_type") == "trade_completed") & F.col("trade_id").isNotNull()
                         & F.col("character_id").isNotNull()).select(
         "trade_id", "character_id", "event_id", "server_event_id", "event_ts_utc", "zone_id")
-    sides = side.join(characters.select("character_id", "faction"), "character_id")
-    row = F.struct("character_id", "event_id", "server_event_id", "event_ts_utc", "zone_id", "faction")
-    known = F.col("faction").isNotNull() & F.col("zone_id").isNotNull()
-    size = sides.groupBy("trade_id").agg(F.count("*").alias("_n"), F.min(row).alias("a"), F.max(row).alias("b"),
-                                         F.min(F.when(known, row)).alias("_known"))
-    two = size.where(F.col("_n") == 2).select("trade_id", "a", "b")
-    more = size.where(F.col("_n") > 2)
-    members = sides.select("trade_id", row.alias("_me")).join(more, "trade_id")
-    usual = members.where(F.col("_n") <= max_sides)
-    among = usual.select("trade_id", F.col("_me").alias("a")).join(
-        usual.select("trade_id", F.col("_me").alias("b")), "trade_id")
-    fixed = F.array_distinct(F.array("a", "b", F.coalesce("_known", "a")))
-    against = members.where(F.col("_n") > max_sides).select("trade_id", "_me", F.explode(fixed).alias("_other"))
-    mine_first = F.col("_me.character_id") < F.col("_other.character_id")
-    star = against.select("trade_id", F.when(mine_first, F.col("_me")).otherwise(F.col("_other")).alias("a"),
-                          F.when(mine_first, F.col("_other")).otherwise(F.col("_me")).alias("b")).distinct()
-    bad = two.unionByName(among).unionByName(star).where(
-        (F.col("a.character_id") < F.col("b.character_id"))
-        & ((F.col("a.faction") != F.col("b.faction")) | (F.col("a.zone_id") != F.col("b.zone_id"))))
+    me = F.struct("character_id", "event_id", "server_event_id", "event_ts_utc", "zone_id", "faction")
+    sides = side.join(characters.select("character_id", "faction"), "character_id").select("trade_id", me.alias("me"))
+    kinds = ("faction", "zone_id")
+    first = sides.groupBy("trade_id").agg(F.count("*").alias("_n"), *[
+        F.min(F.when(F.col(f"me.{k}").isNotNull(), F.col("me"))).alias(f"one_{k}") for k in kinds]).where("_n > 1")
+    sides = sides.join(first.drop("_n"), "trade_id")
+    other = sides.groupBy("trade_id").agg(*[
+        F.min(F.when(F.col(f"me.{k}") != F.col(f"one_{k}.{k}"), F.col("me"))).alias(f"two_{k}") for k in kinds])
+    partners = [F.when(F.col(f"me.{k}") != F.col(f"one_{k}.{k}"), F.col(f"one_{k}"))
+                 .when(F.col(f"me.{k}") == F.col(f"one_{k}.{k}"), F.col(f"two_{k}")) for k in kinds]
+    bad = sides.join(other, "trade_id").select("trade_id", F.col("me").alias("b"), F.least(*partners).alias("a"))
+    bad = bad.where(F.col("a.character_id") < F.col("b.character_id"))
     detail = text_of("Trade ", F.col("trade_id"), " with ", F.col("b.character_id"), ": factions ",
                      F.col("a.faction"), "/", F.col("b.faction"), ", zones ", F.col("a.zone_id"), "/",
                      F.col("b.zone_id"))

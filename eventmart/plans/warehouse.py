@@ -118,15 +118,29 @@ COUNTS = "layer string, model string, row_count bigint"
 
 
 class Warehouse:
-    """Named models over raw tables; `window` is (first day, end exclusive, release time)."""
+    """Named models over raw tables; `window` is (first day, end exclusive, release time).
+
+    Without a window it is taken from the data: the days the deliveries span, and the last release of a
+    game version before their end.
+    """
 
     def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame], folder: str,
-                 window: tuple[str, str, str] = ("2026-08-10", "2026-09-11", "2026-08-26 09:41:00")) -> None:
-        self.spark, self.raw, self.folder, self.window = spark, raw, folder.rstrip("/"), window
+                 window: tuple[str, str, str] | None = None) -> None:
+        self.spark, self.raw, self.folder, self._window = spark, raw, folder.rstrip("/"), window
         self._tables: dict[str, DataFrame] = {}
         self._hot: dict[str, HotKeys] = {}
         self._layer_of = {m: layer for layer, models in MODELS.items() for m in models}
 
+    @property
+    def window(self) -> tuple[str, str, str]:
+        if self._window is None:
+            day = F.date_format(F.min("received_at"), "yyyy-MM-dd"), F.date_format(F.date_add(F.max("received_at"), 1), "yyyy-MM-dd")
+            first, end = self.raw["events"].agg(*day).first()
+            releases = self.raw["game_versions"].where(F.col("released_at") < F.lit(end).cast("timestamp"))
+            last = releases.agg(F.date_format(F.max("released_at"), "yyyy-MM-dd HH:mm:ss")).first()[0]
+            self._window = (first, end, last or f"{first} 00:00:00")
+        return self._window
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = MODELS[self._layer_of[name]][name](self)

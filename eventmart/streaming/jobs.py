@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from eventmart.operators.quality import loss_by_hour, skew_by_hour
+from eventmart.operators.quality import skew_by_hour, spans_by_hour
 
 LATENESS = "2 hours"
 
@@ -30,8 +30,11 @@ def skew_stream(deliveries: DataFrame, alarm_seconds: float = 60.0, lateness: st
 
 
 def loss_stream(deliveries: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Lost events per shard and hour."""
-    return loss_by_hour(dedup_stream(deliveries, lateness=lateness))
+    """The span of sequence numbers per shard and closed hour; `quality.lost_events` turns the stored rows into losses.
+
+    An hour is written once the watermark has passed it; the last hours of a stream stay open.
+    """
+    return spans_by_hour(dedup_stream(deliveries, lateness=lateness))
 
 
 def burst_stream(hits: DataFrame, min_hits: int = 2, lateness: str = LATENESS) -> DataFrame:

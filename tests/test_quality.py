@@ -72,9 +72,9 @@ def test_body_missing_and_fields(spark):
 
 
 def test_json_list_sum(spark):
-    values = ['[{"total":5},{"total":7}]', "[]", '[{"total":null},{"total":3}]', '[{"x":1}]', None]
+    values = ['[{"total":5},{"total":7}]', "[]", '[{"total":null},{"total":3}]', '[{"x":1}]', None, '[{"total":"12"},{"total":7}]', '[{"total":"many"},{"total":1}]']
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
-    assert [r[0] for r in df.orderBy("i").select(json_list_sum(F.col("v"))).collect()] == [12, None, 3, None, None]
+    assert [r[0] for r in df.orderBy("i").select(json_list_sum(F.col("v"))).collect()] == [12, None, 3, None, None, 19, 1]
 
 
 def test_recover_attribute_takes_the_smallest_event(events):

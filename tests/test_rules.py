@@ -155,8 +155,8 @@ def trade_side(who, zone, trade="t"):
 
 
 def test_r10_pairs(events, people):
-    def run(*sides, **kw):
-        return fired(rules.illegal_trade(events(*sides), people, **kw), "character_id", "evidence_event_ids")
+    def run(*sides):
+        return fired(rules.illegal_trade(events(*sides), people), "character_id", "evidence_event_ids")
 
     assert run(trade_side("a", "z"), trade_side("b", "z")) == []
     assert run(trade_side("c", "z"), trade_side("a", "z")) == [("a", [2, 1])]
@@ -164,17 +164,21 @@ def test_r10_pairs(events, people):
     assert run(trade_side("a", "z"), trade_side("b", None)) == []
     assert run(trade_side("a", "z")) == []
     three = [trade_side("a", "z"), trade_side("b", "z"), trade_side("c", "z")]
-    assert run(*three) == [("a", [1, 3]), ("b", [2, 3])]
-    assert run(*three, max_sides=2) == [("a", [1, 3]), ("b", [2, 3])]
+    assert run(*three) == [("a", [1, 3])]  # c differs from both and is reported once
 
 
-def test_r10_corrupt_trade_id_stays_linear(spark, events):
-    n = 400
-    people = spark.createDataFrame([(f"p{i:03}", "acc", "red" if i != 7 else "blue", "m") for i in range(n)],
-                                   "character_id string, account_id string, faction string, class_id string")
-    out = rules.illegal_trade(events(*[trade_side(f"p{i:03}", "z") for i in range(n)]), people)
-    named = {i for r in out.collect() for i in r.evidence_event_ids}
-    assert 8 in named and out.count() <= 3 * n
+@pytest.mark.parametrize("n", [2, 3, 16, 17, 200])
+def test_r10_any_number_of_sides(spark, events, n):
+    who = [(f"p{i:03}", "acc", ["red", "blue", None][i * i % 3 if n > 2 else i], "m") for i in range(n)]
+    zone = [["y", "z", None][(i // 2) % 3] for i in range(n)]
+    people = spark.createDataFrame(who, "character_id string, account_id string, faction string, class_id string")
+    out = rules.illegal_trade(events(*[trade_side(w[0], z) for w, z in zip(who, zone)]), people)
+
+    def differ(i, j):
+        return any(x[i] is not None and x[j] is not None and x[i] != x[j] for x in ([w[2] for w in who], zone))
+
+    want = [[min(j for j in range(i) if differ(j, i)) + 1, i + 1] for i in range(n) if any(differ(j, i) for j in range(i))]
+    assert sorted((r.evidence_event_ids for r in out.collect()), key=lambda e: e[1]) == want
 
 
 def test_r11_transports(spark, events, people):
