@@ -18,15 +18,15 @@ class Ends:
     """
 
     def __init__(self, table: DataFrame, total: int, blocks: int) -> None:
-        self.table, self.total, self.blocks = table, total, blocks
+        self.table, self.total, self.blocks, self.width = table, total, blocks, 2 * total
         self.set(self.summary([(1, total)]))
 
     def set(self, rows: list[tuple[int, int]]) -> None:
         self.low, self.high = [r[0] for r in rows], [r[1] for r in rows]
 
     def summary(self, windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
-        """Smallest and largest end in each of at most `blocks` equal pieces of the windows."""
-        width = max(1, -(-sum(hi - lo + 1 for lo, hi in windows) // self.blocks))
+        """Smallest and largest end in each of about `blocks` equal pieces of the windows, finer than any before."""
+        width = self.width = max(1, min(self.width // 2, -(-sum(hi - lo + 1 for lo, hi in windows) // self.blocks)))
         inside, which = F.lit(False), F.lit(0)
         for k, (lo, hi) in enumerate(windows):
             inside |= F.col("end").between(lo, hi)
