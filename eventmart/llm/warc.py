@@ -37,9 +37,9 @@ def records(pages: DataFrame, record: str, payload: Column, target: Column, min_
     """Chunk rows of the records to write, in order: (record, target, digest, length, refers_to, chunk_no, data).
 
     Of records with equal payloads (digest and length) of at least `min_revisit` bytes, the one with the largest
-    record number holds the payload, the others refer to it and carry no data.
+    record number holds the payload, the others refer to it and carry no data. A null payload is empty.
     """
-    rows = pages.select(F.col(record).cast("long").alias("record"), target.alias("target"), payload.alias("payload")).select(
+    rows = pages.select(F.col(record).cast("long").alias("record"), target.alias("target"), F.coalesce(payload, F.lit(b"")).alias("payload")).select(
         "record", "target", "payload", base32(F.sha1("payload")).alias("digest"), F.octet_length("payload").cast("long").alias("length"))
     copies = rows.where(F.col("length") >= min_revisit).groupBy("digest", "length").agg(F.max("record").alias("keeper"), F.count("*").alias("_n"))
     copies = copies.where("_n > 1 and keeper is not null").select(F.col("digest").alias("_d"), F.col("length").alias("_l"), "keeper")
