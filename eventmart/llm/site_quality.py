@@ -42,15 +42,32 @@ def featurize(text: bytes, table: Features) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([np.arange(DENSE), at]), np.concatenate([dense, np.ones(at.size)])
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, size: int, rounds: int = 100, penalty: float = 2.0, rate: float = 0.5) -> np.ndarray:
-    """Logistic regression by full-gradient steps with per-weight rates; the classes weigh the same."""
+def telling(at: np.ndarray, y: np.ndarray, size: int, least_z: float) -> np.ndarray:
+    """Features that are much more or less frequent in one class than chance allows; measures of form always count.
+
+    Without this, the many rare words tell the training rows apart, and nothing else.
+    """
+    n1, n0 = max(1, int((y > 0).sum())), max(1, int((y <= 0).sum()))
+    label = y > 0
+    in1, in0 = (np.bincount(a, minlength=size) for a in (at[0][label[at[1]]], at[0][~label[at[1]]]))
+    share = (in1 + in0 + 1) / (n1 + n0 + 2)
+    z = (in1 / n1 - in0 / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
+    out = np.abs(z) >= least_z
+    out[:DENSE] = True
+    return out
+
+
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, size: int, rounds: int = 100, penalty: float = 0.3, rate: float = 0.5,
+        least_z: float = 5.0) -> np.ndarray:
+    """Logistic regression on telling features by full-gradient steps with per-weight rates."""
     at, x = np.concatenate([a for a, _ in rows]), np.concatenate([v for _, v in rows])
     row = np.repeat(np.arange(len(rows)), [a.size for a, _ in rows])
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum())) * len(y)
+    kept = telling((at, row), y, size, least_z)[at]
+    at, x, row = at[kept], x[kept], row[kept]
     w, past = np.zeros(size), np.full(size, 1e-6)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, x * w[at], minlength=len(rows)), -30, 30)))
-        slope = np.bincount(at, x * ((p - y) * weight)[row], minlength=size) + penalty * w
+        slope = np.bincount(at, x * (p - y)[row], minlength=size) + penalty * w
         past += slope * slope
         w -= rate * slope / np.sqrt(past)
     return w

@@ -148,11 +148,12 @@ def test_contamination(spark, odd):
 
 
 def test_site_quality(spark, odd):
-    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     fit, held = labels.where("doc_id % 4 <> 0"), labels.where("doc_id % 4 = 0")
     out = site_quality(docs, fit, F.col("source"), F.col("lang"))
     right = out.join(held, "doc_id").agg(F.avg((F.col("kept") == ((F.col("quality") == 1) & (F.col("toxic") == 0))).cast("double"))).first()[0]
-    assert right >= 0.93 and out.count() == docs.count()
+    assert right >= 0.93, right
+    assert out.count() == docs.count()
     assert out.where("path_quality < 0 or path_quality > 1").count() == 0
     assert site_quality(odd, labels.where("false"), F.col("source"), F.col("lang")).where("p_quality = 0.5").count() == 10
     assert site_quality(odd.where("false"), labels, F.col("source"), F.col("lang")).count() == 0
