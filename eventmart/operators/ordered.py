@@ -137,22 +137,38 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     return running_sum(df, keys, order, F.lit(1).cast("bigint"), into, slice_by, hot)
 
 
-def number_globally(df: DataFrame, order: Sequence[str], coarse: Column, fine: Sequence[str], into: str) -> DataFrame:
+def number_globally(df: DataFrame, order: Sequence[str], coarse: Column | Sequence[Column], fine: Sequence[str],
+                    into: str) -> DataFrame:
     """1, 2, 3, ... over the whole frame along a total order, without sorting it in one task.
 
-    `fine` is a prefix of `order`, `coarse` an expression that never decreases along it (such as
-    the minute of a leading timestamp). Rows are numbered within each fine group; the groups are
-    counted and their counts summed up within each coarse slice, and the slices among themselves.
-    Only the last step is one task, over one row per slice. Nothing is sampled, so a recomputed
-    task gives the same numbers.
+    `fine` is a prefix of `order`; `coarse` are expressions that never decrease along it, from the
+    finest to the coarsest (second, hour, month of a leading timestamp), each a function of the one
+    before. Rows are numbered within each fine group; groups are counted, and their counts summed up
+    within each finest slice, the slices within each next coarser one, and so on. Only the last step
+    is one task, over one row per coarsest slice. Nothing is sampled, so a recomputed task gives the
+    same numbers.
     """
-    counts = (df.select(*fine, coarse.alias(SLICE)).groupBy(SLICE, *fine).agg(F.count("*").alias("_n")))
-    slices = counts.groupBy(SLICE).agg(F.sum("_n").alias("_n"))
-    before = W.orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
-    starts = slices.select(F.col(SLICE).alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = W.partitionBy(SLICE).orderBy(*fine).rowsBetween(W.unboundedPreceding, -1)
+    levels = [coarse] if isinstance(coarse, Column) else list(coarse)
+    names = [f"{SLICE}{i}" for i in range(len(levels))]
+    counts = (df.select(*fine, *[c.alias(n) for c, n in zip(levels, names)]).groupBy(*names, *fine)
+                .agg(F.count("*").alias("_n")))
+    totals = counts
+    sums = []
+    for i in range(len(names)):
+        totals = totals.groupBy(*names[i:]).agg(F.sum("_n").alias("_n"))
+        sums.append(totals)
+    starts = None
+    for i in reversed(range(len(names))):
+        before = W.partitionBy(*names[i + 1:i + 2]).orderBy(names[i]).rowsBetween(W.unboundedPreceding, -1)
+        level = sums[i].withColumn("_in", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        if starts is None:
+            starts = level.select(F.col(names[i]).alias("_of"), F.col("_in").alias("_start"))
+        else:
+            starts = (level.join(starts, F.col(names[i + 1]).eqNullSafe(F.col("_of")))
+                           .select(F.col(names[i]).alias("_of"), (F.col("_in") + F.col("_start")).alias("_start")))
+    within = W.partitionBy(names[0]).orderBy(*fine).rowsBetween(W.unboundedPreceding, -1)
     groups = (counts.withColumn("_before", F.coalesce(F.sum("_n").over(within), F.lit(0)))
-                    .join(starts, F.col(SLICE).eqNullSafe(F.col("_of")))
+                    .join(starts, F.col(names[0]).eqNullSafe(F.col("_of")))
                     .select(*[F.col(c).alias(f"_k_{c}") for c in fine], (F.col("_before") + F.col("_start")).alias("_offset")))
     match = None
     for c in fine:

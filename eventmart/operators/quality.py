@@ -97,14 +97,16 @@ def seq_gaps(df: DataFrame, part: str = "server_id", seq: str = "shard_seq", ts:
              bucket: int = 1_000_000, hot: Hot = HOT_ROWS, block: int = 10_000) -> DataFrame:
     """Every missing sequence number with the events either side of it.
 
-    A hole is listed in blocks, spread before they are expanded, so one huge hole is neither one
-    huge array nor one task.
+    A hole is cut into stretches of block * block numbers and these into blocks, which a shuffle
+    spreads before they are expanded: one huge hole is neither one huge array nor one task.
     """
     edges = gap_edges(df, part, seq, ts, bucket, hot)
-    starts = F.sequence(F.col("prev_seq") + 1, F.col("next_seq") - 1, F.lit(block).cast("bigint"))
-    blocks = edges.withColumn("_start", F.explode(starts))
+    wide = F.sequence(F.col("prev_seq") + 1, F.col("next_seq") - 1, F.lit(block * block).cast("bigint"))
+    wide_end = F.least(F.col("_wide") + (block * block - 1), F.col("next_seq") - 1)
+    starts = F.sequence(F.col("_wide"), wide_end, F.lit(block).cast("bigint"))
+    blocks = edges.withColumn("_wide", F.explode(wide)).withColumn("_start", F.explode(starts))
     last = F.least(F.col("_start") + (block - 1), F.col("next_seq") - 1)
-    return (blocks.withColumn("missing_seq", F.explode(F.sequence(F.col("_start"), last)))
+    return (blocks.repartition(part, "_start").withColumn("missing_seq", F.explode(F.sequence(F.col("_start"), last)))
                   .select(part, "missing_seq", "prev_seq", "prev_event_ts", "next_seq", "next_event_ts"))
 
 

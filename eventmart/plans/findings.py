@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.functions.columns import time_slice
@@ -48,23 +48,30 @@ def rule_catalogue(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RULE_CATALOGUE, CATALOGUE_SCHEMA)
 
 
+def violation_key() -> Column:
+    """A key that stays the same however often a violation is found."""
+    ids = F.concat_ws(",", F.col("evidence_event_ids").cast("array<string>"))
+    return F.sha2(F.concat_ws("|", "rule_id", ids, "detail"), 256)
+
+
 def violations(findings: Iterable[DataFrame], catalogue: DataFrame, characters: DataFrame,
-               slice_seconds: int = 60) -> DataFrame:
+               slice_seconds: Sequence[int] = (1, 3600, 30 * 86_400)) -> DataFrame:
     """All findings in one table with the rule's description, the actor's attributes and an id.
 
     `violation_id` is the position in time order and changes when rules change;
-    `violation_key` is a hash of what was found and does not.
+    `violation_key` is a hash of what was found and does not. `slice_seconds` are the widths of the
+    time slices by which rows are numbered, each a multiple of the one before.
     """
     rules = catalogue.select("rule_id", "rule_name", "category", "severity", "rulebook_section")
     found = (reduce(DataFrame.unionByName, findings)
              .join(F.broadcast(rules), "rule_id"))  # as many rows as there are rules
     order = ["occurred_at", "rule_id", "character_id", "evidence_event_ids", "detail"]
     actors = characters.select(F.col("character_id").alias("_actor"), "account_id", "faction", "class_id")
-    ids = F.concat_ws(",", F.col("evidence_event_ids").cast("array<string>"))
-    numbered = (number_globally(found, order, time_slice("occurred_at", slice_seconds), order[:3], "violation_id")
+    slices = [time_slice("occurred_at", s) for s in slice_seconds]
+    numbered = (number_globally(found, order, slices, order[:3], "violation_id")
                 .join(actors, F.col("character_id") == F.col("_actor"), "left")
                 .withColumn("character_known", F.col("_actor").isNotNull())
-                .withColumn("violation_key", F.sha2(F.concat_ws("|", "rule_id", ids, "detail"), 256)))
+                .withColumn("violation_key", violation_key()))
     return numbered.select(
         "violation_id", "violation_key", "rule_id", "rule_name", "category", "severity", "rulebook_section",
         "character_id", "account_id", "faction", "class_id", "occurred_at", "encounter_id", "detail",

@@ -51,8 +51,9 @@ def test_global_numbers(log):
     nulls = log.withColumn("k", F.when(F.col("k") != "b", F.col("k")))
     order = ["ts", "k", "id"]
     plain = nulls.withColumn("n", F.row_number().over(W.orderBy(*order)))
-    got = number_globally(nulls, order, time_slice("ts", 60), ["ts", "k"], "n")
-    assert rows(got, "id", "n") == rows(plain, "id", "n")
+    for coarse in (time_slice("ts", 60), [time_slice("ts", 1), time_slice("ts", 10), time_slice("ts", 120)]):
+        got = number_globally(nulls, order, coarse, ["ts", "k"], "n")
+        assert rows(got, "id", "n") == rows(plain, "id", "n")
 
 
 @pytest.fixture(scope="module")
