@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -239,6 +240,16 @@ def reconcile_landing(w: World) -> DataFrame:
     return plain(manifest)
 
 
+@query
+def discovered_tables(w: World) -> DataFrame:
+    """Every table found in the folder, with its columns counted from the footers and its rows through a SQL view."""
+    landing.register_views(w.spark, w.sf_dir, "found_")
+    columns = landing.discovered_columns(w.spark, w.sf_dir).groupBy("table_name").agg(F.count("*").alias("n_columns"))
+    counts = [w.spark.sql(f"SELECT '{name}' AS table_name, count(*) AS rows FROM found_{name}")
+              for name in landing.discover(w.spark, w.sf_dir)]
+    return plain(columns.join(reduce(DataFrame.unionByName, counts), "table_name"))
+
+
 @query
 def layer_build_counts(w: World) -> DataFrame:
     """Two layers built and stored; row count per model."""

@@ -33,6 +33,34 @@ def read_source_table(spark: SparkSession, url: str, table: str, key: str, low:
         fetchsize=100_000, sessionInitStatement="SET TIME ZONE 'UTC'", **options).load())
 
 
+def discover(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Name -> path of every Parquet table in a folder of any file system Spark reads, in order of the names.
+
+    A table is a `<name>.parquet` file or a folder; names beginning with a dot or underscore are skipped.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listStatus(place)
+    names = [(s.getPath().getName(), s) for s in found]
+    return {name.removesuffix(".parquet"): s.getPath().toString() for name, s in sorted(names, key=lambda n: n[0])
+            if not name.startswith((".", "_")) and (s.isDirectory() or name.endswith(".parquet"))}
+
+
+def discovered_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """(table_name, position, column_name, data_type) of all tables of a folder, from their footers alone."""
+    rows = [(name, i, f.name, f.dataType.simpleString()) for name, path in discover(spark, folder).items()
+            for i, f in enumerate(spark.read.parquet(path).schema.fields, 1)]
+    return spark.createDataFrame(rows, "table_name string, position int, column_name string, data_type string")
+
+
+def register_views(spark: SparkSession, folder: str, prefix: str = "") -> list[str]:
+    """Make every table of a folder a temporary view, its name after a prefix; the receive date is not part of the data."""
+    views = []
+    for name, path in discover(spark, folder).items():
+        read_landed(spark, path).createOrReplaceTempView(f"{prefix}{name}")
+        views.append(f"{prefix}{name}")
+    return views
+
+
 def received_date(ts: str) -> Column:
     """Partition value: the UTC date a row was received, or a fixed word where that is unknown."""
     return F.coalesce(F.col(ts).cast("date").cast("string"), F.lit(UNKNOWN_DATE))

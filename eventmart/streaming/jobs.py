@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventmart.operators.quality import skew_by_hour, spans_by_hour
+from eventmart.plans.findings import violation_key
 
 LATENESS = "2 hours"
 
@@ -92,22 +93,26 @@ def run_to_table(stream: DataFrame, folder: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/table")
 
 
-def alert_key() -> Column:
-    """A key that stays the same however often a violation is found."""
-    ids = F.concat_ws(",", F.col("evidence_event_ids").cast("array<string>"))
-    return F.sha2(F.concat_ws("|", "rule_id", ids, "detail"), 256)
+def alert_day(columns: list[str]) -> Column:
+    """The day a violation happened on; it is the same whenever the violation is found. Without a time: one fixed day."""
+    unknown = F.lit("1970-01-01").cast("date")
+    return F.coalesce(F.to_date("occurred_at"), unknown) if "occurred_at" in columns else unknown
 
 
 def write_new_alerts(batch: DataFrame, batch_id: int, table: str) -> None:
     """Append the violations no earlier batch has reported.
 
     Each batch owns one partition, which a repeated batch replaces, so a restart reports nothing
-    twice and loses nothing.
+    twice and loses nothing. Within it alerts lie by day, and only the days that the batch spans
+    are looked up.
     """
-    keyed = batch.withColumn("violation_key", alert_key()).dropDuplicates(["violation_key"])
-    known = batch.sparkSession.read.parquet(table).where(F.col("batch_id") < batch_id).select("violation_key")
+    day = alert_day(batch.columns)
+    keyed = batch.withColumn("violation_key", violation_key()).dropDuplicates(["violation_key"]).withColumn("day", day)
+    span = batch.agg(F.min(day).alias("low"), F.max(day).alias("high")).first()
+    known = batch.sparkSession.read.parquet(table).where(
+        (F.col("batch_id") < batch_id) & F.col("day").between(F.lit(span.low), F.lit(span.high))).select("violation_key")
     fresh = keyed.join(known, "violation_key", "left_anti")
-    fresh.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+    fresh.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(f"{table}/batch_id={batch_id}")
 
 
 def run_alerts(found: DataFrame, folder: str) -> DataFrame:
@@ -115,8 +120,9 @@ def run_alerts(found: DataFrame, folder: str) -> DataFrame:
     table = f"{folder}/table"
     spark = found.sparkSession
     empty = spark.createDataFrame([], found.schema).withColumn("violation_key", F.lit(None).cast("string"))
-    empty.write.mode("ignore").parquet(f"{table}/batch_id=-1")  # so the table can be read from the first batch on
+    # so the table can be read from the first batch on
+    empty.write.mode("ignore").parquet(f"{table}/batch_id=-1/day=1970-01-01")
     running = (found.writeStream.foreachBatch(lambda df, i: write_new_alerts(df, i, table))
                     .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start())
     running.awaitTermination()
-    return spark.read.parquet(table)
+    return spark.read.parquet(table).drop("day")

@@ -1,6 +1,8 @@
 """Landing, warehouse, streams, and the registered queries against their statements."""
 
 import random
+from datetime import datetime
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -11,7 +13,6 @@ import __spark_entry__ as entry
 import check
 from eventmart.plans.warehouse import EXPORTED, MODELS, REPORTS, Warehouse
 from eventmart.sources import landing
-from eventmart.sources.sample_world import SAMPLE_TABLES
 from eventmart.streaming import jobs
 
 FOLDER = "/root/testdata/sf0.001"
@@ -108,7 +109,30 @@ def test_alerts_are_reported_once(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/alerts/table").count() == 3
 
 
-KEYS = ["land_events", "reconcile_landing", "dedup_first", "stg_events", "seq_gaps", "dq_summary", "level_history", "asof_left",
+def test_alerts_look_up_the_days_of_a_batch(spark, tmp_path):
+    schema = "rule_id string, detail string, evidence_event_ids array<bigint>, occurred_at timestamp"
+    day = [datetime(2026, 1, d, 23, 30) for d in (1, 2, 3)]
+    first = [("R01", "d", [1], day[0]), ("R01", "d", [2], day[1]), ("R01", "d", [3], None)]
+    again = [first[1], first[2], ("R02", "d", [4], day[2])]
+    source = f"{tmp_path}/in"
+    for batch in (first, again):
+        spark.createDataFrame(batch, schema).write.mode("append").parquet(source)
+        out = jobs.run_alerts(spark.readStream.schema(schema).parquet(source), f"{tmp_path}/alerts")
+    assert rows(out, "rule_id", "evidence_event_ids") == [("R01", [1]), ("R01", [2]), ("R01", [3]), ("R02", [4])]
+
+
+def test_discovered_tables_become_views(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/b.parquet")
+    landing.land_table(spark.range(2).withColumn("ts", F.timestamp_seconds("id")), f"{tmp_path}/a", "ts")
+    spark.range(9).write.parquet(f"{tmp_path}/_hidden")
+    assert list(landing.discover(spark, str(tmp_path))) == ["a", "b"]
+    assert landing.register_views(spark, str(tmp_path), "v_") == ["v_a", "v_b"]
+    assert rows(spark.sql("SELECT * FROM v_a"), "id") == [(0,), (1,)] and spark.table("v_a").columns == ["id", "ts"]
+    found = landing.discovered_columns(spark, str(tmp_path)).where("table_name = 'b'")
+    assert rows(found, "position", "column_name", "data_type") == [(1, "id", "bigint")]
+
+
+KEYS = ["discovered_tables", "land_events", "reconcile_landing", "dedup_first", "stg_events", "seq_gaps", "dq_summary", "level_history", "asof_left",
         "custody_chain", "r01_burst", "r03_stacking", "r10_illegal_pair", "violations", "encounter_participation", "peer_percentile",
         "flow_statement", "scalar_json", "scalar_time", "chain_complete", "concurrent_members", "stream_dedup"]
 
@@ -116,8 +140,8 @@ KEYS = ["land_events", "reconcile_landing", "dedup_first", "stg_events", "seq_ga
 @pytest.mark.parametrize("key", KEYS)
 def test_query_equals_its_statement(spark, key):
     db = duckdb.connect()
-    for t in SAMPLE_TABLES:
-        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
+    for file in Path(FOLDER).glob("*.parquet"):
+        db.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
     got = entry.queries()[key](spark, FOLDER).toPandas()
     assert check.compare(got, db.execute(entry.oracle_sql()[key]).df()) == "" and len(got)
 
