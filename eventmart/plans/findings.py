@@ -48,6 +48,11 @@ def rule_catalogue(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RULE_CATALOGUE, CATALOGUE_SCHEMA)
 
 
+def rules_of(severity: str) -> list[str]:
+    """The ids of the catalogue's rules of one severity."""
+    return [rule[0] for rule in RULE_CATALOGUE if rule[3] == severity]
+
+
 def violation_key() -> Column:
     """A key that stays the same however often a violation is found."""
     ids = F.concat_ws(",", F.col("evidence_event_ids").cast("array<string>"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventmart.operators.quality import skew_by_hour, spans_by_hour
-from eventmart.plans.findings import violation_key
+from eventmart.plans.findings import rules_of, violation_key
 
 LATENESS = "2 hours"
 
@@ -103,22 +103,24 @@ def write_new_alerts(batch: DataFrame, batch_id: int, table: str) -> None:
     """Append the violations no earlier batch has reported.
 
     Each batch owns one partition, which a repeated batch replaces, so a restart reports nothing
-    twice and loses nothing. Within it alerts lie by day, and only the days that the batch spans
-    are looked up.
+    twice and loses nothing. Within it alerts lie by day, and only the days that occur in the batch
+    are looked up; the driver holds one date for each of them.
     """
     day = alert_day(batch.columns)
     keyed = batch.withColumn("violation_key", violation_key()).dropDuplicates(["violation_key"]).withColumn("day", day)
-    span = batch.agg(F.min(day).alias("low"), F.max(day).alias("high")).first()
+    days = [r.day for r in batch.select(day.alias("day")).distinct().collect()]
     known = batch.sparkSession.read.parquet(table).where(
-        (F.col("batch_id") < batch_id) & F.col("day").between(F.lit(span.low), F.lit(span.high))).select("violation_key")
+        (F.col("batch_id") < batch_id) & F.col("day").isin(days)).select("violation_key")
     fresh = keyed.join(known, "violation_key", "left_anti")
     fresh.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(f"{table}/batch_id={batch_id}")
 
 
-def run_alerts(found: DataFrame, folder: str) -> DataFrame:
-    """Feed a stream of findings into the alert table and open it."""
+def run_alerts(found: DataFrame, folder: str, severity: str | None = None) -> DataFrame:
+    """Feed a stream of findings into the alert table and open it; with `severity`, those of such rules only."""
     table = f"{folder}/table"
     spark = found.sparkSession
+    if severity is not None:
+        found = found.where(F.col("rule_id").isin(rules_of(severity)))
     empty = spark.createDataFrame([], found.schema).withColumn("violation_key", F.lit(None).cast("string"))
     # so the table can be read from the first batch on
     empty.write.mode("ignore").parquet(f"{table}/batch_id=-1/day=1970-01-01")

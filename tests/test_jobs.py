@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import check
+from eventmart.plans import findings
 from eventmart.plans.warehouse import EXPORTED, MODELS, REPORTS, Warehouse
 from eventmart.sources import landing
 from eventmart.streaming import jobs
@@ -121,6 +122,21 @@ def test_alerts_look_up_the_days_of_a_batch(spark, tmp_path):
     assert rows(out, "rule_id", "evidence_event_ids") == [("R01", [1]), ("R01", [2]), ("R01", [3]), ("R02", [4])]
 
 
+def test_alerts_of_one_severity(spark, tmp_path):
+    schema = "rule_id string, detail string, evidence_event_ids array<bigint>, occurred_at timestamp"
+    every = [r[0] for r in findings.RULE_CATALOGUE]
+    late = [datetime(1990, 1, 1), datetime(2026, 1, 2)]
+    source = f"{tmp_path}/in"
+    for batch in range(2):  # a late finding beside a new one; both days were reported before
+        found = [(r, "d", [i], late[i % 2]) for i, r in enumerate(every)]
+        spark.createDataFrame(found, schema).write.mode("append").parquet(source)
+        out = jobs.run_alerts(spark.readStream.schema(schema).parquet(source), f"{tmp_path}/alerts", "high")
+    assert rows(out, "rule_id") == [(r[0],) for r in sorted(findings.RULE_CATALOGUE) if r[3] == "high"]
+    empty = spark.createDataFrame([], schema)
+    jobs.write_new_alerts(empty, 9, f"{tmp_path}/alerts/table")
+    assert spark.read.parquet(f"{tmp_path}/alerts/table").count() == out.count()
+
+
 def test_discovered_tables_become_views(spark, tmp_path):
     spark.range(3).write.parquet(f"{tmp_path}/b.parquet")
     landing.land_table(spark.range(2).withColumn("ts", F.timestamp_seconds("id")), f"{tmp_path}/a", "ts")
