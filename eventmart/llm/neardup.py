@@ -1,4 +1,4 @@
-"""Near duplicates: one-permutation MinHash with densification, banded buckets, star-shaped candidates."""
+"""Near duplicates: one-permutation MinHash with densification, banded buckets, stars in rounds."""
 
 from __future__ import annotations
 
@@ -146,12 +146,10 @@ def confirmed(pairs: DataFrame, held: DataFrame, size: int, percent: int) -> Dat
 def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85, bands: int = 32, rows: int = 6) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of (doc_id, text).
 
-    Documents with equal shingle sets are one class, and its smallest doc_id stands for it. Classes that
-    share a bucket give star-shaped candidates: the bucket's smallest class with each of the others.
-    Candidates count as links only if their full sets have 100 * intersection >= percent * union. A second
-    round brings together what the stars could not: in each bucket that still holds several components,
-    classes are ordered by their other buckets, so that the most alike stand next to each other, and
-    neighbours of different components are candidates. Pairs stay within two per class and band.
+    Documents with equal shingle sets are one class, and its smallest doc_id stands for it. Two classes
+    that share a bucket are candidates, and candidates are links if their full sets have
+    100 * intersection >= percent * union. Candidates are compared in rounds, see `link_all`, until each
+    pair of a bucket was compared, can't be alike by its sizes, or is in one component already.
 
     component_id is the smallest doc_id that links reach. An empty or null text links with nothing. A text
     of fewer words than `size` is one shingle. Rows with the same doc_id are one document. A null doc_id
@@ -166,50 +164,54 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85, bands: in
     # repeated rows give a class once; a doc_id with several texts keeps all of them
     reps = store(reps.select("rep", "set_key", "n_shingles", "buckets").dropDuplicates(["rep", "set_key"]), "classes")
 
-    def candidates(found: DataFrame, label: str) -> DataFrame:
-        """Members of buckets that hold more than one `label`: (bucket, rep, n_shingles, label)."""
-        low = found.groupBy("bucket").agg(F.min(label).alias("_low"), F.max(label).alias("_high")).where("_low <> _high")
-        return found.join(low, "bucket")
-
     members = reps.select("rep", "n_shingles", F.explode("buckets").alias("bucket"))
-    near = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))  # else the sets can't be alike enough
-    first = members.groupBy("bucket").agg(F.min(F.struct("rep", "n_shingles")).alias("c"), F.count("*").alias("_n")).where("_n > 1")
-    stars = members.join(first, "bucket").select(
-        F.col("c.rep").alias("a"), F.col("rep").alias("b"), F.col("c.n_shingles").alias("n_a"), F.col("n_shingles").alias("n_b"))
-    pairs = store(stars.where(near & F.col("a").isNotNull() & (F.col("a") != F.col("b"))).select("a", "b").distinct(), "pairs")
-
-    touched = store(candidates(members, "rep").select("rep").distinct(), "touched")
-    texts_of = docs.join(touched.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
+    shared = members.groupBy("bucket").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high"), F.count("*").alias("_n"))
+    shared = shared.where("_low <> _high").select("bucket", "_n")
+    live = store(members.join(shared, "bucket"), "members")
+    # a class that agrees with many on many bands is likely what the others were made from
+    weight = live.groupBy("rep").agg(F.sum("_n").alias("weight"))
+    touched = store(weight, "touched")
+    texts_of = docs.join(touched.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     held = store(keyed_texts(texts_of, size).dropDuplicates(["set_key"]).join(reps.select("set_key", "rep"), "set_key").select("rep", "text"), "texts")
-    links = store(confirmed(pairs, held, size, percent), "links")
-    found = store(components(links), "components")
-
-    # second round, over the classes that still share a bucket with another component
-    label = F.coalesce("component", "rep")
-    parts = reps.join(touched, "rep").join(found, F.col("rep") == F.col("node"), "left").select(
-        "rep", "n_shingles", "buckets", label.alias("label"))
-    rest = parts.select("rep", "n_shingles", "label", F.posexplode("buckets").alias("_i", "bucket"), "buckets").select(
-        "rep", "n_shingles", "label", "bucket",
-        # the other bands, beginning with the next one: alike documents agree on most of them
-        *[F.get("buckets", F.pmod(F.col("_i") + k, F.lit(bands))).alias(f"_o{k}") for k in (1, 2, 3)])
-    rest = store(candidates(rest, "label").drop("_low", "_high"), "rest")
-    return finish(signed_rows, classes, second_round(rest, pairs, links, held, near, size, percent))
-
-
-def second_round(rest: DataFrame, pairs: DataFrame, links: DataFrame, held: DataFrame, near, size: int, percent: int) -> DataFrame:
-    """Neighbours in (bucket, next buckets) order, of different components: a linear number of candidates."""
-    from pyspark.sql import Window
-
-    order = ["_o1", "_o2", "_o3", "rep"]
-    # an order within the bucket needs its rows together; a bucket is cut by the next band's hash first, so
-    # that a bucket of any size is spread and only classes that agree on two bands meet
-    w = Window.partitionBy("bucket", "_o1").orderBy(*order[1:])
-    nxt = {c: F.lead(c).over(w).alias(f"_n_{c}") for c in ("rep", "n_shingles", "label")}
-    beside = rest.select("rep", "n_shingles", "label", *nxt.values()).where("_n_rep is not null and label <> _n_label")
-    more = beside.select(F.least("rep", "_n_rep").alias("a"), F.greatest("rep", "_n_rep").alias("b"),
-                         F.col("n_shingles").alias("n_a"), F.col("_n_n_shingles").alias("n_b"))
-    more = more.where(near).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    return components(links.union(confirmed(store(more, "pairs"), held, size, percent)))
+    live = live.drop("_n").join(touched, "rep").select("bucket", "rep", "n_shingles", "weight", F.col("rep").alias("label"), F.lit(1).cast("long").alias("n_label"))
+    return finish(signed_rows, classes, link_all(live, held, size, percent))
+
+
+def link_all(live: DataFrame, held: DataFrame, size: int, percent: int, fan: int = 4) -> DataFrame:
+    """(node, component) of the links among the members (bucket, rep, n_shingles, weight, label, n_label) of each bucket.
+
+    In each round some members of a bucket, its centres, are compared with all others that are not in
+    their component; then they leave the bucket, as all their pairs are settled. A bucket is done when what is
+    left of it is in one component. Rounds take 1, `fan`, `fan` ** 2 ... centres from each bucket, so there
+    are few of them; members of small components go first, then those of great weight: a group around one
+    original is one component after the first round, and what stands alone beside a group goes before the group.
+    """
+    spark = live.sparkSession
+    found = spark.createDataFrame([], "node long, component long")
+    checked = spark.createDataFrame([], "a long, b long")
+    near = (100 * F.least("n_shingles", "c.n_shingles") >= percent * F.greatest("n_shingles", "c.n_shingles"))  # else the sets can't be alike enough
+    me, centres = ["bucket", "rep", "n_shingles"], 1
+    while True:
+        part = F.pmod(F.xxhash64("rep"), F.lit(centres))
+        chosen = F.min(F.struct("n_label", (-F.col("weight")).alias("_w"), "rep", "n_shingles", "label")).alias("c")
+        stars = store(live.groupBy("bucket", part.alias("_part")).agg(chosen).select("bucket", "c"), "centres")
+        pairs = live.join(stars, "bucket").where((F.col("label") != F.col("c.label")) & near).select(
+            F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct()
+        pairs = store(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
+        links = store(confirmed(pairs, held, size, percent), "links")
+        checked = checked.union(pairs)
+        if not links.isEmpty():
+            found = store(components(links.union(found.select(F.col("component").alias("a"), F.col("node").alias("b")))), "components")
+        sizes = found.groupBy("component").agg(F.count("*").alias("_size"))
+        names = found.join(sizes, "component").select(F.col("node").alias("rep"), "component", "_size")
+        rest = live.drop("label", "n_label").join(stars.select("bucket", "c.rep", "c.n_shingles"), me, "left_anti").join(names, "rep", "left").select(
+            *me, "weight", F.coalesce("component", "rep").alias("label"), F.coalesce("_size", F.lit(1).cast("long")).alias("n_label"))
+        rest = store(rest, "rest")
+        several = rest.groupBy("bucket").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high").select("bucket")
+        live = store(rest.join(several, "bucket", "left_semi"), "members")
+        if live.isEmpty():
+            return found
+        centres *= fan
 
 
 def finish(signed_rows: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:

@@ -284,6 +284,36 @@ def test_near_duplicates(spark, size, percent):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_near_duplicates_around_a_late_original(spark):
+    """320 copies of a text, each like it but hardly like one another, and the text itself with the largest id."""
+    r, original = random.Random(8), prose(400, seed=77).split()
+    texts = []
+    for _ in range(320):
+        copy = list(original)
+        for k in r.sample(range(0, 400, 4), 9):
+            copy[k] = f"new{r.randrange(10 ** 9)}"
+        texts.append(" ".join(copy))
+    got = neardup.near_duplicates(documents(spark, *texts, " ".join(original))).collect()
+    assert {r.component_id for r in got} == {0} and len(got) == 321
+
+
+def test_link_all_compares_each_pair_of_a_bucket(spark):
+    """Links that no single centre gives: pairs, chains and lone members in one bucket."""
+    r, texts = random.Random(4), []
+    for _ in range(14):
+        words = prose(100, seed=r.randrange(10 ** 6)).split()
+        for _ in range(r.choice([1, 2, 5])):
+            words = list(words)
+            words[r.randrange(100)] = f"new{r.randrange(10 ** 9)}"
+            words[r.randrange(100)] = f"new{r.randrange(10 ** 9)}"
+            texts.append(" ".join(words))
+    r.shuffle(texts)
+    held = spark.createDataFrame(list(enumerate(texts)), "rep long, text string")
+    live = held.selectExpr("1L as bucket", "rep", "98L as n_shingles", "1L as weight", "rep as label", "1L as n_label")
+    got = dict(neardup.link_all(live, held, 3, 85).collect())
+    assert [got.get(i, i) for i in range(len(texts))] == [p for _, p in linked(texts, 3, 85)]
+
+
 def test_near_duplicates_odd_input(spark, odd):
     got = neardup.near_duplicates(odd).collect()
     assert len(got) == 10 and all(r.kept and r.component_id is None for r in got if r.doc_id is None)
