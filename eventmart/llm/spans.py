@@ -1,4 +1,4 @@
-"""Substring dedup by sliding sentence spans."""
+"""Substring dedup by sliding spans of sentences and of words."""
 
 from __future__ import annotations
 
@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import store, texts
+from eventmart.llm.neardup import WordHashes, mix
 
 # a sentence ends after . ! or ? before white space, or at the end of a line; its piece keeps the gap that follows
+WORD = re.compile(rb"\S+")
 SENTENCE = re.compile(rb"[^\n]*?(?:[.!?]+[\"')\]]*(?=[ \t\r\n])|\n|\Z)[ \t\r\n]*", re.S)
 
 
@@ -22,31 +24,53 @@ def sentences(text: bytes) -> list[bytes]:
     return [m.group() for m in SENTENCE.finditer(text) if m.group()]
 
 
-def span_hashes(pieces: list[bytes], size: int, min_words: int) -> list[tuple[int, int, bytes]]:
-    """(first, last, hash) of the runs that start at each sentence: `size` sentences, more until there are `min_words` words.
+def anchors(h: np.ndarray, reach: int) -> np.ndarray:
+    """Places chosen by what stands there: of each `reach` neighbouring pairs of words the one of the smallest hash.
 
-    Words are compared with A-Z in lower case and any white space between them.
+    Two texts with the same reach + 1 words have an anchor at the same one of them, whatever surrounds these.
     """
-    ws = [p.lower().split() for p in pieces]
-    keep = [i for i, w in enumerate(ws) if w]
-    joined, count = [b" ".join(ws[i]) for i in keep], [len(ws[i]) for i in keep]
-    ends = np.cumsum([0, *count])
+    pairs = mix(h[:-1], h[1:])
+    if pairs.size < reach:
+        return np.empty(0, dtype=np.int64)
+    return np.unique(np.lib.stride_tricks.sliding_window_view(pairs, reach).argmin(axis=1) + np.arange(pairs.size - reach + 1))
+
+
+def span_hashes(pieces: list[bytes], size: int, min_words: int, long: int, reach: int, hashes: WordHashes) -> list[tuple[int, int, bytes]]:
+    """(first word, last word, hash) of the runs of a text.
+
+    From each sentence `size` sentences, more until there are `min_words` words; from each anchor `long` words, wherever
+    sentences end; and a text of fewer sentences as a whole. Words are compared with A-Z in lower case and
+    any white space between them.
+    """
+    ws = [w for w in (p.lower().split() for p in pieces) if w]
+    joined, flat = [b" ".join(w) for w in ws], [x for w in ws for x in w]
+    ends = np.cumsum([0, *map(len, ws)])
     out = []
-    for k in range(len(keep)):
+    for k in range(len(ws)):
         e = max(k + size, int(np.searchsorted(ends, ends[k] + min_words)))
-        if e <= len(keep):
-            out.append((keep[k], keep[e - 1], xxhash.xxh3_128_digest(b"\n".join(joined[k:e]))))
+        if e <= len(ws):
+            out.append((int(ends[k]), int(ends[e]) - 1, xxhash.xxh3_128_digest(b"\n".join(joined[k:e]))))
+    if len(ws) < size and len(flat) >= min_words:
+        out.append((0, len(flat) - 1, xxhash.xxh3_128_digest(b"\n".join(joined))))
+    h = np.fromiter(map(hashes.__getitem__, flat), dtype=np.uint64, count=len(flat))
+    for i in anchors(h, reach).tolist():
+        if i + long <= len(flat):
+            out.append((i, i + long - 1, xxhash.xxh3_128_digest(b" ".join(flat[i : i + long]))))
     return out
 
 
-def repeated_spans(docs: DataFrame, size: int = 3, min_words: int = 12) -> DataFrame:
-    """(doc_id, first, last): the runs of sentences that occurred before, in a smaller (doc_id, place)."""
+def repeated_spans(docs: DataFrame, size: int = 3, min_words: int = 12, long: int = 25, reach: int = 25) -> DataFrame:
+    """(doc_id, first, last): the runs, by their words, that occurred before, in a smaller (doc_id, place).
+
+    What overlaps the first occurrence is part of it, not another one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch, found in texts(batches):
             ids, first, last, keys = [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), found):
-                for a, b, h in span_hashes(sentences(text), size, min_words):
+                for a, b, h in span_hashes(sentences(text), size, min_words, long, reach, hashes):
                     ids.append(doc)
                     first.append(a)
                     last.append(b)
@@ -56,25 +80,29 @@ def repeated_spans(docs: DataFrame, size: int = 3, min_words: int = 12) -> DataF
                                               pa.array(last, pa.int32())], ["h1", "h2", "doc_id", "first", "last"])
 
     spans = store(docs.mapInArrow(run, "h1 long, h2 long, doc_id long, first int, last int"), "spans")
-    place = F.struct("doc_id", "first")
+    place = F.struct("doc_id", "first", "last")
     again = spans.groupBy("h1", "h2").agg(F.min(place).alias("_where"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    found = spans.join(again, ["h1", "h2"]).where(~place.eqNullSafe(F.col("_where")))
+    again = store(again, "again")  # its shuffle files can go before the spans are dealt out
+    found = spans.join(again, ["h1", "h2"]).where((F.col("doc_id") != F.col("_where.doc_id")) | (F.col("first") > F.col("_where.last")))
     return store(found.select("doc_id", "first", "last"), "repeated-spans")
 
 
-def span_dedup(docs: DataFrame, size: int = 3, min_words: int = 12) -> DataFrame:
+def span_dedup(docs: DataFrame, size: int = 3, min_words: int = 12, long: int = 25, reach: int = 25) -> DataFrame:
     """(doc_id, n_sentences, n_removed, n_spans, text) of every row of (doc_id, text), repeated passages taken out.
 
-    Every run of `size` consecutive sentences (longer where these have fewer than `min_words` words) is hashed;
-    a run that occurs more than once keeps its first place, by (doc_id, place), and all sentences that
-    another occurrence covers are removed, within a document too. n_spans counts the stretches removed.
+    Runs of `size` consecutive sentences (longer where these have fewer than `min_words` words) are hashed, and runs
+    of `long` words from places that the words themselves choose, one in each `reach` at least, so that any repeated
+    passage of long + reach words is met, wherever it begins in a sentence and however it is punctuated; at each of its
+    ends fewer than `reach` + 1 words of it may stay. A run that occurs more than once keeps its first place, by (doc_id, place),
+    and all words that another occurrence covers are removed, within a document too, with the white space after them.
+    n_removed counts the sentences that lost words, n_spans the stretches removed.
 
     A null text stays null and has no sentences. Rows with the same doc_id share one list of places, so their
-    equal texts count as one; rows without doc_id are passed through. A text with fewer than `size`
-    sentences is never touched. An empty table gives an empty result.
+    equal texts count as one; rows without doc_id are passed through. A text of fewer than `size` sentences and
+    `min_words` words or more is a run, too. An empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    spans = repeated_spans(docs.where("doc_id is not null"), size, min_words)
+    spans = repeated_spans(docs.where("doc_id is not null"), size, min_words, long, reach)
     marks = spans.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("marks"))  # as long as the text at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,13 +110,22 @@ def span_dedup(docs: DataFrame, size: int = 3, min_words: int = 12) -> DataFrame
             n, removed, stretches, kept = [], [], [], []
             for raw, text, marks in zip(batch.column(1), found, batch.column(2).to_pylist()):
                 pieces = sentences(text)
-                out = np.zeros(len(pieces) + 1, dtype=bool)
-                for m in marks or []:
-                    out[m["first"] : m["last"] + 1] = True
                 n.append(len(pieces))
-                removed.append(int(out.sum()))
-                stretches.append(int((out[1:] & ~out[:-1]).sum() + out[0]))
-                kept.append(b"".join(p for p, o in zip(pieces, out) if not o) if raw.is_valid else None)
+                if not marks:
+                    removed.append(0)
+                    stretches.append(0)
+                    kept.append(text if raw.is_valid else None)
+                    continue
+                starts = [m.start() for m in WORD.finditer(text)]
+                out = np.zeros(len(starts) + 1, dtype=bool)
+                for m in marks:
+                    out[m["first"] : min(m["last"] + 1, len(starts))] = True  # a repeated doc_id may bring marks of a longer text
+                edges = np.flatnonzero(np.diff(np.r_[False, out])).reshape(-1, 2)  # the last entry is never set, so edges come in pairs
+                cuts = [(starts[a], starts[b] if b < len(starts) else len(text)) for a, b in edges.tolist()]
+                of = np.searchsorted(np.cumsum([len(p) for p in pieces]), np.array(starts)[out[:-1]], side="right")
+                removed.append(int(np.unique(of).size))
+                stretches.append(len(cuts))
+                kept.append(b"".join(text[a:b] for a, b in zip([0, *(e for _, e in cuts)], [*(s for s, _ in cuts), len(text)])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, removed, stretches)), pa.array(kept, pa.binary()).cast(pa.string())],
                 ["doc_id", "n_sentences", "n_removed", "n_spans", "text"])

@@ -171,6 +171,30 @@ def test_span_dedup(spark, odd):
     assert spans.span_dedup(odd.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("passage", [
+    " ".join(f"p{i}" for i in range(60)),
+    " ".join(f"p{i}" + "." * (i in (17, 40)) for i in range(60)),
+    " ".join(f"p{i}" + "." * (i in (12, 30, 47)) for i in range(60))])
+def test_spans_find_a_passage_set_mid_sentence(spark, passage):
+    """No, one and two whole sentences inside a repeated passage of 60 words."""
+    texts = [f"{prose(20, seed=10 * k + 500).replace('.', '')} {passage} {prose(9 + k, seed=10 * k + 501).replace('.', '')}" for k in range(3)]
+    got = sorted(spans.span_dedup(documents(spark, *texts)).collect())
+    assert got[0].text == texts[0] and got[0].n_removed == 0
+    for r, t in zip(got[1:], texts[1:]):
+        left = r.text.split()
+        assert r.n_spans == 1 and sum(w.startswith("p") for w in left) <= 35
+        assert [w for w in left if w.startswith("w")] == [w for w in t.split() if w.startswith("w")]
+
+
+def test_spans_of_short_and_unbroken_texts(spark):
+    long = prose(3000, 10 ** 6, seed=12).replace(".", "")
+    texts = [long, "Start " + long + " end", "one two three four five six seven eight nine ten eleven twelve thirteen"] + ["same " * 100]
+    got = sorted(spans.span_dedup(documents(spark, *texts, texts[2])).collect())
+    assert [r.text for r in got if r.doc_id in (0, 2, 4)] == [long, texts[2], ""]
+    assert len(got[1].text.split()) <= 42 and got[1].text.startswith("Start ") and got[1].text.endswith("end")
+    assert len(got[3].text.split()) >= 25  # the first occurrence stays whole
+
+
 def brute_substrings(texts, length):
     seen = Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
     out = []
