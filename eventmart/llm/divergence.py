@@ -86,77 +86,79 @@ def tally(flush_at: int = 200_000) -> Callable[[Iterator[pa.RecordBatch]], Itera
     return run
 
 
-def references(docs: DataFrame, top_words: int, min_share: float) -> tuple[dict[str, np.ndarray], dict[str, dict[bytes, int]]]:
-    """Class counts and common words with counts (and "" for the rest) of each language, counted over all rows.
+def references(docs: DataFrame, top_words: int, min_reference_words: int) -> DataFrame:
+    """(ref_lang, ref_classes, ref_words, ref_counts): class counts, common words and their counts (with "" for the rest) of each language.
 
-    A language with less than `min_share` of all words is judged by the whole corpus's reference, under
-    the name None; so the driver holds at most (1 / min_share + 1) * (top_words + 8) numbers.
+    They are counted over all rows. A language of fewer than `min_reference_words` words has none, whatever its share.
     """
     counts = store(docs.select("text", "lang").mapInArrow(tally(), "lang string, kind string, token binary, n long")
                    .groupBy("lang", "kind", "token").agg(F.sum("n").alias("n")), "reference-counts")
     words = F.sum(F.when(F.col("kind") == "word", F.col("n")).otherwise(0))
-    sizes = counts.groupBy("lang").agg(words.alias("words"))
-    large = sizes.crossJoin(sizes.agg(F.sum("words").alias("all"))).where(  # one row beside a row per language
-        (F.col("words") > 0) & (F.col("words") >= F.lit(min_share) * F.col("all"))).select(F.col("lang").alias("_l"), "words")
-    own = counts.join(F.broadcast(large), F.col("lang") == F.col("_l")).select("lang", "kind", "token", "n")
-    whole = counts.groupBy("kind", "token").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "kind", "token", "n")
-    both = own.union(whole)
+    large = counts.groupBy("lang").agg(words.alias("_all")).where(F.col("_all") >= max(1, min_reference_words))
+    large = large.select(F.col("lang").alias("_l"), "_all")
     best = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "token")
-    top = both.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= max(top_words, len(CLASSES))).drop("_rank").collect()
-    total = {r.lang: r.n for r in both.where(F.col("kind") == "word").groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    classes = {r.lang: np.zeros(len(CLASSES)) for r in top}
-    common: dict[str, dict[bytes, int]] = {r.lang: {} for r in top}
-    for r in top:
-        if r.kind == "class":
-            classes[r.lang][list(CLASSES).index(bytes(r.token).decode())] = r.n
-        elif len(common[r.lang]) < top_words:
-            common[r.lang][bytes(r.token)] = r.n
-    for lang, c in common.items():
-        c[b""] = total.get(lang, 0) - sum(c.values())  # words that aren't common
-    return classes, common
+    top = counts.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= max(top_words, len(CLASSES)))
+    top = top.join(large, F.col("lang") == F.col("_l")).drop("_l")  # after the ranking, so that few rows of a language meet
+    word = (F.col("kind") == "word") & (F.col("_rank") <= top_words)
+    # at most top_words + 8 rows of a language meet
+    both = top.groupBy(F.col("lang").alias("ref_lang")).agg(
+        F.max("_all").alias("_all"),
+        F.map_from_entries(F.collect_list(F.when(F.col("kind") == "class", F.struct(F.col("token").cast("string"), "n")))).alias("_classes"),
+        F.array_sort(F.collect_list(F.when(word, F.struct("_rank", "token", "n")))).alias("_words"))
+    common = F.col("_words.n")
+    rest = F.col("_all") - F.aggregate(common, F.lit(0).cast("long"), lambda x, y: x + y)  # words that aren't common
+    return store(both.select(
+        "ref_lang", F.array(*[F.coalesce(F.col("_classes")[c], F.lit(0).cast("long")) for c in CLASSES]).alias("ref_classes"),
+        F.concat(F.col("_words.token"), F.array(F.lit(b""))).alias("ref_words"), F.concat(common, F.array(rest)).alias("ref_counts")), "references")
 
 
 def divergence_rules(
-    docs: DataFrame, top_words: int = 100, min_share: float = 0.001, max_class_distance: float = 0.33,
+    docs: DataFrame, top_words: int = 100, min_reference_words: int = 5000, max_class_distance: float = 0.33,
     max_word_distance: float = 0.45, min_chars: int = 200, min_words: int = 50, max_repeat_pct: int = 50,
 ) -> DataFrame:
     """Add base measures, `class_distance`, `word_distance`, `base_failed` and `kept` to (text, lang, ...).
 
     The language references are counted over all rows. A distance is judged only where the text has
-    enough to judge: at least `min_chars` bytes for classes, 2 * `min_words` words for words; below that
-    it is null and speaks for keeping. Base rules: fewer than `min_words` words, or more than
+    enough to judge: at least `min_chars` bytes for classes, 2 * `min_words` words for words; and where
+    its language has at least `min_reference_words` words in all, which doesn't depend on what else the corpus
+    holds. Elsewhere it is null and speaks for keeping. Base rules: fewer than `min_words` words, or more than
     `max_repeat_pct` per cent of the words in repeated 3-word windows, fail.
 
-    A null or empty text has no words and fails the base rules. A null or rare language is compared
-    with the whole corpus. Every row is judged by itself: equal rows get equal results. Columns of
+    A null or empty text has no words and fails the base rules. Rows without a language
+    are one language. Every row is judged by itself: equal rows get equal results. Columns of
     the same names are replaced. An empty table gives an empty result.
     """
     added = [*(x.split()[0] for x in BASE.split(", ")), "class_distance", "word_distance", "base_failed", "kept"]
     kept_columns = [c for c in docs.columns if c not in added]
-    classes, common = references(docs, top_words, min_share)
-    index = {lang: {w: i for i, w in enumerate(c)} for lang, c in common.items()}
-    expected = {lang: np.array(list(c.values()), dtype=float) for lang, c in common.items()}
+    ref = references(docs, top_words, min_reference_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, tuple[list[int], dict[bytes, int], np.ndarray]] = {}  # references of the languages met last
         for batch, found in texts(batches):
             base, cls, cls_ref, word_d = [], [], [], []
-            for text, lang in zip(found, batch.column("lang").to_pylist()):
-                lang = (lang or "") if (lang or "") in classes else None
+            own = [batch.column(batch.schema.get_field_index(c)) for c in ("ref_lang", "ref_classes", "ref_words", "ref_counts")]
+            for k, (text, lang) in enumerate(zip(found, own[0].to_pylist())):
+                if lang is not None and lang not in held:
+                    if len(held) > 500:
+                        held.clear()
+                    c, w, n = (x[k].as_py() for x in own[1:])
+                    held[lang] = c, {x: i for i, x in enumerate(w)}, np.array(n, dtype=float)
                 words = text.split()
                 base.append(base_measures(text, words))
-                cls.append(class_counts(text) if len(text) >= min_chars else [0] * len(CLASSES))
-                cls_ref.append(classes[lang])
-                if len(words) >= 2 * min_words:
-                    at = Counter(map(index[lang].get, text.lower().split()))
-                    row = np.zeros((1, len(index[lang])))
+                cls.append(class_counts(text) if len(text) >= min_chars and lang is not None else [0] * len(CLASSES))
+                cls_ref.append(held[lang][0] if lang is not None else [1] * len(CLASSES))
+                if len(words) >= 2 * min_words and lang is not None:
+                    _, index, expected = held[lang]
+                    at = Counter(map(index.get, text.lower().split()))
+                    row = np.zeros((1, len(index)))
                     for i, n in at.items():
                         row[0, -1 if i is None else i] += n
-                    word_d.append(float(js_distance(row, expected[lang][None])[0]))
+                    word_d.append(float(js_distance(row, expected[None])[0]))
                 else:
                     word_d.append(None)
             if not base:
                 continue
-            class_d = js_distance(np.array(cls, dtype=float), np.array(cls_ref))
+            class_d = js_distance(np.array(cls, dtype=float), np.array(cls_ref, dtype=float))
             class_d = [float(x) if sum(c) else None for x, c in zip(class_d, cls)]
             failed = [n < min_words or 100 * r > max_repeat_pct * n for n, _, _, _, r in base]
             kept = [not f and (c is None or c <= max_class_distance) and (w is None or w <= max_word_distance)
@@ -166,8 +168,7 @@ def divergence_rules(
             old = [batch.column(batch.schema.get_field_index(c)) for c in kept_columns]
             yield pa.RecordBatch.from_arrays([*old, *new], [*kept_columns, *added])
 
-    if not classes:  # an empty table has no reference
-        classes[None], index[None], expected[None] = np.ones(len(CLASSES)), {b"": 0}, np.ones(1)
     docs = docs.select(*[f"`{c}`" for c in kept_columns])
+    known = docs.join(ref, F.coalesce("lang", F.lit("")) == F.col("ref_lang"), "left")
     new = T.StructType.fromDDL(f"{BASE}, class_distance double, word_distance double, base_failed boolean, kept boolean")
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *new.fields]))
+    return known.mapInArrow(run, T.StructType([*docs.schema.fields, *new.fields]))

@@ -102,6 +102,21 @@ def test_divergence_rules(spark, odd):
     assert divergence.divergence_rules(odd.where("false")).count() == 0
 
 
+def test_divergence_of_rare_languages(spark):
+    """A rare language has its own reference, or none if it is too small; the share of all words doesn't matter."""
+    def other(s, n):
+        return " ".join(f"ñ{w}" for w in prose(n, 300, seed=s).split())
+
+    junk = " ".join(w + "%%%" for w in other(9, 150).split())
+    rows = [(i, prose(8000, 300, seed=i % 5), "en") for i in range(800)]
+    rows += [(1000 + i, other(i, 200), "es") for i in range(40)] + [(1100, junk, "es")] + [(1200 + i, other(i, 200), "fr") for i in range(3)]
+    rows += [(1300, other(1, 200), None)]
+    got = {r.doc_id: r for r in divergence.divergence_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [i for i, r in got.items() if i >= 1000 and not r.kept] == [1100]
+    assert all(got[i].word_distance is not None for i in range(1000, 1040))
+    assert all(got[i].word_distance is None and got[i].class_distance is None for i in (1200, 1201, 1202, 1300))
+
+
 def test_license_templates():
     a = licenses.compile_template("red <<beginOptional>>very <<beginOptional>>very<<endOptional>> big<<endOptional>> fox <<var;min=1;max=2>> end")
     for text, ok in [("red fox x end", 1), ("red very big fox x y end", 1), ("red very very big fox x end", 1), ("red fox end", 0),
