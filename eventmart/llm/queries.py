@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventmart.llm.alignment import align_tokenizers
 from eventmart.llm.common import words_of
 from eventmart.llm.decontamination import contaminated
 from eventmart.llm.divergence import divergence_rules
+from eventmart.llm.hardneg import hard_negatives
 from eventmart.llm.licenses import license_scan
 from eventmart.llm.mixing import mix_sources
 from eventmart.llm.neardup import near_duplicates
+from eventmart.llm.packing import best_fit_pack, token_pieces
 from eventmart.llm.sharding import minimax_shards
 from eventmart.llm.site_quality import site_quality
 from eventmart.llm.spans import span_dedup
@@ -74,9 +77,26 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec"), label.alias("label"))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = align_tokenizers(table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
+    return out.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return best_fit_pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "length")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_minimax_shards, op2_divergence_rules, op3_license_scan, op4_decontamination, op5_site_quality,
-                            op6_sentence_spans, op7_repeated_substrings, op8_source_mix, op9_warc_round_trip, op10_near_duplicates)}
+                            op6_sentence_spans, op7_repeated_substrings, op8_source_mix, op9_warc_round_trip, op10_near_duplicates,
+                            op11_hard_negatives, op12_token_alignment, op13_best_fit_packing)}
 
 # What SQL can express. The others are tested against brute force in tests/llm.
 ORACLES = {
@@ -104,4 +124,17 @@ ORACLES = {
                   UNION SELECT r.node, l.y FROM reach r JOIN links l ON l.x = r.seen)
         SELECT d.doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(r.seen) AS component_id, d.doc_id = min(r.seen) AS kept
         FROM documents d JOIN reach r ON r.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id""",
+    "op11_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          [floor(256 * x::DOUBLE) for x in embedding] AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                     AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (SELECT a.vec_id AS aid, b.vec_id AS bid, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+              FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY aid ORDER BY score DESC, bid) <= 5)
+        SELECT p.aid AS anchor_id, p.bid AS positive_id,
+               (row_number() OVER (PARTITION BY p.aid, p.bid ORDER BY s.score DESC, s.bid))::INT AS rank,
+               s.bid AS negative_id, p.score AS positive_score, s.score AS negative_score
+        FROM p JOIN s ON s.aid = p.aid AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+        QUALIFY rank <= 5""",
 }
