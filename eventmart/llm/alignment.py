@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from eventmart.llm.common import store
-from eventmart.llm.tokens import Ids, byte_level_tokens, file_bytes, json_encode, json_tokenizer, sentence_piece_tokens, stretches
+from eventmart.llm.tokens import Ids, byte_level_tokens, file_bytes, json_encode, json_tokenizer, lasting, sentence_piece_tokens, stretches
 
 WINDOW = 1_000_000  # characters aligned at once; a longer text goes through in several windows
 BROADCAST_ROWS = 500_000  # id pairs that are sent to all tasks; more are joined by a shuffle
@@ -90,8 +90,6 @@ class Aligner:
             kept.append(k)
             for side, x in zip("ab", both):
                 ids[side].append(b"".join(x))
-        for known in (self.known_a, self.known_b):
-            known.forget_long(p for _, cut in part for p in cut)
         still = [m for m, k in enumerate(kept) if out[k] is not None]
         if still:
             self.overlaps([kept[m] for m in still], [ids["a"][m] for m in still], [ids["b"][m] for m in still], out)
@@ -161,7 +159,7 @@ def aligned(docs: DataFrame, model_a: bytes, model_b: bytes, digest: bool) -> Da
     """One row for each row of (doc_id, text): counts, groups, and its linked id pairs with their numbers of links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(model_a, model_b, digest)
+        aligner = lasting(lambda: Aligner(model_a, model_b, digest), model_a, model_b, bytes([digest]))
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 some = batch.slice(at, 1000)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import store, texts
-from eventmart.llm.tokens import Ids, file_bytes, json_encode, json_tokenizer
+from eventmart.llm.tokens import Ids, WordBpe, file_bytes, lasting
 
 SENT = 4_000_000  # bytes of ids in one batch
 
@@ -29,8 +29,7 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, end: int = 0, lo
     model = file_bytes(tokenizer or public_tokenizers.path("word_bpe_49k.json"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = json_encode(json_tokenizer(model))
-        known, tail = Ids(lambda words: encode([w.decode() for w in words])), np.uint32(end).astype("<u4").tobytes()
+        known, tail = lasting(lambda: Ids(WordBpe(model)), model), np.uint32(end).astype("<u4").tobytes()
         for batch, found in texts(batches):
             for doc_ids, some in _portions(batch.column(0).to_pylist(), found):
                 split = [t.split() for t in some]
@@ -40,7 +39,6 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, end: int = 0, lo
                     ids = b"".join(map(known.__getitem__, words)) + tail
                     rows += [(i, k, at // 4, len(cut) // 4, cut) for k, at in enumerate(range(0, len(ids), 4 * longest))
                              for cut in [ids[at : at + 4 * longest]]]
-                known.forget_long(w for words in split for w in words)
                 for at in range(0, len(rows), max(1, SENT // (4 * longest))):
                     some_rows = rows[at : at + max(1, SENT // (4 * longest))]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some_rows), (

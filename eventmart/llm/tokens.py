@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
 import re
+import string
+import sys
+import types
+import unicodedata
+from array import array
 from collections.abc import Callable, Iterable
 
-import numpy as np
-
 #: entries after which the memory of tokenized stretches starts anew; longer stretches are not kept
-KEPT, LONGEST = 500_000, 64
+KEPT, LONGEST = 700_000, 64
 #: a blank between two characters that no tokenizer takes for white space
 CUT = re.compile("(?<=[^\\s᠎]) (?=[^\\s᠎])")
 ODD = re.compile("(?:^|[\\s᠎]) | (?:[\\s᠎]|$)")
@@ -26,19 +31,30 @@ class Ids(dict):
     def __init__(self, encode: Callable[[list], Iterable]) -> None:
         super().__init__()
         self.encode = encode
+        self.long: list = []
 
     def learn(self, parts: Iterable) -> None:
-        """Tokenize the stretches that are not known yet, all at once."""
-        if len(self) > KEPT:
+        """Tokenize the stretches that are not known yet, all at once; beyond `KEPT`, forget those not met just now."""
+        for p in self.long:
+            self.pop(p, None)
+        met = set(parts)
+        new = list(met.difference(self))
+        if len(self) + len(new) > KEPT:
+            stay = {p: self[p] for p in met if p in self}
             self.clear()
-        new = [p for p in dict.fromkeys(parts) if p not in self]
+            self.update(stay)
+        self.long = [p for p in new if len(p) > LONGEST]
         for p, ids in zip(new, self.encode(new) if new else ()):
-            self[p] = None if ids is None else np.asarray(ids, dtype="<u4").tobytes()
+            self[p] = None if ids is None else array("I", ids).tobytes()
+
 
-    def forget_long(self, parts: Iterable) -> None:
-        for p in parts:
-            if len(p) > LONGEST:
-                self.pop(p, None)
+def lasting(make: Callable, *models: bytes):
+    """What `make` returns, kept by the worker process: Spark reuses it, and later tasks find what earlier ones have learned."""
+    place = sys.modules.setdefault("_token_memory", types.ModuleType("_token_memory")).__dict__
+    key = hashlib.sha256(b"".join(models)).hexdigest()
+    if key not in place:
+        place[key] = make()
+    return place[key]
 
 
 def json_tokenizer(model: bytes, plain_specials: bool = False):
@@ -62,15 +78,81 @@ def file_bytes(path: str) -> bytes:
         return f.read()
 
 
-def byte_level_tokens(tokenizer) -> list[bytes]:
-    """The bytes of each id of a byte-level vocabulary.
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in a byte-level vocabulary.
 
-    Its letters stand for bytes: printable Latin-1 characters for themselves, the others, in order, for U+0100 and on.
+    Printable Latin-1 characters stand for themselves, the other bytes, in order, are U+0100 and on.
     """
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = [b for b in range(256) if b not in set(printable)]
-    byte = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(rest)}
-    out = [b""] * tokenizer.get_vocab_size()
+    return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+class WordBpe:
+    """Ids of single words by a tokenizer that lowers case and splits by one fixed pattern.
+
+    Words of Latin, Greek or Cyrillic letters, digits and ASCII signs are cut here and their parts handed to the tokenizer's merges, each
+    part once; all other words, and files with another pattern, go through the tokenizer as a whole. Both give the same ids.
+    """
+
+    # fixed value: the pattern in the tokenizer's file
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    BEYOND = "\u0530"  # the first character after those whose kind is settled here
+
+    def __init__(self, model: bytes) -> None:
+        self.tokenizer = json_tokenizer(model)
+        spec = json.loads(model)
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        kinds = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        self.known = (steps[0].get("pattern") or {}).get("Regex") == self.PATTERN and kinds == ["NFC", "Replace", "Lowercase"]
+        self.signs = set(string.punctuation + string.digits)
+        self.cut = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|[0-9]|[{re.escape(string.punctuation)}]+")
+        self.letter = {b: c for c, b in byte_letters().items()}
+        self.parts: dict[str, list[int]] = {}
+
+    def normal(self, word: bytes) -> str:
+        if word.isascii():
+            return word.lower().decode()
+        text = word.decode("utf-8", "replace")
+        same = text.isalpha() and text.islower() and max(text) < self.BEYOND and unicodedata.is_normalized("NFC", text)
+        return text if same else self.tokenizer.normalizer.normalize_str(text)
+
+    def split(self, text: str) -> list[str] | None:
+        """What the pattern finds in a word, None where that is not settled here."""
+        if text.isalpha():
+            return [text] if max(text) < self.BEYOND else None
+        found = self.cut.findall(text)
+        sound = sum(map(len, found)) == len(text) and all(p[0] in self.signs or (p.isalpha() and max(p) < self.BEYOND) for p in found)
+        return found if sound else None
+
+    def __call__(self, words: list[bytes]) -> list[list[int]]:
+        if len(self.parts) > KEPT:
+            self.parts.clear()
+        out: list = [None] * len(words)
+        whole, merges, parts = [], self.tokenizer.model, self.parts
+        for k, w in enumerate(words):
+            cut = self.split(self.normal(w)) if self.known and len(w) <= LONGEST and b"<|" not in w else None
+            if cut is None:
+                whole.append(k)
+                continue
+            ids: list[int] = []
+            for p in cut:
+                known = parts.get(p)
+                if known is None:
+                    letters = p if p.isascii() else "".join(map(self.letter.__getitem__, p.encode()))
+                    parts[p] = known = [t.id for t in merges.tokenize(letters)]
+                ids += known
+            out[k] = ids
+        if whole:
+            found = self.tokenizer.encode_batch_fast([words[k].decode("utf-8", "replace") for k in whole], add_special_tokens=False)
+            for k, e in zip(whole, found):
+                out[k] = e.ids
+        return out
+
+
+def byte_level_tokens(tokenizer) -> list[bytes]:
+    """The bytes of each id of a byte-level vocabulary."""
+    byte, out = byte_letters(), [b""] * tokenizer.get_vocab_size()
     for token, i in tokenizer.get_vocab().items():
         out[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
     return out
