@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import store, texts
-from eventmart.llm.tokens import Ids, WordBpe, file_bytes, lasting
+from eventmart.llm.tokens import WordIds, file_bytes, lasting
 
 SENT = 4_000_000  # bytes of ids in one batch
 
@@ -23,43 +22,36 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, end: int = 0, lo
     ids are little-endian unsigned 32-bit numbers. Only a document of more than `longest` ids is cut, into pieces
     of `longest`; the last one may be shorter. start counts the document's ids before the piece. A null or empty text
     is the one id `end`. Rows are not told apart by doc_id: repeated rows are documents of their own. `tokenizer` is a
-    JSON file whose normalizer and splitter never join what ASCII white space parts (word_bpe_49k.json by default),
-    so each word is tokenized once per task and looked up afterwards.
+    JSON file whose normalizer and splitter never join what ASCII white space parts (word_bpe_49k.json by default);
+    each part of a text is tokenized once per worker and looked up afterwards.
     """
     model = file_bytes(tokenizer or public_tokenizers.path("word_bpe_49k.json"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, tail = lasting(lambda: Ids(WordBpe(model)), model), np.uint32(end).astype("<u4").tobytes()
+        known, tail = lasting(lambda: WordIds(model), model), np.uint32(end).astype("<u4").tobytes()
+        rows, held = [], 0
+
+        def made() -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["doc_id", "piece", "start", "length", "ids"])
+
         for batch, found in texts(batches):
-            for doc_ids, some in _portions(batch.column(0).to_pylist(), found):
-                split = [t.split() for t in some]
-                known.learn(itertools.chain.from_iterable(split))
-                rows = []
-                for i, words in zip(doc_ids, split):
-                    ids = b"".join(map(known.__getitem__, words)) + tail
-                    rows += [(i, k, at // 4, len(cut) // 4, cut) for k, at in enumerate(range(0, len(ids), 4 * longest))
-                             for cut in [ids[at : at + 4 * longest]]]
-                for at in range(0, len(rows), max(1, SENT // (4 * longest))):
-                    some_rows = rows[at : at + max(1, SENT // (4 * longest))]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some_rows), (
-                        pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "piece", "start", "length", "ids"])
+            for i, text in zip(batch.column(0).to_pylist(), found):
+                ids = known.of(text) + tail
+                for k, at in enumerate(range(0, len(ids), 4 * longest)):
+                    cut = ids[at : at + 4 * longest]
+                    rows.append((i, k, at // 4, len(cut) // 4, cut))
+                    held += len(cut)
+                    if held > SENT:
+                        yield made()
+                        rows, held = [], 0
+        if rows:
+            yield made()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, piece int, start long, length long, ids binary")
 
 
-def _portions(ids: list, found: list[bytes], most: int = 8_000_000) -> Iterator[tuple[list, list[bytes]]]:
-    """Texts of a batch a few MB at a time (one text at least)."""
-    first = size = 0
-    for k, t in enumerate(found):
-        if size and size + len(t) > most:
-            yield ids[first:k], found[first:k]
-            first, size = k, 0
-        size += len(t)
-    if first < len(found):
-        yield ids[first:], found[first:]
-
-
 class OpenBins:
     """Bins by their remaining room, under a segment tree that tells where any are: the tightest is found in log(room)."""
 

@@ -88,67 +88,79 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-class WordBpe:
-    """Ids of single words by a tokenizer that lowers case and splits by one fixed pattern.
+class WordIds(dict):
+    """Token ids of texts, as little-endian 32-bit numbers, by a tokenizer that lowers case and splits by one fixed pattern.
 
-    Words of Latin, Greek or Cyrillic letters, digits and ASCII signs are cut here and their parts handed to the tokenizer's merges, each
-    part once; all other words, and files with another pattern, go through the tokenizer as a whole. Both give the same ids.
+    The tokenizer's own normalizer is applied, then texts are split here and each part is handed to the tokenizer's merges once. Only
+    what the pattern finds among letters, digits and signs of settled kind is split so; windows with anything else, and files with
+    another pattern, go through the tokenizer as a whole. Both give the same ids. Long texts are taken in windows that end at white space.
     """
 
-    # fixed value: the pattern in the tokenizer's file
+    # fixed values: the pattern in the tokenizer's file, and the endings it names
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-    BEYOND = "\u0530"  # the first character after those whose kind is settled here
+    ENDINGS = {"'s", "'t", "'re", "'ve", "'m", "'ll", "'d"}
+    LETTERS = "a-zß-öø-ÿ"
+    CUT = re.compile(rf"[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\s{LETTERS}0-9]+", re.ASCII)
+    WORD = re.compile(f"[{LETTERS}]+")
+    BEYOND = re.compile("[^\\0-\u052f\u2010-\u2027]|\u03a3")  # sigma's lower case depends on its place for Python only
+    WINDOW, SPACE = 1_000_000, re.compile(rb"[ \t\n\r\f\v]")
 
     def __init__(self, model: bytes) -> None:
+        super().__init__()
         self.tokenizer = json_tokenizer(model)
+        self.normalizer, self.merges = self.tokenizer.normalizer, self.tokenizer.model
         spec = json.loads(model)
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         kinds = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
         self.known = (steps[0].get("pattern") or {}).get("Regex") == self.PATTERN and kinds == ["NFC", "Replace", "Lowercase"]
-        self.signs = set(string.punctuation + string.digits)
-        self.cut = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|[0-9]|[{re.escape(string.punctuation)}]+")
         self.letter = {b: c for c, b in byte_letters().items()}
-        self.parts: dict[str, list[int]] = {}
-
-    def normal(self, word: bytes) -> str:
-        if word.isascii():
-            return word.lower().decode()
-        text = word.decode("utf-8", "replace")
-        same = text.isalpha() and text.islower() and max(text) < self.BEYOND and unicodedata.is_normalized("NFC", text)
-        return text if same else self.tokenizer.normalizer.normalize_str(text)
-
-    def split(self, text: str) -> list[str] | None:
-        """What the pattern finds in a word, None where that is not settled here."""
-        if text.isalpha():
-            return [text] if max(text) < self.BEYOND else None
-        found = self.cut.findall(text)
-        sound = sum(map(len, found)) == len(text) and all(p[0] in self.signs or (p.isalpha() and max(p) < self.BEYOND) for p in found)
-        return found if sound else None
-
-    def __call__(self, words: list[bytes]) -> list[list[int]]:
-        if len(self.parts) > KEPT:
-            self.parts.clear()
-        out: list = [None] * len(words)
-        whole, merges, parts = [], self.tokenizer.model, self.parts
-        for k, w in enumerate(words):
-            cut = self.split(self.normal(w)) if self.known and len(w) <= LONGEST and b"<|" not in w else None
-            if cut is None:
-                whole.append(k)
-                continue
-            ids: list[int] = []
-            for p in cut:
-                known = parts.get(p)
-                if known is None:
-                    letters = p if p.isascii() else "".join(map(self.letter.__getitem__, p.encode()))
-                    parts[p] = known = [t.id for t in merges.tokenize(letters)]
-                ids += known
-            out[k] = ids
-        if whole:
-            found = self.tokenizer.encode_batch_fast([words[k].decode("utf-8", "replace") for k in whole], add_special_tokens=False)
-            for k, e in zip(whole, found):
-                out[k] = e.ids
+
+    def settled(self, part: str) -> bool:
+        """Whether a part of `CUT` is surely one of the pattern: Latin-1 letters, a digit, signs up to Cyrillic, dashes, quotation marks."""
+        if part.isalpha():
+            return self.WORD.fullmatch(part) is not None
+        return part in self.ENDINGS or part in string.digits or all(
+            not c.isalnum() and not c.isspace() and (c < "\u0530" or "\u2010" <= c <= "\u2027") for c in part)
+
+    def __missing__(self, part: str) -> bytes:
+        if not self.settled(part):
+            raise KeyError(part)
+        letters = part if part.isascii() else "".join(map(self.letter.__getitem__, part.encode()))
+        out = array("I", [t.id for t in self.merges.tokenize(letters)]).tobytes()
+        if len(part) <= LONGEST:
+            self[part] = out
         return out
 
+    def normal(self, given: bytes) -> str:
+        """What the normalizer makes of a text, but for the length of white space."""
+        if given.isascii():
+            return given.lower().decode()
+        text = given.decode("utf-8", "replace")
+        if self.BEYOND.search(text) or not unicodedata.is_normalized("NFC", text):
+            return self.normalizer.normalize_str(text)
+        return text.lower()
+
+    def of_window(self, text: bytes) -> bytes:
+        if self.known and b"<|" not in text:  # nor a special token
+            try:
+                return b"".join(map(self.__getitem__, self.CUT.findall(self.normal(text))))
+            except KeyError:
+                pass
+        return array("I", self.tokenizer.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)[0].ids).tobytes()
+
+    def of(self, text: bytes) -> bytes:
+        if len(self) > KEPT:
+            self.clear()
+        if len(text) <= self.WINDOW:
+            return self.of_window(text)
+        out, at = [], 0
+        while at < len(text):
+            space = self.SPACE.search(text, at + self.WINDOW)
+            end = space.start() if space else len(text)
+            out.append(self.of_window(text[at:end]))
+            at = end
+        return b"".join(out)
+
 
 def byte_level_tokens(tokenizer) -> list[bytes]:
     """The bytes of each id of a byte-level vocabulary."""
