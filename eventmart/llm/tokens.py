@@ -125,7 +125,7 @@ class WordIds(dict):
     def __missing__(self, part: str) -> bytes:
         if not self.settled(part):
             raise KeyError(part)
-        letters = part if part.isascii() else "".join(map(self.letter.__getitem__, part.encode()))
+        letters = part if part.isascii() and part.isprintable() else "".join(map(self.letter.__getitem__, part.encode()))
         out = array("I", [t.id for t in self.merges.tokenize(letters)]).tobytes()
         if len(part) <= LONGEST:
             self[part] = out
