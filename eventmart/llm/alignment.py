@@ -49,16 +49,29 @@ class Aligner:
         self.size_b, self.digest = len(self.bytes_b), digest
         self.len_a, self.len_b = (np.array([len(t) for t in x], dtype=np.int64) for x in (self.bytes_a, self.bytes_b))
         encode = json_encode(tokenizer)
-        self.known_a = Ids(lambda parts: self.faithful(parts, encode([" " + p for p in parts]), self.bytes_a))
-        self.known_b = Ids(lambda parts: self.faithful(parts, pieces.encode(parts, num_threads=1), self.bytes_b))
-        names = np.array([str(i) for i in range(max(len(self.bytes_a), self.size_b))], dtype=object)
-        self.names = [names + mark for mark in (",", "|", ";")]
+        self.encode_a, self.encode_b = (lambda parts: encode([" " + p for p in parts])), (lambda parts: pieces.encode(parts, num_threads=1))
+        self.names_a = np.array([f"{i}{mark}" for i in range(len(self.bytes_a)) for mark in ",|"], dtype=object)
+        self.names_b = np.array([f"{i}{mark}" for i in range(self.size_b) for mark in ",;"], dtype=object)
+        self.known = Ids(self.both)
+
+    def both(self, parts: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Ids of A and of B of each stretch, as little-endian 32-bit numbers; None where the tokens don't give it back."""
+        texts = [(" " + p).encode() for p in parts]
+        a = self.faithful(texts, list(self.encode_a(parts)), self.bytes_a, self.len_a)
+        b = self.faithful(texts, self.encode_b(parts), self.bytes_b, self.len_b)
+        return [None if x is None or y is None else (x, y) for x, y in zip(a, b)]
 
     @staticmethod
-    def faithful(parts: list[str], found: Iterator[list[int]], token: list[bytes]) -> Iterator[list[int] | None]:
-        """The ids of each stretch with its blank, None where their bytes are not those of the stretch."""
-        for part, ids in zip(parts, found):
-            yield ids if b"".join(map(token.__getitem__, ids)) == b" " + part.encode() else None
+    def faithful(texts: list[bytes], found: list[list[int]], token: list[bytes], lengths: np.ndarray) -> list[bytes | None]:
+        """The ids of each stretch, None where their bytes are not those of the stretch."""
+        flat = np.fromiter(itertools.chain.from_iterable(found), dtype="<u4")
+        ends = np.cumsum([len(x) for x in found])
+        at = np.r_[0, np.cumsum(lengths[flat])][ends]
+        raw, cut = flat.tobytes(), [0, *(4 * ends).tolist()]
+        out = [raw[x:y] for x, y in zip(cut, cut[1:])]
+        if (at == np.cumsum([len(t) for t in texts])).all() and b"".join(map(token.__getitem__, flat.tolist())) == b"".join(texts):
+            return out  # all of them, as usual
+        return [x if b"".join(map(token.__getitem__, ids)) == t else None for x, ids, t in zip(out, found, texts)]
 
     def run(self, texts: list[str]) -> list[Aligned]:
         """Each text's alignment; a text without tokens, or one that a tokenizer doesn't give back, has none."""
@@ -76,23 +89,22 @@ class Aligner:
 
     def align(self, part: list[tuple[int, list[str]]], out: list[Aligned | None]) -> None:
         """Add windows (document, stretches) to their documents."""
-        for known in (self.known_a, self.known_b):
-            known.learn(itertools.chain.from_iterable(p for _, p in part))
-        ids: dict[str, list[bytes]] = {"a": [], "b": []}
+        self.known.learn(itertools.chain.from_iterable(p for _, p in part))
+        ids: tuple[list[bytes], list[bytes]] = ([], [])
         kept = []
         for k, cut in part:
             if out[k] is None:
                 continue
-            both = [list(map(known.__getitem__, cut)) for known in (self.known_a, self.known_b)]
-            if any(None in x for x in both):
+            found = list(map(self.known.__getitem__, cut))
+            if None in found:
                 out[k] = None
                 continue
             kept.append(k)
-            for side, x in zip("ab", both):
-                ids[side].append(b"".join(x))
+            for side, x in zip(ids, zip(*found)):
+                side.append(b"".join(x))
         still = [m for m, k in enumerate(kept) if out[k] is not None]
         if still:
-            self.overlaps([kept[m] for m in still], [ids["a"][m] for m in still], [ids["b"][m] for m in still], out)
+            self.overlaps([kept[m] for m in still], [ids[0][m] for m in still], [ids[1][m] for m in still], out)
 
     def overlaps(self, kept: list[int], ids_a: list[bytes], ids_b: list[bytes], out: list[Aligned | None]) -> None:
         """Each token's start finds the token of the other side that covers it; both directions together are all overlaps."""
@@ -105,17 +117,18 @@ class Aligner:
         right = pd.DataFrame({"at": end_b - self.len_b[b], "doc": doc_b, "j": np.arange(len(b))})
         from_a = pd.merge_asof(left, right, on="at", by="doc")
         from_b = pd.merge_asof(right, left, on="at", by="doc")
-        cover = from_b["i"].to_numpy().astype(np.int64)
-        more = left["at"].to_numpy()[cover] != right["at"].to_numpy()  # equal starts are met from either side
-        i = np.r_[from_a["i"].to_numpy(), cover[more]]
-        j = np.r_[from_a["j"].to_numpy().astype(np.int64), from_b["j"].to_numpy()[more]]
+        cover_a, cover_b = from_a["j"].to_numpy().astype(np.int64), from_b["i"].to_numpy().astype(np.int64)
+        start_a, start_b = left["at"].to_numpy(), right["at"].to_numpy()
+        same_a, same_b = start_b[cover_a] == start_a, start_a[cover_b] == start_b
+        more = np.flatnonzero(~same_b)  # equal starts are met from either side
+        i, j = np.r_[np.arange(len(a)), cover_b[more]], np.r_[cover_a, more]
         doc = doc_a[i]
         links = np.bincount(doc, minlength=n)
         keys, times = np.unique((doc * len(self.bytes_a) + a[i]) * self.size_b + b[j], return_counts=True)
         span = len(self.bytes_a) * self.size_b
         bounds = np.searchsorted(keys, np.arange(n + 1) * span)
 
-        last_a, last_b = np.isin(end_a, end_b, assume_unique=True), np.isin(end_b, end_a, assume_unique=True)
+        last_a, last_b = np.r_[same_a[1:], True], np.r_[same_b[1:], True]  # a token ends where the next one starts
         groups = np.bincount(doc_a[last_a], minlength=n)
         written = self.written(a, b, last_a, last_b)
         places = np.r_[0, np.cumsum(count_a + count_b)]
@@ -136,13 +149,12 @@ class Aligner:
 
     def written(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> np.ndarray:
         """Ids with the mark that follows each, group by group: those of the first tokenizer, then those of the second."""
-        comma, bar, semicolon = self.names
         group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         before_a = np.r_[0, np.cumsum(np.bincount(group_b, minlength=int(last_a.sum())))]  # tokens b in earlier groups
         before_b = np.cumsum(np.bincount(group_a, minlength=int(last_a.sum())))  # tokens a up to and with the group
         out = np.empty(len(a) + len(b), dtype=object)
-        out[np.arange(len(a)) + before_a[group_a]] = np.where(last_a, bar[a], comma[a])
-        out[np.arange(len(b)) + before_b[group_b]] = np.where(last_b, semicolon[b], comma[b])
+        out[np.arange(len(a)) + before_a[group_a]] = self.names_a[2 * a + last_a]
+        out[np.arange(len(b)) + before_b[group_b]] = self.names_b[2 * b + last_b]
         return out
 
     def closed(self, x: Aligned | None) -> Aligned:

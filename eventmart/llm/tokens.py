@@ -26,7 +26,7 @@ def stretches(text: str) -> list[str]:
 
 
 class Ids(dict):
-    """Token ids of stretches as little-endian 32-bit numbers; `encode` takes a list of them to lists of ids, None for none."""
+    """What `encode` makes of stretches of text (a list of them at a time), kept for those met again."""
 
     def __init__(self, encode: Callable[[list], Iterable]) -> None:
         super().__init__()
@@ -44,8 +44,8 @@ class Ids(dict):
             self.clear()
             self.update(stay)
         self.long = [p for p in new if len(p) > LONGEST]
-        for p, ids in zip(new, self.encode(new) if new else ()):
-            self[p] = None if ids is None else array("I", ids).tobytes()
+        if new:
+            self.update(zip(new, self.encode(new)))
 
 
 def lasting(make: Callable, *models: bytes):
