@@ -29,7 +29,7 @@ from eventmart.plans.warehouse import Warehouse  # noqa: E402
 from eventmart.session import apply_settings, shared_folder  # noqa: E402
 from eventmart.sources import landing  # noqa: E402
 from eventmart.sources.sample_world import sample_table, view  # noqa: E402
-from eventmart.streaming import jobs  # noqa: E402
+from eventmart.streaming import jobs, key_index  # noqa: E402
 from oracle_statements import ORACLES  # noqa: E402
 
 try:  # the operators for training data are an addition that may be absent
@@ -726,17 +726,27 @@ def scalar_array(w: World) -> DataFrame:
 # ---- further checks ---------------------------------------------------------------------------------
 
 
-@query
-def chain_complete(w: World) -> DataFrame:
+def _chain(w: World, hot: HotKeys | int) -> DataFrame:
     log = w.ev.where("kind IN ('click', 'view', 'error')").select(
         "event_id", F.concat(F.lit("sev_"), "event_id").alias("server_event_id"), F.col("kind").alias("event_type"),
         F.col("ts").alias("event_ts_utc"), fc.text_of("chr_", F.col("user_id")).alias("character_id"),
         fc.text_of("shard-0", F.col("event_id") % 3 + 1).alias("server_id"))
     gaps = quality.gap_edges(w.stg())
-    return plain(checks.chain_completeness(log, ["click", "view", "error"], gaps, max_seconds=2 * DAY, hot=w.hot_actors()),
+    return plain(checks.chain_completeness(log, ["click", "view", "error"], gaps, max_seconds=2 * DAY, hot=hot),
                  "event_id", "character_id", "complete", "excused", "seconds")
 
 
+@query
+def chain_complete(w: World) -> DataFrame:
+    return _chain(w, w.hot_actors())
+
+
+@query
+def hot_chain_complete(w: World) -> DataFrame:
+    """The same with nearly every character cut into slices, as a character with very many events is."""
+    return _chain(w, 5)
+
+
 @query
 def threshold_match(w: World) -> DataFrame:
     return plain(checks.threshold_mismatch(w.level_ups, w.xp_levels), "event_id", "character_id", "new_level", "xp_total",
@@ -881,6 +891,21 @@ def stream_dedup(w: World) -> DataFrame:
     return plain(out, "server_event_id", "server_id", "shard_seq")
 
 
+@query
+def stream_late_copies(w: World) -> DataFrame:
+    """Loads of whole receive days; every 50th event comes once more three days later, beyond any watermark."""
+    raw = w.raw_events
+    late = raw.where(F.col("event_id") % 100 == 0).withColumns(
+        {"received_at": F.col("received_at") + F.expr("INTERVAL 3 DAYS"), "event_id": F.col("event_id") + F.lit(1 << 40)})
+    landed, folder = w.scratch("late-landed"), w.scratch("late-loaded")
+    # a file for each receive day, as the landing writes them
+    day = F.to_date("received_at")
+    raw.unionByName(late).withColumn("received_date", day).repartition("received_date").write.partitionBy("received_date").parquet(landed)
+    arriving = w.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 8).parquet(landed)
+    loaded = key_index.load_stream(arriving, folder)
+    return plain(loaded.groupBy("server_event_id").agg(F.count("*").alias("kept"), F.min("server_id").alias("server_id"), F.min("shard_seq").alias("shard_seq")))
+
+
 @query
 def stream_skew(w: World) -> DataFrame:
     out = jobs.run_to_table(jobs.skew_stream(_stream(w, "raw_events")), w.scratch("skew"))

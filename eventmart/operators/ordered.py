@@ -110,6 +110,33 @@ def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     return _neighbour(df, keys, order, values, into, slice_by, hot, ahead=True)
 
 
+def with_following(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], values: Mapping[str, Column], n: int,
+                   into: str = "ahead", slice_by: Column | None = None, hot: Hot = HOT_ROWS) -> DataFrame:
+    """Add an array of structs of `values`: the next `n` rows of the same key, fewer at its end.
+
+    A slice of a hot key hands its first `n` rows over to the slices before it. Every slice has a row, so the next
+    `n` slices hold all that a slice can lack: one pass over the rows and one over these heads, whatever `n`.
+    """
+    row = F.struct(*[v.alias(k) for k, v in values.items()])
+    if n < 1:
+        return df.withColumn(into, F.filter(F.array(row), lambda _: F.lit(False)))
+    if slice_by is None or all_cold(hot, keys):
+        return df.withColumn(into, F.collect_list(row).over(W.partitionBy(*keys).orderBy(*_order(order)).rowsBetween(1, n)))
+    cut = split_hot(df, keys, slice_by, hot)
+    inside = W.partitionBy(*keys, SLICE).orderBy(*_order(order))
+    first = (cut.where(HOT).select(*keys, SLICE, row.alias("_row"), F.row_number().over(inside).alias("_at")).where(F.col("_at") <= n)
+                .groupBy(*keys, SLICE).agg(F.sort_array(F.collect_list(F.struct("_at", "_row"))).alias("_head")))
+    later = F.flatten(F.collect_list("_head").over(W.partitionBy(*keys).orderBy(SLICE).rowsBetween(1, n)))
+    heads = first.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(SLICE).alias("_of"), F.transform(F.slice(later, 1, n), lambda x: x["_row"]).alias("_carry"))
+    same = F.col(SLICE) == F.col("_of")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    own = F.collect_list(row).over(inside.rowsBetween(1, n))
+    return (cut.withColumn("_own", own).join(heads, same & F.col(HOT), "left")
+               .withColumn(into, F.when(F.col("_carry").isNull(), F.col("_own")).otherwise(F.slice(F.concat("_own", "_carry"), 1, n)))
+               .drop(HOT, SLICE, "_own", "_carry", "_of", *[f"_k_{k}" for k in keys]))
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], amount: Column,
                 into: str, slice_by: Column, hot: Hot = HOT_ROWS) -> DataFrame:
     """Running total of `amount` per key, up to and including the row.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.columns import ratio, seconds_between, time_slice
 from eventmart.operators.asof import asof_join
-from eventmart.operators.ordered import HOT_ROWS, Hot, running_sum, with_next, with_previous
+from eventmart.operators.ordered import HOT_ROWS, Hot, running_sum, with_following, with_next, with_previous
 from eventmart.operators.quality import first_known
 
 DAY = 86_400
@@ -22,23 +22,19 @@ def chain_completeness(events: DataFrame, chain: Sequence[str], gaps: DataFrame
 
     `max_seconds` also limits the time from first to last link. A broken chain is `excused` when
     its shard lost an event between the opening and the last link looked at (`gaps`, one row per
-    hole): delivery may have broken it.
+    hole): delivery may have broken it. All links are looked up in one pass, whatever the length of the chain.
     """
     rows = events.where(F.col("event_type").isin(*chain) & F.col("character_id").isNotNull()).select(
         "event_id", "server_event_id", "event_type", "event_ts_utc", "character_id", "server_id")
     order = ["event_ts_utc", "event_id"]
     piece = time_slice("event_ts_utc", slice_seconds)
-    ahead = {"type": F.col("event_type"), "ts": F.col("event_ts_utc")}
-    linked = rows
-    for i in range(1, len(chain)):
-        # step i looks one row ahead of what step i-1 already knows
-        linked = with_next(linked, ["character_id"], order, ahead, f"_l{i}", piece, hot)
-        ahead = {"type": F.col(f"_l{i}.type"), "ts": F.col(f"_l{i}.ts")}
+    values = {"type": F.col("event_type"), "ts": F.col("event_ts_utc")}
+    linked = with_following(rows, ["character_id"], order, values, len(chain) - 1, "_ahead", piece, hot)
     opened = linked.where(F.col("event_type") == chain[0])
     follows = F.lit(True)
-    for i, kind in enumerate(chain[1:], start=1):
-        follows = follows & F.col(f"_l{i}.type").eqNullSafe(F.lit(kind))
-    last = F.coalesce(*[F.col(f"_l{i}.ts") for i in range(len(chain) - 1, 0, -1)], F.col("event_ts_utc"))
+    for i, kind in enumerate(chain[1:]):
+        follows = follows & F.get(F.col("_ahead.type"), F.lit(i)).eqNullSafe(F.lit(kind))
+    last = F.coalesce(F.try_element_at(F.col("_ahead.ts"), F.lit(-1)), F.col("event_ts_utc"))
     took = seconds_between("_last", "event_ts_utc")
     if max_seconds is not None:
         follows = follows & (seconds_between(last, "event_ts_utc") <= max_seconds)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.columns import number_slice, time_slice
 from eventmart.operators.asof import asof_interval_join, asof_join, bracket_join
-from eventmart.operators.ordered import HotKeys, measure_hot_keys, number_globally, number_rows, running_sum, with_next, with_previous
+from eventmart.operators.ordered import HotKeys, measure_hot_keys, number_globally, number_rows, running_sum, with_following, with_next, with_previous
 from eventmart.operators.peers import peer_standing, percentile
 
 
@@ -110,3 +110,19 @@ def test_number_slice_never_decreases(spark):
     df = spark.createDataFrame([(float(v),) for v in range(-20, 20)], "v double").withColumn("s", number_slice("v", 7))
     got = [r.s for r in df.orderBy("v").collect()]
     assert got == sorted(got)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5])
+def test_following_rows_across_slices(spark, n):
+    """Slices shorter than what is looked ahead, empty stretches, and a second key."""
+    given = [("a", t, i) for i, t in enumerate([0, 0, 1, 7, 7, 7, 7, 20, 21, 22, 40])] + [("b", 3, 50), ("b", 9, 51)]
+    df = spark.createDataFrame(given, "k string, t int, id int")
+    piece = F.floor(F.col("t") / 2).cast("bigint")
+    out = with_following(df, ["k"], ["t", "id"], {"id": F.col("id")}, n, "ahead", piece, 1)
+    want = []
+    for k, t, i in given:
+        ids = [j for q, _, j in sorted(given, key=lambda r: (r[1], r[2])) if q == k]
+        want.append((i, ids[ids.index(i) + 1:][:n]))
+    assert sorted((r.id, [x.id for x in r.ahead]) for r in out.collect()) == sorted(want)
+    plain = with_following(df, ["k"], ["t", "id"], {"id": F.col("id")}, n)
+    assert sorted((r.id, [x.id for x in r.ahead]) for r in plain.collect()) == sorted(want)
