@@ -257,26 +257,32 @@ def bound_item_moved(custody: DataFrame, events: DataFrame,
 def illegal_trade(events: DataFrame, characters: DataFrame) -> DataFrame:
     """A trade between characters of different factions, or in different zones.
 
-    Each side of a trade is reported once, against the smallest earlier one (by character id) whose
-    faction or zone differs; for the usual two sides that is the pair. An unknown faction or zone
-    differs from nothing. Linear for any number of sides: the smallest side with a known faction,
-    and the smallest whose faction is another one, hold every side's partner; likewise for zones.
+    A pair names its smaller side (by character id) as the actor. Each side is reported against the smallest side before it
+    whose faction or zone differs, and against the largest such side after it: every actor of any illegal pair is named, with
+    two rows a side at most; for the usual two sides that is the pair. An unknown faction or zone differs from nothing. Linear for
+    any number of sides: the smallest (largest) side with a known faction, and the smallest (largest) whose faction is another
+    one, hold every side's partner; likewise for zones.
     """
     side = events.where((F.col("event_type") == "trade_completed") & F.col("trade_id").isNotNull()
                         & F.col("character_id").isNotNull()).select(
         "trade_id", "character_id", "event_id", "server_event_id", "event_ts_utc", "zone_id")
     me = F.struct("character_id", "event_id", "server_event_id", "event_ts_utc", "zone_id", "faction")
     sides = side.join(characters.select("character_id", "faction"), "character_id").select("trade_id", me.alias("me"))
-    kinds = ("faction", "zone_id")
+    kinds, ends = ("faction", "zone_id"), {"low": (F.min, F.least), "high": (F.max, F.greatest)}
     first = sides.groupBy("trade_id").agg(F.count("*").alias("_n"), *[
-        F.min(F.when(F.col(f"me.{k}").isNotNull(), F.col("me"))).alias(f"one_{k}") for k in kinds]).where("_n > 1")
+        pick(F.when(F.col(f"me.{k}").isNotNull(), F.col("me"))).alias(f"one_{e}_{k}") for e, (pick, _) in ends.items() for k in kinds]).where("_n > 1")
     sides = sides.join(first.drop("_n"), "trade_id")
     other = sides.groupBy("trade_id").agg(*[
-        F.min(F.when(F.col(f"me.{k}") != F.col(f"one_{k}.{k}"), F.col("me"))).alias(f"two_{k}") for k in kinds])
-    partners = [F.when(F.col(f"me.{k}") != F.col(f"one_{k}.{k}"), F.col(f"one_{k}"))
-                 .when(F.col(f"me.{k}") == F.col(f"one_{k}.{k}"), F.col(f"two_{k}")) for k in kinds]
-    bad = sides.join(other, "trade_id").select("trade_id", F.col("me").alias("b"), F.least(*partners).alias("a"))
-    bad = bad.where(F.col("a.character_id") < F.col("b.character_id"))
+        pick(F.when(F.col(f"me.{k}") != F.col(f"one_{e}_{k}.{k}"), F.col("me"))).alias(f"two_{e}_{k}") for e, (pick, _) in ends.items() for k in kinds])
+
+    def partner(e: str) -> Column:
+        of_kind = [F.when(F.col(f"me.{k}") != F.col(f"one_{e}_{k}.{k}"), F.col(f"one_{e}_{k}"))
+                    .when(F.col(f"me.{k}") == F.col(f"one_{e}_{k}.{k}"), F.col(f"two_{e}_{k}")) for k in kinds]
+        return ends[e][1](*of_kind)
+
+    pairs = F.array(F.struct(partner("low").alias("a"), F.col("me").alias("b")), F.struct(F.col("me").alias("a"), partner("high").alias("b")))
+    bad = sides.join(other, "trade_id").select("trade_id", F.explode(pairs).alias("p")).select("trade_id", "p.a", "p.b")
+    bad = bad.where(F.col("a.character_id") < F.col("b.character_id")).dropDuplicates(["trade_id", "a", "b"])
     detail = text_of("Trade ", F.col("trade_id"), " with ", F.col("b.character_id"), ": factions ",
                      F.col("a.faction"), "/", F.col("b.faction"), ", zones ", F.col("a.zone_id"), "/",
                      F.col("b.zone_id"))

@@ -164,7 +164,7 @@ def test_r10_pairs(events, people):
     assert run(trade_side("a", "z"), trade_side("b", None)) == []
     assert run(trade_side("a", "z")) == []
     three = [trade_side("a", "z"), trade_side("b", "z"), trade_side("c", "z")]
-    assert run(*three) == [("a", [1, 3])]  # c differs from both and is reported once
+    assert run(*three) == [("a", [1, 3]), ("b", [2, 3])]  # whoever is the smaller side of an illegal pair is named
 
 
 @pytest.mark.parametrize("n", [2, 3, 16, 17, 200])
@@ -177,8 +177,14 @@ def test_r10_any_number_of_sides(spark, events, n):
     def differ(i, j):
         return any(x[i] is not None and x[j] is not None and x[i] != x[j] for x in ([w[2] for w in who], zone))
 
-    want = [[min(j for j in range(i) if differ(j, i)) + 1, i + 1] for i in range(n) if any(differ(j, i) for j in range(i))]
-    assert sorted((r.evidence_event_ids for r in out.collect()), key=lambda e: e[1]) == want
+    pairs = [(j, i) for i in range(n) for j in range(i) if differ(j, i)]
+    least, most = {}, {}
+    for j, i in pairs:
+        least[i], most[j] = min(j, least.get(i, n)), max(i, most.get(j, 0))
+    want = {(j, i) for i, j in least.items()} | set(most.items())
+    found = out.collect()
+    assert sorted(tuple(r.evidence_event_ids) for r in found) == sorted((j + 1, i + 1) for j, i in want)
+    assert {r.character_id for r in found} == {who[j][0] for j, _ in pairs}  # every actor of any illegal pair
 
 
 def test_r11_transports(spark, events, people):
