@@ -11,6 +11,7 @@ import os
 import sys
 from collections.abc import Callable
 from functools import reduce
+from importlib.util import find_spec
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -32,10 +33,12 @@ from eventmart.sources.sample_world import sample_table, view  # noqa: E402
 from eventmart.streaming import jobs, key_index  # noqa: E402
 from oracle_statements import ORACLES  # noqa: E402
 
-try:  # the operators for training data are an addition that may be absent
+# the operators for training data are an addition that may be absent; where they are there, their errors are not hidden
+_present = [find_spec(name) for name in ("eventmart.llm", "corpus_pipeline")]
+if all(spec is not None and spec.origin for spec in _present):
     import corpus_pipeline  # noqa: E402
     from eventmart.llm import queries as training  # noqa: E402
-except ImportError:
+else:
     training = None
 
 RELEASE = "2024-01-15 00:00:00"
@@ -337,7 +340,7 @@ def dq_summary(w: World) -> DataFrame:
 def shard_quality(w: World) -> DataFrame:
     q = quality.shard_quality(w.raw_events, w.stg())
     return plain(q.withColumn("mean_delay_ms", F.round("mean_delay_ms", 3)), "server_id", "rows", "unique_events",
-                 "extra_rows", "gaps", "lost_events", "largest_gap", "longest_delay_ms", "mean_delay_ms")
+                 "extra_rows", "gaps", "lost_events", "largest_gap", "longest_delay_ms", "mean_delay_ms", "typical_delay_ms")
 
 
 @query
@@ -828,7 +831,7 @@ def ratio_to_bound(w: World) -> DataFrame:
     lost = w.damage().join(w.fight_starts.groupBy("character_id").agg(F.max("encounter_kind").alias("kind")), "character_id")
     out = checks.ratio_to_bound(lost, ["kind"], F.col("damage"), F.col("max_possible_hit"))
     return plain(out.select("kind", "rows", F.round("mean_ratio", 6).alias("mean_ratio"),
-                            F.round("max_ratio", 6).alias("max_ratio"), "above_bound"))
+                            F.round("max_ratio", 6).alias("max_ratio"), F.round("median_ratio", 6).alias("median_ratio"), "above_bound"))
 
 
 @query
@@ -871,7 +874,7 @@ def before_after(w: World) -> DataFrame:
 @query
 def fight_speed(w: World) -> DataFrame:
     out = checks.fight_speed(facts.fct_creature_kills(w.fights()), "creature_id", "fight_duration_s")
-    return plain(out.withColumn("mean_s", F.round("mean_s", 6)), "creature_id", "fights", "fastest_s", "mean_s")
+    return plain(out.withColumn("mean_s", F.round("mean_s", 6)), "creature_id", "fights", "fastest_s", "mean_s", "typical_s", "outlier")
 
 
 # ---- streams ----------------------------------------------------------------------------------------

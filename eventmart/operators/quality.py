@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.columns import col, nulls_for, repair_int, repair_label, seconds_between
 from eventmart.operators.ordered import HOT_ROWS, Hot, with_next
+from eventmart.operators.quantiles import with_quantile
 
 
 def dedup_first(df: DataFrame, key: str = "server_event_id", order: str = "event_id",
@@ -117,8 +118,8 @@ def shard_quality(deliveries: DataFrame, kept: DataFrame, bucket: int = 1_000_00
     delay_ms = (F.unix_micros("received_at") - F.unix_micros("event_ts_utc")) / F.lit(1000)
     unique = kept.groupBy("server_id").agg(
         F.count("*").alias("unique_events"),
-        F.max(delay_ms).alias("longest_delay_ms"), F.avg(delay_ms).alias("mean_delay_ms"),
-        F.percentile_approx(delay_ms, 0.5, 10_000).alias("typical_delay_ms"))
+        F.max(delay_ms).alias("longest_delay_ms"), F.avg(delay_ms).alias("mean_delay_ms"))
+    unique = with_quantile(unique, kept, ["server_id"], delay_ms, "typical_delay_ms")
     size = F.col("next_seq") - F.col("prev_seq") - 1
     gaps = gap_edges(kept, bucket=bucket, hot=hot).groupBy("server_id").agg(
         F.count("*").alias("gaps"), F.sum(size).alias("lost_events"), F.max(size).alias("largest_gap"))

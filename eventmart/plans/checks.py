@@ -11,6 +11,7 @@ from eventmart.functions.columns import ratio, seconds_between, time_slice
 from eventmart.operators.asof import asof_join
 from eventmart.operators.ordered import HOT_ROWS, Hot, running_sum, with_following, with_next, with_previous
 from eventmart.operators.quality import first_known
+from eventmart.operators.quantiles import with_quantile
 
 DAY = 86_400
 
@@ -195,12 +196,12 @@ def state_vs_events(snapshot: DataFrame, events: DataFrame, key: str, value: str
 
 
 def ratio_to_bound(df: DataFrame, by: Sequence[str], value: Column, bound: Column) -> DataFrame:
-    """How far values reach relative to what is legal: median (sketch), mean, largest, share above."""
+    """How far values reach relative to what is legal: median (exact), mean, largest, share above."""
     share = ratio(value, bound)
-    return df.groupBy(*by).agg(
-        F.count("*").alias("rows"), F.percentile_approx(share, 0.5, 1000).alias("median_ratio"),
-        F.avg(share).alias("mean_ratio"), F.max(share).alias("max_ratio"),
+    summary = df.groupBy(*by).agg(
+        F.count("*").alias("rows"), F.avg(share).alias("mean_ratio"), F.max(share).alias("max_ratio"),
         F.count_if(share > 1).alias("above_bound"))
+    return with_quantile(summary, df, by, share, "median_ratio")
 
 
 def longest_session(sessions: DataFrame, max_hours: float = 20.0) -> DataFrame:
@@ -283,7 +284,7 @@ def before_after(events: DataFrame, by: Sequence[str], ts: str, release: Column)
 
 def fight_speed(kills: DataFrame, by: str, seconds: str, factor: float = 3.0) -> DataFrame:
     """Fastest against typical fight per creature; an outlier is `factor` times faster than typical."""
-    speed = kills.where(F.col(seconds).isNotNull()).groupBy(by).agg(
-        F.count("*").alias("fights"), F.min(seconds).alias("fastest_s"),
-        F.percentile_approx(seconds, 0.5, 1000).alias("typical_s"), F.avg(seconds).alias("mean_s"))
+    timed = kills.where(F.col(seconds).isNotNull())
+    speed = timed.groupBy(by).agg(F.count("*").alias("fights"), F.min(seconds).alias("fastest_s"), F.avg(seconds).alias("mean_s"))
+    speed = with_quantile(speed, timed, [by], F.col(seconds), "typical_s")
     return speed.withColumn("outlier", F.col("fastest_s") * factor < F.col("typical_s"))
