@@ -206,37 +206,37 @@ def contaminated(
     of the score they have against themselves are retrieved with block-max WAND, and stay if `overlap` of
     the question's and of the answer's runs of five words stand in the text around the passage.
 
-    Term frequencies are counted over all items by Spark. An index holds at most `index_items` items
+    Term frequencies are counted by Spark over the different texts of all items; every word has a positive weight, however common. An index holds at most `index_items` items
     and is sent to the executors; a larger benchmark is searched in several such blocks, one after the other.
-    Null and empty texts, and items whose words all are too common to weigh anything, give nothing;
+    Null and empty texts and items without an id give nothing; documents without an id are reported as one;
     rows with the same ids are judged one by one and reported once, with their best score. Texts of any
     length are searched whole. An empty table gives an empty result.
     """
     items = store(items.select("item_id", F.coalesce("text", F.lit("")).alias("text")).distinct(), "items")
     word = F.explode(F.array_distinct(F.split(F.regexp_replace(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"),
                                                                r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "), " ")))
-    n, mean = items.agg(F.count("*"), F.avg(F.size(F.split("text", r"\s+")))).first()
-    frequencies = store(items.select(word.alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n")), "item-words")
+    mean = items.agg(F.avg(F.size(F.split("text", r"\s+")))).first()[0]
+    different = items.select("text").distinct()  # a text under many ids makes its words no commoner
+    count, n = items.count(), different.count()
+    frequencies = store(different.select(word.alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n")), "item-words")
     # blocks by range of a running number over (item_id): each holds `index_items` rows at most
-    parts = max(1, -(-n // index_items))
+    parts = max(1, -(-count // index_items))
     numbered = items.withColumn("_block", F.pmod(F.xxhash64("item_id", "text"), F.lit(4 * parts)))
     sizes = sorted((r["count"], r["_block"]) for r in numbered.groupBy("_block").count().collect())
     groups: list[list[int]] = []
     held = 0
-    for count, b in sizes:
-        if not groups or held + count > index_items:
+    for rows_of, b in sizes:
+        if not groups or held + rows_of > index_items:
             groups.append([])
             held = 0
         groups[-1].append(b)
-        held += count
+        held += rows_of
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     out = docs.sparkSession.createDataFrame([], schema)
     for group in groups:
         block_items = numbered.where(F.col("_block").isin(group)).drop("_block")
         vocabulary = block_items.select(word.alias("word")).distinct()
-        idf = {r.word.encode(): log((n - r.n + 0.5) / (r.n + 0.5)) for r in frequencies.join(vocabulary, "word").collect() if 2 * r.n < n + 1}
-        if n == 1:
-            idf = {r.word.encode(): 1.0 for r in frequencies.collect()}
+        idf = {r.word.encode(): log(1 + (n - r.n + 0.5) / (r.n + 0.5)) for r in frequencies.join(vocabulary, "word").collect()}
         index = Index(sorted((r.item_id, r.text.encode()) for r in block_items.collect() if r.item_id is not None),
                       idf, float(mean or 1), piece, block)
 

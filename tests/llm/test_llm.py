@@ -382,3 +382,14 @@ def test_pipeline_stages(spark, odd):
         rows = stage(spark, odd, FOLDER)
         assert rows.count() <= 20 and (name == "sharding" or rows.columns == odd.columns)
         assert stage(spark, odd.where("false"), FOLDER).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 40])
+def test_leaks_of_small_and_repetitive_benchmarks(spark, n):
+    """Every word weighs something: few items, and one text under most ids, are found like any other."""
+    texts = [f"Question: {prose(12, seed=50 + k)} Answer: {prose(6, seed=90 + k)}" for k in range(min(n, 3))]
+    items = [(k, texts[min(k, len(texts) - 1)]) for k in range(n)] + [(None, texts[0])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = documents(spark, prose(80, seed=7) + " " + texts[0] + " " + prose(80, seed=8), prose(200, seed=9), texts[-1])
+    got = {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()}
+    assert got == {(0, k) for k, t in items[:-1] if t == texts[0]} | {(2, k) for k, t in items[:-1] if t == texts[-1]}
