@@ -149,7 +149,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85, bands: in
     Documents with equal shingle sets are one class, and its smallest doc_id stands for it. Two classes
     that share a bucket are candidates, and candidates are links if their full sets have
     100 * intersection >= percent * union. Candidates are compared in rounds, see `link_all`, until each
-    pair of a bucket was compared, can't be alike by its sizes, or is in one component already.
+    pair of a bucket was compared, can't be alike by its sizes or its rarest shingles, or is in one component already.
 
     component_id is the smallest doc_id that links reach. An empty or null text links with nothing. A text
     of fewer words than `size` is one shingle. Rows with the same doc_id are one document. A null doc_id
@@ -177,23 +177,81 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85, bands: in
     return finish(signed_rows, classes, link_all(live, held, size, percent))
 
 
+def rarity(held: DataFrame, size: int, slots: int) -> np.ndarray:
+    """How many of the sets in (rep, text) hold a shingle, counted for `slots` slots that shingles share by hash.
+
+    The array has `slots` entries whatever the input; it orders shingles and decides nothing by itself.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, total = WordHashes(), np.zeros(slots, dtype=np.int64)
+        for _, found in texts(batches):
+            at = np.concatenate([np.empty(0, dtype=np.uint64), *(shingles(t, size, hashes) for t in found)]) % np.uint64(slots)
+            total += np.bincount(at.astype(np.int64), minlength=slots)
+        used = np.flatnonzero(total)
+        for k in range(0, used.size, 10_000):
+            part = used[k : k + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(total[part], pa.int64())], ["slot", "n"])
+
+    counts = held.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(slots, dtype=np.int64)
+    out[counts.column("slot").to_numpy()] = counts.column("n").to_numpy()
+    return out
+
+
+def by_rare_shingles(live: DataFrame, held: DataFrame, size: int, percent: int, slots: int = 1 << 20) -> DataFrame:
+    """The members of `live` dealt anew: into a group for each of the rarest shingles of their sets.
+
+    With all shingles in one order, two sets with 100 * intersection >= percent * union share one of their first
+    n - ceil(percent * n / 100) + 1. In an order of rarity, sets that have only widespread passages in common share none
+    of these. `pos` is a shingle's place in the order: from the first one they share, two sets have no more than
+    n - pos left to agree on. Groups of one are left out.
+    """
+    members = live.select("rep", "weight", "label", "n_label").distinct()
+    picked = store(held.join(members.select("rep"), "rep", "left_semi"), "unsettled")
+    order = rarity(picked, size, slots)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch, found in texts(batches):
+            keys, at, n, reps = [np.empty(0, dtype=np.uint64)], [], [], []
+            for rep, t in zip(batch.column(0).to_pylist(), found):
+                s = shingles(t, size, hashes)
+                first = s.size + percent * s.size // -100 + 1
+                count = order[(s % np.uint64(slots)).astype(np.int64)]
+                keys.append(s[np.lexsort((s, count))[:first]])
+                at.append(np.arange(first))
+                n.append(np.full(first, s.size))
+                reps.append(np.full(first, rep))
+            yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), *(pa.array(np.concatenate([[], *x]).astype(np.int64)) for x in (reps, n, at))],
+                                             ["bucket", "rep", "n_shingles", "pos"])
+
+    rare = store(picked.select("rep", "text").mapInArrow(run, "bucket long, rep long, n_shingles long, pos long"), "rare")
+    shared = rare.groupBy("bucket").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high")).where("_low <> _high").select("bucket")
+    return store(rare.join(shared, "bucket", "left_semi").join(members, "rep"), "members")
+
+
 def link_all(live: DataFrame, held: DataFrame, size: int, percent: int, fan: int = 4) -> DataFrame:
     """(node, component) of the links among the members (bucket, rep, n_shingles, weight, label, n_label) of each bucket.
 
     In each round some members of a bucket, its centres, are compared with all others that are not in
     their component; then they leave the bucket, as all their pairs are settled. A bucket is done when what is
-    left of it is in one component. Rounds take 1, `fan`, `fan` ** 2 ... centres from each bucket, so there
+    left of it is in one component. After one round, in which most groups of copies become a component, the members
+    left are dealt anew by the rarest shingles of their sets (see `by_rare_shingles`), so that texts with a
+    passage in common that are not alike no longer meet. Rounds then take 1, `fan`, `fan` ** 2 ... centres, so there
     are few of them; members of small components go first, then those of great weight: a group around one
     original is one component after the first round, and what stands alone beside a group goes before the group.
     """
     spark = live.sparkSession
     found = spark.createDataFrame([], "node long, component long")
     checked = spark.createDataFrame([], "a long, b long")
-    near = (100 * F.least("n_shingles", "c.n_shingles") >= percent * F.greatest("n_shingles", "c.n_shingles"))  # else the sets can't be alike enough
-    me, centres = ["bucket", "rep", "n_shingles"], 1
+    left, left_there = F.col("n_shingles") - F.col("pos"), F.col("c.n_shingles") - F.col("c.pos")
+    near = (100 + percent) * F.least(left, left_there) >= percent * (F.col("n_shingles") + F.col("c.n_shingles"))  # else the sets can't be alike enough
+    me, live = ["bucket", "rep", "n_shingles", "pos"], live.withColumn("pos", F.lit(0).cast("long"))
+    centres, dealt_anew = 1, False
     while True:
         part = F.pmod(F.xxhash64("rep"), F.lit(centres))
-        chosen = F.min(F.struct("n_label", (-F.col("weight")).alias("_w"), "rep", "n_shingles", "label")).alias("c")
+        chosen = F.min(F.struct("n_label", (-F.col("weight")).alias("_w"), "rep", "n_shingles", "pos", "label")).alias("c")
         stars = store(live.groupBy("bucket", part.alias("_part")).agg(chosen).select("bucket", "c"), "centres")
         pairs = live.join(stars, "bucket").where((F.col("label") != F.col("c.label")) & near).select(
             F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct()
@@ -204,14 +262,17 @@ def link_all(live: DataFrame, held: DataFrame, size: int, percent: int, fan: int
             found = store(components(links.union(found.select(F.col("component").alias("a"), F.col("node").alias("b")))), "components")
         sizes = found.groupBy("component").agg(F.count("*").alias("_size"))
         names = found.join(sizes, "component").select(F.col("node").alias("rep"), "component", "_size")
-        rest = live.drop("label", "n_label").join(stars.select("bucket", "c.rep", "c.n_shingles"), me, "left_anti").join(names, "rep", "left").select(
+        rest = live.drop("label", "n_label").join(stars.select("bucket", "c.rep", "c.n_shingles", "c.pos"), me, "left_anti").join(names, "rep", "left").select(
             *me, "weight", F.coalesce("component", "rep").alias("label"), F.coalesce("_size", F.lit(1).cast("long")).alias("n_label"))
         rest = store(rest, "rest")
         several = rest.groupBy("bucket").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high").select("bucket")
         live = store(rest.join(several, "bucket", "left_semi"), "members")
         if live.isEmpty():
             return found
-        centres *= fan
+        if dealt_anew:
+            centres *= fan
+        else:
+            live, dealt_anew = by_rare_shingles(live, held, size, percent), True
 
 
 def finish(signed_rows: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:

@@ -353,6 +353,23 @@ def test_link_all_compares_each_pair_of_a_bucket(spark):
     assert [got.get(i, i) for i in range(len(texts))] == [p for _, p in linked(texts, 3, 85)]
 
 
+def test_texts_with_a_passage_in_common_are_not_all_paired(spark, monkeypatch):
+    """Pairs compared for texts that share a block but are not alike: in proportion to their number, and pairs of copies among them found."""
+    made = {}
+    for m in (60, 120):
+        block = prose(120, 10 ** 6, seed=3)
+        texts = [block + " " + prose(60, 10 ** 6, seed=100 + k) for k in range(m)]
+        texts += [t + " end" for t in texts[:10]]
+        seen = []
+        confirmed = neardup.confirmed
+        with monkeypatch.context() as mp:
+            mp.setattr(neardup, "confirmed", lambda pairs, *rest: (seen.append(pairs.count()), confirmed(pairs, *rest))[1])
+            got = sorted(neardup.near_duplicates(documents(spark, *texts), 3, 85).collect())
+        assert [r.component_id for r in got] == [*range(m), *range(10)] == [p for _, p in linked(texts, 3, 85)]
+        made[m] = sum(seen)
+    assert made[60] < 60 * 20 and made[120] < 3 * made[60], made
+
+
 def test_near_duplicates_odd_input(spark, odd):
     got = neardup.near_duplicates(odd).collect()
     assert len(got) == 10 and all(r.kept and r.component_id is None for r in got if r.doc_id is None)
