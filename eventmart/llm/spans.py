@@ -1,4 +1,4 @@
-"""Substring dedup by sliding spans of sentences and of words."""
+"""Substring dedup by sliding spans of sentences, long ones cut where their words say."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,71 +34,104 @@ def anchors(h: np.ndarray, reach: int) -> np.ndarray:
     return np.unique(np.lib.stride_tricks.sliding_window_view(pairs, reach).argmin(axis=1) + np.arange(pairs.size - reach + 1))
 
 
-def span_hashes(pieces: list[bytes], size: int, min_words: int, long: int, reach: int, hashes: WordHashes) -> list[tuple[int, int, bytes]]:
-    """(first word, last word, hash) of the runs of a text.
+class RunHashes:
+    """Two 64-bit hashes of any run of words, from sums over the words' hashes times powers of an odd number."""
 
-    From each sentence `size` sentences, more until there are `min_words` words; from each anchor `long` words, wherever
-    sentences end; and a text of fewer sentences as a whole. Words are compared with A-Z in lower case and
-    any white space between them.
+    SEEDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
+
+    def __init__(self) -> None:
+        self.up, self.down = [np.ones(1, dtype=np.uint64)] * 2, [np.ones(1, dtype=np.uint64)] * 2
+
+    def of(self, h: np.ndarray, first: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+        out = []
+        for k, base in enumerate(self.SEEDS):
+            if self.up[k].size <= h.size:
+                for powers, odd in ((self.up, base), (self.down, np.uint64(pow(int(base), -1, 1 << 64)))):
+                    powers[k] = np.cumprod(np.r_[np.uint64(1), np.full(2 * h.size, odd, dtype=np.uint64)], dtype=np.uint64)
+            total = np.r_[np.uint64(0), np.cumsum(mix(h, base) * self.up[k][: h.size], dtype=np.uint64)]
+            out.append(mix((total[end] - total[first]) * self.down[k][first], (end - first).astype(np.uint64)).view(np.int64))
+        return out
+
+
+def runs(h: np.ndarray, ends: np.ndarray, size: int, min_words: int, long: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, word after the last) of the runs of a text whose sentences end before the words `ends` (0 first).
+
+    A sentence of more than `reach` words is cut at its anchors, into pieces of `reach` words at most that act as sentences.
+    From each sentence or piece a run goes on until it has the ends of `size` sentences and `min_words` words, or
+    `long` words. The last one goes to the end of the text; a text without any is one run if it has `min_words` words.
+    """
+    n = int(ends[-1])
+    inside = [a + 1 + anchors(h[a:b], reach) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()) if b - a > reach]
+    cuts = np.unique(np.concatenate([ends, *inside]))
+    first = cuts[:-1]
+    after = np.r_[ends, np.full(size, 2 * n + 2 * long)]  # beyond the text: there is no such end
+    far = np.r_[cuts, 2 * n + 2 * long]
+    by_sentence = np.maximum(after[np.searchsorted(ends, first, side="right") + size - 1], far[np.searchsorted(cuts, first + min_words)])
+    end = np.minimum(by_sentence, far[np.searchsorted(cuts, first + long)])
+    first, end = first[end <= n], end[end <= n]
+    if end.size == 0:
+        whole = np.array([0] * (n >= min_words), dtype=np.int64)
+        return whole, whole + n
+    return (first, end) if end[-1] == n else (np.r_[first, first[-1]], np.r_[end, n])
+
+
+def join_hot(rows: DataFrame, keys: DataFrame, on: list[str], share: int = 10_000) -> DataFrame:
+    """Inner join with one row for each key, `_n` of them rows; keys of many rows are sent to the rows, so that none meets in one task.
+
+    What is broadcast is at most `share` keys: each has more than the `share`-th part of all rows.
     """
-    ws = [w for w in (p.lower().split() for p in pieces) if w]
-    joined, flat = [b" ".join(w) for w in ws], [x for w in ws for x in w]
-    ends = np.cumsum([0, *map(len, ws)])
-    out = []
-    for k in range(len(ws)):
-        e = max(k + size, int(np.searchsorted(ends, ends[k] + min_words)))
-        if e <= len(ws):
-            out.append((int(ends[k]), int(ends[e]) - 1, xxhash.xxh3_128_digest(b"\n".join(joined[k:e]))))
-    if len(ws) < size and len(flat) >= min_words:
-        out.append((0, len(flat) - 1, xxhash.xxh3_128_digest(b"\n".join(joined))))
-    h = np.fromiter(map(hashes.__getitem__, flat), dtype=np.uint64, count=len(flat))
-    for i in anchors(h, reach).tolist():
-        if i + long <= len(flat):
-            out.append((i, i + long - 1, xxhash.xxh3_128_digest(b" ".join(flat[i : i + long]))))
-    return out
-
-
-def repeated_spans(docs: DataFrame, size: int = 3, min_words: int = 12, long: int = 25, reach: int = 25) -> DataFrame:
+    many = F.col("_n") > max(10_000, rows.count() // share)
+    hot = F.broadcast(keys.where(many).drop("_n"))
+    cold = rows.join(F.broadcast(keys.where(many).select(*on)), on, "left_anti").join(keys.where(~many).drop("_n"), on)
+    return rows.join(hot, on).union(cold)
+
+
+def repeated_spans(docs: DataFrame, size: int = 3, min_words: int = 12, long: int = 25, reach: int = 13) -> DataFrame:
     """(doc_id, first, last): the runs, by their words, that occurred before, in a smaller (doc_id, place).
 
-    What overlaps the first occurrence is part of it, not another one.
+    What overlaps the first occurrence is part of it, not another one. Words are compared with A-Z in lower case and any
+    white space between them. Runs are counted by half of their hash; only those met again are followed to their places.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        words, of_runs = WordHashes(), RunHashes()
         for batch, found in texts(batches):
-            ids, first, last, keys = [], [], [], []
+            none = np.empty(0, dtype=np.int64)
+            h1, h2, ids, first, last = [none], [none], [none], [none], [none]
             for doc, text in zip(batch.column(0).to_pylist(), found):
-                for a, b, h in span_hashes(sentences(text), size, min_words, long, reach, hashes):
-                    ids.append(doc)
-                    first.append(a)
-                    last.append(b)
-                    keys.append(h)
-            both = np.frombuffer(b"".join(keys), dtype=np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(ids, pa.int64()), pa.array(first, pa.int32()),
-                                              pa.array(last, pa.int32())], ["h1", "h2", "doc_id", "first", "last"])
+                ws = [w for w in (p.lower().split() for p in sentences(text)) if w]
+                if ws:
+                    ends = np.cumsum([0, *map(len, ws)])
+                    h = np.fromiter((words[x] for w in ws for x in w), dtype=np.uint64, count=int(ends[-1]))
+                    a, b = runs(h, ends, size, min_words, long, reach)
+                    for into, x in zip((h1, h2, ids, first, last), (*of_runs.of(h, a, b), np.full(a.size, doc), a, b - 1)):
+                        into.append(x)
+            places = [pa.array(np.concatenate(x), t) for x, t in ((h1, pa.int64()), (h2, pa.int64()), (ids, pa.int64()), (first, pa.int32()), (last, pa.int32()))]
+            yield pa.RecordBatch.from_arrays(places, ["h1", "h2", "doc_id", "first", "last"])
 
     spans = store(docs.mapInArrow(run, "h1 long, h2 long, doc_id long, first int, last int"), "spans")
+    met = store(spans.groupBy("h1").agg(F.count("*").alias("_n")).where("_n > 1"), "met-again")
+    places = store(join_hot(spans, met, ["h1"]), "places")
     place = F.struct("doc_id", "first", "last")
-    again = spans.groupBy("h1", "h2").agg(F.min(place).alias("_where"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    again = places.groupBy("h1", "h2").agg(F.min(place).alias("_where"), F.count("*").alias("_n")).where("_n > 1")
     again = store(again, "again")  # its shuffle files can go before the spans are dealt out
-    found = spans.join(again, ["h1", "h2"]).where((F.col("doc_id") != F.col("_where.doc_id")) | (F.col("first") > F.col("_where.last")))
+    found = join_hot(places, again, ["h1", "h2"]).where((F.col("doc_id") != F.col("_where.doc_id")) | (F.col("first") > F.col("_where.last")))
     return store(found.select("doc_id", "first", "last"), "repeated-spans")
 
 
-def span_dedup(docs: DataFrame, size: int = 3, min_words: int = 12, long: int = 25, reach: int = 25) -> DataFrame:
+def span_dedup(docs: DataFrame, size: int = 3, min_words: int = 12, long: int = 25, reach: int = 13) -> DataFrame:
     """(doc_id, n_sentences, n_removed, n_spans, text) of every row of (doc_id, text), repeated passages taken out.
 
-    Runs of `size` consecutive sentences (longer where these have fewer than `min_words` words) are hashed, and runs
-    of `long` words from places that the words themselves choose, one in each `reach` at least, so that any repeated
-    passage of long + reach words is met, wherever it begins in a sentence and however it is punctuated; at each of its
-    ends fewer than `reach` + 1 words of it may stay. A run that occurs more than once keeps its first place, by (doc_id, place),
+    Runs of `size` consecutive sentences (longer where these have fewer than `min_words` words, shorter where fewer have `long`)
+    are hashed. Long sentences are first cut, at places that the words themselves choose, into pieces of `reach` words
+    at most that act as sentences, so any repeated passage of long + 2 * reach - 1 words is met, wherever it begins in a
+    sentence and however it is punctuated; at each of its ends up to `reach` words of it may stay. A run that occurs more than once keeps its first place, by (doc_id, place),
     and all words that another occurrence covers are removed, within a document too, with the white space after them.
     n_removed counts the sentences that lost words, n_spans the stretches removed.
 
     A null text stays null and has no sentences. Rows with the same doc_id share one list of places, so their
-    equal texts count as one; rows without doc_id are passed through. A text of fewer than `size` sentences and
-    `min_words` words or more is a run, too. An empty table gives an empty result.
+    equal texts count as one; rows without doc_id are passed through. A text without a run and
+    of `min_words` words or more is a run, too. An empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spans = repeated_spans(docs.where("doc_id is not null"), size, min_words, long, reach)

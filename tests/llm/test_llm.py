@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,7 +183,7 @@ def test_span_dedup(spark, odd):
     assert out[1].text == "Another begin. Other end now." and (out[1].n_removed, out[1].n_spans) == (4, 1)
     got = spans.span_dedup(odd).collect()
     assert len(got) == 10 and [r.text for r in got if r.doc_id == 1] == [None] and [r.n_removed for r in got if r.doc_id == 5] == [0]
-    assert all(r.text == "" for r in got if r.doc_id == 6) or len([r for r in got if r.doc_id == 6]) == 2
+    assert [r.text for r in got if r.doc_id == 6] == ["", ""]
     assert spans.span_dedup(odd.where("false")).count() == 0
 
 
@@ -210,6 +211,52 @@ def test_spans_of_short_and_unbroken_texts(spark):
     assert len(got[3].text.split()) >= 25  # the first occurrence stays whole
 
 
+def brute_runs(text, size, min_words, long, reach):
+    """(first word, word after the last, words) of each run, word by word."""
+    hashes, ends, words = neardup.WordHashes(), [0], []
+    for piece in spans.sentences(text.encode()):
+        if w := piece.lower().split():
+            words += w
+            ends.append(len(words))
+    cuts = set(ends)
+    for a, b in zip(ends, ends[1:]):
+        if b - a > reach:
+            cuts |= {a + 1 + int(k) for k in spans.anchors(np.array([hashes[w] for w in words[a:b]], dtype=np.uint64), reach)}
+    cuts, out = sorted(cuts), []
+    for k, a in enumerate(cuts):
+        for b in cuts[k + 1:]:
+            if b - a >= long or sum(a < e <= b for e in ends) >= size and b - a >= min_words:
+                out.append((a, b))
+                break
+    if not out and len(words) >= min_words:
+        out = [(0, len(words))]
+    elif out and out[-1][1] < len(words):
+        out.append((out[-1][0], len(words)))
+    return [(a, b, tuple(words[a:b])) for a, b in out]
+
+
+def test_repeated_spans_equal_brute_force(spark):
+    r, texts = random.Random(21), []
+    shared = [prose(r.choice([14, 30, 60, 90]), seed=50 + k) for k in range(6)]
+    for k in range(40):
+        parts = [prose(r.randrange(0, 60), seed=300 + k)] + r.sample(shared, r.randrange(0, 3)) + [prose(r.randrange(0, 20), seed=400 + k).replace(".", "")]
+        texts.append(r.choice([" ", "\n"]).join(parts))
+    texts += [texts[3], "", "again and again " * 40, "a. b. c. d. " * 9]
+    at = defaultdict(list)
+    for i, t in enumerate(texts):
+        for a, b, words in brute_runs(t, 3, 12, 25, 13):
+            at[words].append((i, a, b - 1))
+    want = sorted(p for ps in at.values() for p in ps if p[0] != min(ps)[0] or p[1] > min(ps)[2])
+    assert len(want) > 60 and sorted(tuple(x) for x in spans.repeated_spans(documents(spark, *texts).select("doc_id", "text")).collect()) == want
+
+
+def test_join_hot_equals_a_join(spark):
+    rows = spark.range(24_000).selectExpr("if(id < 11000, 0, id % 500) k", "id")
+    keys = rows.groupBy("k").agg(F.count("*").alias("_n"), F.max("id").alias("top")).where("k % 2 = 0")
+    got = spans.join_hot(rows, keys, ["k"])
+    assert got.exceptAll(rows.join(keys.drop("_n"), "k")).isEmpty() and got.count() == rows.where("k % 2 = 0").count()
+
+
 def brute_substrings(texts, length):
     seen = Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
     out = []
