@@ -231,7 +231,7 @@ def by_rare_shingles(live: DataFrame, held: DataFrame, size: int, percent: int,
     return store(rare.join(shared, "bucket", "left_semi").join(members, "rep"), "members")
 
 
-def link_all(live: DataFrame, held: DataFrame, size: int, percent: int, fan: int = 4) -> DataFrame:
+def link_all(live: DataFrame, held: DataFrame, size: int, percent: int, fan: int = 16) -> DataFrame:
     """(node, component) of the links among the members (bucket, rep, n_shingles, weight, label, n_label) of each bucket.
 
     In each round some members of a bucket, its centres, are compared with all others that are not in
