@@ -15,23 +15,26 @@ from eventmart.llm.neardup import WordHashes, mix
 
 # a sentence ends after . ! or ? before white space, or at the end of a line; its piece keeps the gap that follows
 WORD = re.compile(rb"\S+")
-SENTENCE = re.compile(rb"[^\n]*?(?:[.!?]+[\"')\]]*(?=[ \t\r\n])|\n|\Z)[ \t\r\n]*", re.S)
+END = re.compile(rb"(?:[.!?]+[\"')\]]*(?=[ \t\r\n])|\n)[ \t\r\n]*")
 
 
 def sentences(text: bytes) -> list[bytes]:
     """Pieces of the text, in order; put together they are the text."""
-    return [m.group() for m in SENTENCE.finditer(text) if m.group()]
+    at = [0, *(m.end() for m in END.finditer(text)), len(text)]
+    return [text[a:b] for a, b in zip(at, at[1:]) if a < b]
 
 
-def anchors(h: np.ndarray, reach: int) -> np.ndarray:
-    """Places chosen by what stands there: of each `reach` neighbouring pairs of words the one of the smallest hash.
+def anchors(h: np.ndarray, ends: np.ndarray, reach: int) -> np.ndarray:
+    """Places chosen by what stands there: of each `reach` neighbouring pairs of words of a sentence the one of the smallest hash.
 
-    Two texts with the same reach + 1 words have an anchor at the same one of them, whatever surrounds these.
+    Two texts with the same reach + 1 words in a sentence have an anchor at the same one of them, whatever surrounds these.
     """
-    pairs = mix(h[:-1], h[1:])
-    if pairs.size < reach:
+    if h.size <= reach:
         return np.empty(0, dtype=np.int64)
-    return np.unique(np.lib.stride_tricks.sliding_window_view(pairs, reach).argmin(axis=1) + np.arange(pairs.size - reach + 1))
+    of = np.repeat(np.arange(ends.size - 1), np.diff(ends))
+    start = np.flatnonzero(of[:-reach] == of[reach:])
+    pairs = np.lib.stride_tricks.sliding_window_view(mix(h[:-1], h[1:]), reach)
+    return np.unique(pairs[start].argmin(axis=1) + start)
 
 
 class RunHashes:
@@ -61,8 +64,7 @@ def runs(h: np.ndarray, ends: np.ndarray, size: int, min_words: int, long: int,
     `long` words. The last one goes to the end of the text; a text without any is one run if it has `min_words` words.
     """
     n = int(ends[-1])
-    inside = [a + 1 + anchors(h[a:b], reach) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()) if b - a > reach]
-    cuts = np.unique(np.concatenate([ends, *inside]))
+    cuts = np.unique(np.r_[ends, anchors(h, ends, reach) + 1])
     first = cuts[:-1]
     after = np.r_[ends, np.full(size, 2 * n + 2 * long)]  # beyond the text: there is no such end
     far = np.r_[cuts, 2 * n + 2 * long]

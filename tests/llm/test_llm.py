@@ -221,7 +221,9 @@ def brute_runs(text, size, min_words, long, reach):
     cuts = set(ends)
     for a, b in zip(ends, ends[1:]):
         if b - a > reach:
-            cuts |= {a + 1 + int(k) for k in spans.anchors(np.array([hashes[w] for w in words[a:b]], dtype=np.uint64), reach)}
+            h = np.array([hashes[w] for w in words[a:b]], dtype=np.uint64)
+            pairs = neardup.mix(h[:-1], h[1:]).tolist()
+            cuts |= {a + 1 + min(range(k, k + reach), key=pairs.__getitem__) for k in range(len(pairs) - reach + 1)}
     cuts, out = sorted(cuts), []
     for k, a in enumerate(cuts):
         for b in cuts[k + 1:]:
