@@ -134,8 +134,10 @@ def scan(text: bytes, automata: dict[str, Automaton]) -> tuple[int, int, int | N
     normal = b" " + b" ".join(words) + b" "
     n, first, last, base, covered, matches = 0, None, None, set(), [], []
     for phrase, label in PHRASES.items():
+        word, counted_to = 0, 0
         for at in places(normal, b" %b " % phrase.encode()):
-            word = normal.count(b" ", 0, at)
+            word += normal.count(b" ", counted_to, at)
+            counted_to = at
             n, first, last = n + 1, word if first is None else min(first, word), word if last is None else max(last, word)
             base.add(label)
             covered.append((word, word + phrase.count(" ") + 1))
