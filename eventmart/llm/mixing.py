@@ -47,16 +47,17 @@ def mix_sources(
 
     Documents are never split. The same data give the same mix on every run. A null source is a source (the
     last one); rows of size 0 are taken as often as the rows around them; rows equal in `order` are
-    interchangeable. Columns of the same names are replaced. An empty table gives an empty result.
+    interchangeable. Columns of the same names are replaced, all others are carried as one struct, so any name may
+    occur. An empty table gives an empty result.
     """
     names = [c for c in docs.columns if c not in ("size", "source_size", "target", "times", "taken")]
-    work = store(docs.select(*names, size.alias("size"), F.xxhash64(F.lit(seed), *order).alias("_key")), "mix-rows")
-    targets = source_targets(work, source, "size", weights, share, max_epochs)
-    placed = running_totals(work, ["_key", *order], ["size"], by=source, name="mix-run")
-    targets = targets.select(F.col("_source"), "source_size", "target")
-    rows = placed.join(targets, F.col(source).eqNullSafe(F.col("_source")))
+    work = store(docs.select(F.struct(*[f"`{c}`" for c in names]).alias("row"), F.col(source).alias("of"), size.alias("size"),
+                             F.xxhash64(F.lit(seed), *order).alias("key")), "mix-rows")
+    targets = source_targets(work, "of", "size", weights, share, max_epochs)
+    placed = running_totals(work, ["key", *[f"row.`{c}`" for c in order]], ["size"], by="of", name="mix-run")
+    rows = placed.join(targets, F.col("of").eqNullSafe(F.col("_source")))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(1)).cast("long")
     rest = F.col("target") - epochs * F.col("source_size")
     more = F.when(F.col("size_end") - F.col("size") / F.lit(2) < rest, 1).otherwise(0)
     rows = rows.withColumn("times", (epochs + more).cast("long"))
-    return rows.select(*names, "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
+    return rows.select("row.*", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
