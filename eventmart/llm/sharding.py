@@ -119,25 +119,28 @@ def minimax_shards(rows: DataFrame, key: str, size: str, shards: int, order: lis
     The driver holds at most about 2 * `blocks` + 40 pairs of numbers, whatever the data. Running
     totals are distributed, so a group may hold any share of the rows. Sizes below 1 or null count
     as 1; a null key is a group of its own and comes first. Rows equal in all of key and `order` take
-    their slots in any order. An empty table gives an empty result.
+    their slots in any order. Given columns `shard` and `slot` are replaced, all others are carried as one
+    struct, so any name may occur. An empty table gives an empty result.
     """
     names = [c for c in rows.columns if c not in ("shard", "slot")]
-    work = rows.select(*names, F.greatest(F.coalesce(F.col(size), F.lit(1)), F.lit(1)).cast("long").alias("_size"), F.lit(1).cast("long").alias("_one"))
-    placed = store(running_totals(work, [key, *order], ["_size", "_one"], name="shard-rows"), "shard-placed")
-    groups = store(placed.groupBy(key).agg(F.max("_size_end").alias("end")), "shard-groups")
+    work = rows.select(F.struct(*[f"`{c}`" for c in names]).alias("row"), F.lit(1).cast("long").alias("one"),
+                       F.greatest(F.coalesce(F.col(size), F.lit(1)), F.lit(1)).cast("long").alias("size"))
+    own_key = F.col(f"row.`{key}`")
+    placed = store(running_totals(work, [f"row.`{c}`" for c in (key, *order)], ["size", "one"], name="shard-rows"), "shard-placed")
+    groups = store(placed.groupBy(own_key.alias("key")).agg(F.max("size_end").alias("end")), "shard-groups")
     total = groups.agg(F.max("end")).first()[0]
     cuts: list[int] = []
     if total:
         ends = Ends(groups, total, blocks)
         cuts = even_cuts(ends, shards, smallest_capacity(ends, shards))
     # a row's shard: the number of cuts before the end of its group, found by the last keys before the cuts
-    found = {r.end: r[key] for r in groups.where(F.col("end").isin(cuts)).collect()} if cuts else {}
+    found = {r.end: r.key for r in groups.where(F.col("end").isin(cuts)).collect()} if cuts else {}
     shard = F.lit(0)
     for cut in cuts:
         last = found.get(cut)
-        before = F.lit(False) if cut == 0 else F.col(key).isNull() if last is None else F.coalesce(F.col(key) <= F.lit(last), F.lit(True))
+        before = F.lit(False) if cut == 0 else own_key.isNull() if last is None else F.coalesce(own_key <= F.lit(last), F.lit(True))
         shard += F.when(before, 0).otherwise(1)
     dealt = placed.withColumn("shard", shard.cast("int"))
-    first = dealt.groupBy(F.col("shard").alias("_shard")).agg(F.min("_one_end").alias("_first"))  # a row per shard
-    return dealt.join(F.broadcast(first), F.col("shard") == F.col("_shard")).select(
-        *names, "shard", (F.col("_one_end") - F.col("_first")).alias("slot"))
+    first = dealt.groupBy(F.col("shard").alias("of")).agg(F.min("one_end").alias("first"))  # a row per shard
+    return dealt.join(F.broadcast(first), F.col("shard") == F.col("of")).select(
+        "row.*", "shard", (F.col("one_end") - F.col("first")).alias("slot"))
