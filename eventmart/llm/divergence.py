@@ -126,15 +126,17 @@ def divergence_rules(
 
     A null or empty text has no words and fails the base rules. Rows without a language
     are one language. Every row is judged by itself: equal rows get equal results. Columns of
-    the same names are replaced. An empty table gives an empty result.
+    the same names are replaced; others may have any name, as they are numbered inside. An empty table gives an empty result.
     """
     added = [*(x.split()[0] for x in BASE.split(", ")), "class_distance", "word_distance", "base_failed", "kept"]
     kept_columns = [c for c in docs.columns if c not in added]
     ref = references(docs, top_words, min_reference_words)
+    own_names = [f"c{k}" for k in range(len(kept_columns))]
+    text_name, lang_name = (own_names[kept_columns.index(c)] for c in ("text", "lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[list[int], dict[bytes, int], np.ndarray]] = {}  # references of the languages met last
-        for batch, found in texts(batches):
+        for batch, found in texts(batches, text_name):
             base, cls, cls_ref, word_d = [], [], [], []
             own = [batch.column(batch.schema.get_field_index(c)) for c in ("ref_lang", "ref_classes", "ref_words", "ref_counts")]
             for k, (text, lang) in enumerate(zip(found, own[0].to_pylist())):
@@ -165,10 +167,10 @@ def divergence_rules(
                     for f, c, w in zip(failed, class_d, word_d)]
             new = [*(pa.array(x, pa.int64()) for x in zip(*base)), pa.array(class_d, pa.float64()),
                    pa.array(word_d, pa.float64()), pa.array(failed, pa.bool_()), pa.array(kept, pa.bool_())]
-            old = [batch.column(batch.schema.get_field_index(c)) for c in kept_columns]
+            old = [batch.column(batch.schema.get_field_index(c)) for c in own_names]
             yield pa.RecordBatch.from_arrays([*old, *new], [*kept_columns, *added])
 
     docs = docs.select(*[f"`{c}`" for c in kept_columns])
-    known = docs.join(ref, F.coalesce("lang", F.lit("")) == F.col("ref_lang"), "left")
+    known = docs.toDF(*own_names).join(ref, F.coalesce(lang_name, F.lit("")) == F.col("ref_lang"), "left")
     new = T.StructType.fromDDL(f"{BASE}, class_distance double, word_distance double, base_failed boolean, kept boolean")
     return known.mapInArrow(run, T.StructType([*docs.schema.fields, *new.fields]))
