@@ -115,8 +115,8 @@ def site_quality(
     A classifier gives each document a probability for quality and for toxic. Sites are judged by grouped
     sums over all their documents: a host's rate is shrunk toward the global one, a path's toward its host's,
     as if `host_strength` or `path_strength` documents had been seen at the parent's rate, or more where
-    sites differ little: the strength is estimated from the spread of the rates (empirical Bayes by
-    moments) and the parameter is its least value. A document's posterior odds are its own odds times
+    sites differ little: the strength is estimated from the spread of the rates around their parent's (hosts around
+    the global rate, paths around their host's; empirical Bayes by moments) and the parameter is its least value. A document's posterior odds are its own odds times
     those of its path against the global odds. kept: quality at least `keep_at` and toxic below it.
 
     Only the fit sees a sample (`sample` labelled rows at most, about); scores, sums and posteriors cover all
@@ -154,10 +154,23 @@ def site_quality(
         between = r.v - spread * r.noise
         return F.lit(max(least, spread / between - 1 if between > spread * 1e-6 else 1e6))
 
+    of_host = hosts.select(F.col("host").alias("_h"), F.col("_n").alias("_kh"), *[(F.col(f"_s_{t}") / F.col("_n")).alias(f"_r_{t}") for t in TARGETS])
+    inside = paths.join(of_host, F.col("host") == F.col("_h"))
+
+    def strength_inside(t: str, least: float) -> Column:
+        """The same for paths, from their deviations from their own host's rate. A host of one path tells nothing."""
+        k, r, free = F.col("_n"), F.col(f"_r_{t}"), 1 - F.col("_n") / F.col("_kh")
+        x = inside.agg(F.sum(k * F.pow(F.col(f"_s_{t}") / k - r, 2)).alias("v"), F.sum(free * r * (1 - r)).alias("noise"),
+                       F.sum(k * free).alias("scale"), (F.sum(k * r * (1 - r)) / F.sum(k)).alias("spread")).first()
+        if x is None or x.v is None:
+            return F.lit(least)
+        between = (x.v - x.noise) / x.scale if x.scale > 0 else 0.0
+        return F.lit(max(least, x.spread / between - 1 if between > x.spread * 1e-6 else 1e6))
+
     host_rate = hosts.select("host", *[shrunk(hosts, rate[t], strength(hosts, t, host_strength), t).alias(f"host_{t}") for t in TARGETS])
     by_path = paths.join(host_rate.withColumnRenamed("host", "_h"), F.col("host") == F.col("_h")).select(
         F.col("host").alias("_h"), F.col("path").alias("_p"), *[f"host_{t}" for t in TARGETS],
-        *[shrunk(paths, F.col(f"host_{t}"), strength(paths, t, path_strength), t).alias(f"path_{t}") for t in TARGETS])
+        *[shrunk(paths, F.col(f"host_{t}"), strength_inside(t, path_strength), t).alias(f"path_{t}") for t in TARGETS])
     rows = scored.join(by_path, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")))
     post = {t: 1 / (1 + F.exp(-(logit(F.col(f"p_{t}")) + logit(F.col(f"path_{t}")) - logit(rate[t])))) for t in TARGETS}
     return rows.select("doc_id", "host", "path", "p_quality", "p_toxic", "host_quality", "path_quality",
