@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -459,3 +460,73 @@ def test_leaks_of_small_and_repetitive_benchmarks(spark, n):
     docs = documents(spark, prose(80, seed=7) + " " + texts[0] + " " + prose(80, seed=8), prose(200, seed=9), texts[-1])
     got = {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()}
     assert got == {(0, k) for k, t in items[:-1] if t == texts[0]} | {(2, k) for k, t in items[:-1] if t == texts[-1]}
+
+
+CLASHING = ["_size", "_one", "_size_end", "_shard", "_bpart", "_b__size_base", "_in__size", "row", "one", "size", "of", "first", "key",
+            "_key", "_source", "size_end", "one_end", "_part", "_t_size", "_in_size", "_b_of", "_b_size_base", "end",
+            "ref_lang", "ref_classes", "ref_words", "ref_counts", "c0", "c1", "a.b"]
+
+
+def test_columns_of_any_name_are_carried(spark):
+    """op1, op2 and op8 leave columns alone that are named like their own ones inside."""
+    body = prose(300, seed=8)
+    rows = [(i, f"{body} x{i}", "en", "st"[i % 2], f"g{i // 2}", 10 + i, *[f"{c}{i}" for c in CLASHING]) for i in range(12)]
+    names = ["doc_id", "text", "lang", "source", "grp", "bytes", *CLASHING]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, grp string, bytes long, " + ", ".join(f"`{c}` string" for c in CLASHING))
+    for out, replaced in [(minimax_shards(d, "grp", "bytes", 3, ["doc_id"]), []), (divergence.divergence_rules(d), []),
+                          (mix_sources(d, "source", F.length("text"), ["doc_id"]), ["size"])]:
+        got = {r.doc_id: r for r in out.collect()}
+        assert len(got) == 12 and len(set(out.columns)) == len(out.columns)
+        for row in rows:
+            assert all(got[row[0]][c] == x for c, x in zip(names, row) if c not in replaced)
+    assert {r.shard for r in minimax_shards(d.withColumn("shard", F.lit("mine")), "grp", "bytes", 3, ["doc_id"]).collect()} == {0, 1, 2}
+
+
+def test_license_places_equal_brute_force():
+    """Phrases at every place of a text of many of them; the work grows with the text, not with its square."""
+    words = [rng.choice("mit license cc by gnu general public apache a".split()) for _ in range(4000)]
+    starts = [(i, label) for i in range(len(words)) for phrase, label in licenses.PHRASES.items()
+              if words[i : i + phrase.count(" ") + 1] == phrase.split()]
+    n_words, n, first, last, base, *_ = licenses.scan("-".join(words).upper().encode(), {})
+    assert (n_words, n) == (4000, len(starts)) and (first, last) == (starts[0][0], starts[-1][0])
+    assert base == ",".join(sorted({x[1] for x in starts}))
+    began = time.process_time()
+    assert licenses.scan(b"mit license " * 200_000, {})[1] == 200_000  # four minutes if counted from the start each time
+    assert time.process_time() - began < 20
+
+
+def plain_strength(groups, least):
+    """Of sites given as (n, sum, n of the parent, rate of the parent)."""
+    n = sum(g[0] for g in groups)
+    spread = sum(k * r * (1 - r) for k, _, _, r in groups) / n
+    noise = sum((1 - k / kp) * r * (1 - r) for k, _, kp, r in groups)
+    scale = sum(k * (1 - k / kp) for k, _, kp, _ in groups)
+    between = (sum(k * (s / k - r) ** 2 for k, s, _, r in groups) - noise) / scale if scale else 0
+    return max(least, spread / between - 1 if between > spread * 1e-6 else 1e6)
+
+
+def test_site_levels_equal_a_plain_computation(spark):
+    """Hosts that differ, and paths that differ within some of them: paths are shrunk toward their own host's rate."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    good = labels.select(F.col("doc_id").alias("_d"), F.coalesce("quality", F.lit(0)).alias("_q"))
+    placed = docs.join(good, F.col("doc_id") == F.col("_d"), "left").select(
+        "doc_id", "text", F.when((F.col("doc_id") % 3 == 0) | (F.col("_q") == 0), "poor").otherwise("rich").alias("site"),
+        F.when(F.col("_q") == 0, F.lit("bad")).otherwise(F.concat(F.lit("p"), (F.col("doc_id") % 4).cast("string"))).alias("dir"))
+    rows = site_quality(placed, labels, F.col("site"), F.col("dir")).collect()
+    rate = sum(r.p_quality for r in rows) / len(rows)
+    hosts, paths = defaultdict(list), defaultdict(list)
+    for r in rows:
+        hosts[r.host].append(r.p_quality)
+        paths[r.host, r.path].append(r.p_quality)
+    m = sum(len(v) * (sum(v) / len(v) - rate) ** 2 for v in hosts.values()) / len(rows)
+    between = m - rate * (1 - rate) * len(hosts) / len(rows)
+    at_host = max(20.0, rate * (1 - rate) / between - 1 if between > rate * (1 - rate) * 1e-6 else 1e6)
+    host_rate = {h: (sum(v) + at_host * rate) / (len(v) + at_host) for h, v in hosts.items()}
+    at_path = plain_strength([(len(v), sum(v), len(hosts[h]), sum(hosts[h]) / len(hosts[h])) for (h, _), v in paths.items()], 10.0)
+    assert at_path < 1e5
+    for r in rows:
+        v = paths[r.host, r.path]
+        assert r.host_quality == pytest.approx(host_rate[r.host], rel=1e-6)
+        assert r.path_quality == pytest.approx((sum(v) + at_path * host_rate[r.host]) / (len(v) + at_path), rel=1e-6)
+    found = {(r.host, r.path): r.path_quality for r in rows}
+    assert found["poor", "bad"] < min(x for k, x in found.items() if k[1] != "bad")
