@@ -931,7 +931,7 @@ def stream_dup_transfer(w: World) -> DataFrame:
         fc.text_of("itm_", F.col("k")).alias("item_instance_id"), "event_id", F.col("ts").alias("event_ts_utc"),
         F.concat(F.lit("chr_"), (F.col("user_id") % 7)).alias("giver"),
         F.concat(F.lit("chr_"), (F.col("event_id") % 7)).alias("holder_after"))
-    return plain(jobs.run_to_table(jobs.duplicate_transfer_stream(log), w.scratch("dup")))
+    return plain(jobs.run_to_table(jobs.duplicate_transfer_stream(log, remember_days=7), w.scratch("dup")))
 
 
 @query

@@ -48,41 +48,96 @@ def burst_stream(hits: DataFrame, min_hits: int = 2, lateness: str = LATENESS) -
 
 
 class TransferTracker(StatefulProcessor):
-    """Per item: who holds it, and the last hand-over of each earlier giver.
+    """Per item: hand-overs that wait for the watermark, who holds it, and the last hand-over of each giver.
 
-    The state of one item grows with its distinct givers, not with its hand-overs. Rows of one
-    micro-batch are put in time order first; a batch is bounded by the source's trigger limits.
+    Hand-overs are judged in time order once the watermark has passed them, whatever batch brought them. A waiting row
+    stays for the lateness at most, a giver for `remember_ms` after the last hand-over; then a timer clears them, and
+    an item that no longer moves has no state at all.
     """
 
+    WAITING = ["event_id", "ms", "us", "giver", "holder_after"]
+
+    def __init__(self, remember_ms: int) -> None:
+        self.remember_ms = remember_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "event_id bigint, ms bigint, us bigint, giver string, holder_after string")
         self.holder = handle.getValueState("holder", "holder string")
-        self.given = handle.getMapState("given", "giver string", "event_id bigint")
+        self.given = handle.getListState("given", "giver string, event_id bigint, us bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        moves = pd.concat(rows).sort_values(["event_ts_utc", "event_id"])
-        state = self.holder.get() if self.holder.exists() else None
-        holder = state[0] if state else None
-        found = []
-        for m in moves.itertuples(index=False):
-            before = self.given.getValue((m.giver,)) if m.giver and self.given.containsKey((m.giver,)) else None
-            if before is not None and holder is not None and holder != m.giver:
-                found.append((key[0], m.giver, holder, int(before[0]), int(m.event_id)))
-            if m.giver:
-                self.given.updateValue((m.giver,), (int(m.event_id),))
-            holder = m.holder_after
-        self.holder.update((holder,))
-        yield pd.DataFrame(found, columns=["item_instance_id", "character_id", "held_by", "first_event_id", "event_id"])
+        first = None
+        for part in rows:
+            self.waiting.appendList(as_rows(part[self.WAITING]))
+            first = part["ms"].min() if first is None else min(first, part["ms"].min())
+        if first is not None:
+            self.handle.registerTimer(int(first))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        now = timerValues.getCurrentWatermarkInMs()
+        waiting = pd.DataFrame(list(self.waiting.get()), columns=self.WAITING)
+        past = waiting["ms"] < now
+        due, later = waiting[past].sort_values(["us", "event_id"]), waiting[~past]
+        given = pd.DataFrame(list(self.given.get()), columns=["giver", "event_id", "us"])
+        if len(due):
+            holder = self.holder.get()[0] if self.holder.exists() else None
+            held_by = due["holder_after"].shift()
+            held_by.iloc[0] = holder
+            # the last hand-over of each known giver goes before the rows that are due
+            gave = pd.concat([given.assign(held_by=None, due=False), due[["giver", "event_id", "us"]].assign(held_by=held_by, due=True)], ignore_index=True)
+            gave = gave[gave["giver"].notna()]
+            before = gave.groupby("giver", sort=False)[["event_id", "us"]].shift()
+            bad = (gave["due"].astype(bool) & before["event_id"].notna() & gave["held_by"].notna() & (gave["held_by"] != gave["giver"])
+                   & (gave["us"] - before["us"] <= self.remember_ms * 1000))
+            found = gave[bad]
+            if len(found):
+                yield pd.DataFrame({"item_instance_id": key[0], "character_id": found["giver"], "held_by": found["held_by"],
+                                    "first_event_id": before["event_id"][bad].astype("int64"), "event_id": found["event_id"].astype("int64")})
+            given = gave.drop_duplicates("giver", keep="last")[["giver", "event_id", "us"]]
+            self.holder.update((due["holder_after"].iloc[-1],))
+            put(self.waiting, later[self.WAITING])
+        given = given[given["us"] // 1000 + self.remember_ms >= now]
+        put(self.given, given)
+        if len(later):
+            self.handle.registerTimer(int(later["ms"].min()))
+        if len(given):
+            self.handle.registerTimer(int(given["us"].min() // 1000 + self.remember_ms))
+        elif not len(later):
+            self.holder.clear()
 
     def close(self) -> None:
         pass
 
 
-def duplicate_transfer_stream(moves: DataFrame) -> DataFrame:
-    """Hand-overs of an item by somebody who gave it away before and does not hold it."""
+def as_rows(part: pd.DataFrame) -> list[tuple]:
+    return list(part.astype(object).where(part.notna(), None).itertuples(index=False, name=None))
+
+
+def put(state, rows: pd.DataFrame) -> None:
+    """Replace a list state."""
+    if len(rows):
+        state.put(as_rows(rows))
+    else:
+        state.clear()
+
+
+def duplicate_transfer_stream(moves: DataFrame, lateness: str = LATENESS, remember_days: int = 30) -> DataFrame:
+    """Hand-overs of an item by somebody who gave it away before and does not hold it.
+
+    A hand-over is judged when the watermark has passed it, in the order of time and event id; those of the last
+    `lateness` of a stream stay open, as do those without a time or an item. The earlier hand-over counts for
+    `remember_days`. Within these bounds the result is that of `rules.item_duplication`, however the rows
+    are dealt to batches. An item's state holds its rows of the last `lateness` and one row for each giver of the
+    last `remember_days`.
+    """
     schema = ("item_instance_id string, character_id string, held_by string, first_event_id bigint, event_id bigint")
-    return (moves.select("item_instance_id", "event_id", "event_ts_utc", "giver", "holder_after")
-                 .groupBy("item_instance_id")
-                 .transformWithStateInPandas(TransferTracker(), schema, outputMode="Append", timeMode="None"))
+    known = moves.where(F.col("item_instance_id").isNotNull() & F.col("event_ts_utc").isNotNull())
+    timed = known.select("item_instance_id", "event_id", "event_ts_utc", F.unix_millis("event_ts_utc").alias("ms"),
+                         F.unix_micros("event_ts_utc").alias("us"), "giver", "holder_after").withWatermark("event_ts_utc", lateness)
+    return timed.groupBy("item_instance_id").transformWithStateInPandas(
+        TransferTracker(remember_days * 86_400_000), schema, outputMode="Append", timeMode="EventTime")
 
 
 def run_to_table(stream: DataFrame, folder: str) -> DataFrame:
