@@ -152,8 +152,12 @@ class World:
         """Violations of the given rules."""
         return findings.violations([self.rule(i) for i in ids], findings.rule_catalogue(self.spark), self.characters)
 
+    def described(self) -> DataFrame:
+        """All findings with their rule and actor, not numbered."""
+        return findings.described([self.rule(i) for i in RULE_KEYS], findings.rule_catalogue(self.spark), self.characters)
+
     def offenders(self) -> DataFrame:
-        return self.stored("offenders", lambda: findings.offenders(self.found(*RULE_KEYS)))
+        return self.stored("offenders", lambda: findings.offenders(self.described()))
 
     # marts
     def dates(self) -> DataFrame:
@@ -483,7 +487,7 @@ def wrong_price(w: World) -> DataFrame:
 
 @query
 def violations(w: World) -> DataFrame:
-    return plain(w.found(*RULE_KEYS).drop("violation_key"))
+    return plain(w.found(*RULE_KEYS))
 
 
 @query
@@ -500,7 +504,7 @@ def offenders(w: World) -> DataFrame:
 
 @query
 def rule_results(w: World) -> DataFrame:
-    return plain(findings.rule_results(findings.rule_catalogue(w.spark), w.found(*RULE_KEYS)))
+    return plain(findings.rule_results(findings.rule_catalogue(w.spark), w.described()))
 
 
 @query

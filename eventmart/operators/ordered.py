@@ -165,7 +165,7 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 
 
 def number_globally(df: DataFrame, order: Sequence[str], coarse: Column | Sequence[Column], fine: Sequence[str],
-                    into: str) -> DataFrame:
+                    into: str, counted: Column | None = None) -> DataFrame:
     """1, 2, 3, ... over the whole frame along a total order, without sorting it in one task.
 
     `fine` is a prefix of `order`; `coarse` are expressions that never decrease along it, from the
@@ -173,12 +173,13 @@ def number_globally(df: DataFrame, order: Sequence[str], coarse: Column | Sequen
     before. Rows are numbered within each fine group; groups are counted, and their counts summed up
     within each finest slice, the slices within each next coarser one, and so on. Only the last step
     is one task, over one row per coarsest slice. Nothing is sampled, so a recomputed task gives the
-    same numbers.
+    same numbers. `counted` is 1 or 0: a row of 0 has the number of the row before it.
     """
+    one_or_none = F.lit(1) if counted is None else counted
     levels = [coarse] if isinstance(coarse, Column) else list(coarse)
     names = [f"{SLICE}{i}" for i in range(len(levels))]
-    counts = (df.select(*fine, *[c.alias(n) for c, n in zip(levels, names)]).groupBy(*names, *fine)
-                .agg(F.count("*").alias("_n")))
+    counts = (df.select(*fine, *[c.alias(n) for c, n in zip(levels, names)], one_or_none.cast("bigint").alias("_one"))
+                .groupBy(*names, *fine).agg(F.sum("_one").alias("_n")))
     totals = counts
     sums = []
     for i in range(len(names)):
@@ -201,7 +202,7 @@ def number_globally(df: DataFrame, order: Sequence[str], coarse: Column | Sequen
     for c in fine:
         one = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
         match = one if match is None else match & one
-    inside = W.partitionBy(*fine).orderBy(*order)
-    return (df.withColumn("_row", F.row_number().over(inside)).join(groups, match)
+    inside = W.partitionBy(*fine).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    return (df.withColumn("_row", F.sum(one_or_none).over(inside)).join(groups, match)
               .withColumn(into, (F.col("_row") + F.col("_offset")).cast("bigint"))
               .drop("_row", "_offset", *[f"_k_{c}" for c in fine]))

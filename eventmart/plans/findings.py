@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.columns import time_slice
 from eventmart.operators.ordered import number_globally
+from eventmart.session import shared_folder
 
 # Rule id, name, category, severity, rulebook section, description.
 RULE_CATALOGUE = [
@@ -53,38 +55,61 @@ def rules_of(severity: str) -> list[str]:
     return [rule[0] for rule in RULE_CATALOGUE if rule[3] == severity]
 
 
-def violation_key() -> Column:
-    """A key that stays the same however often a violation is found."""
+def violation_key(columns: Sequence[str] = ()) -> Column:
+    """A key that stays the same however often a violation is found: of its rule, evidence and wording.
+
+    `columns` are those of the findings. A burst, whose evidence may be stored in pieces, goes by its first event.
+    """
     ids = F.concat_ws(",", F.col("evidence_event_ids").cast("array<string>"))
+    if "evidence_first" in columns:
+        ids = F.when(F.col("rule_id") == "R01", F.col("evidence_first").cast("string")).otherwise(ids)
     return F.sha2(F.concat_ws("|", "rule_id", ids, "detail"), 256)
 
 
+def described(findings: Iterable[DataFrame], catalogue: DataFrame, characters: DataFrame) -> DataFrame:
+    """All findings in one table with the rule's description, the actor's attributes and a key."""
+    rules = catalogue.select("rule_id", "rule_name", "category", "severity", "rulebook_section")
+    found = (reduce(DataFrame.unionByName, findings)
+             .join(F.broadcast(rules), "rule_id"))  # as many rows as there are rules
+    actors = characters.select(F.col("character_id").alias("_actor"), "account_id", "faction", "class_id")
+    return (found.join(actors, F.col("character_id") == F.col("_actor"), "left")
+                 .withColumn("character_known", F.col("_actor").isNotNull()).drop("_actor")
+                 .withColumn("violation_key", violation_key(found.columns)))
+
+
 def violations(findings: Iterable[DataFrame], catalogue: DataFrame, characters: DataFrame,
                slice_seconds: Sequence[int] = (1, 3600, 30 * 86_400)) -> DataFrame:
-    """All findings in one table with the rule's description, the actor's attributes and an id.
+    """`described` findings with an id; stored in the shared folder first, so that the rules run once.
 
     `violation_id` is the position in time order and changes when rules change;
-    `violation_key` is a hash of what was found and does not. `slice_seconds` are the widths of the
+    `violation_key` is a hash of what was found and does not. Both are those of the whole finding, in how many pieces its
+    evidence may be stored (`evidence_part`). `slice_seconds` are the widths of the
     time slices by which rows are numbered, each a multiple of the one before.
     """
-    rules = catalogue.select("rule_id", "rule_name", "category", "severity", "rulebook_section")
-    found = (reduce(DataFrame.unionByName, findings)
-             .join(F.broadcast(rules), "rule_id"))  # as many rows as there are rules
-    order = ["occurred_at", "rule_id", "character_id", "evidence_event_ids", "detail"]
-    actors = characters.select(F.col("character_id").alias("_actor"), "account_id", "faction", "class_id")
+    spark = catalogue.sparkSession
+    every = described(findings, catalogue, characters)
+    folder = f"{shared_folder(spark)}/findings-{uuid.uuid4().hex}"
+    every.write.parquet(folder)
+    every = spark.read.schema(every.schema).parquet(folder)
+    order = ["occurred_at", "rule_id", "character_id", "evidence_first", "evidence_part", "evidence_event_ids", "detail"]
     slices = [time_slice("occurred_at", s) for s in slice_seconds]
-    numbered = (number_globally(found, order, slices, order[:3], "violation_id")
-                .join(actors, F.col("character_id") == F.col("_actor"), "left")
-                .withColumn("character_known", F.col("_actor").isNotNull())
-                .withColumn("violation_key", violation_key()))
-    return numbered.select(
+    whole = F.when(F.col("evidence_part") == 0, 1).otherwise(0)
+    return number_globally(every, order, slices, order[:3], "violation_id", whole).select(
         "violation_id", "violation_key", "rule_id", "rule_name", "category", "severity", "rulebook_section",
         "character_id", "account_id", "faction", "class_id", "occurred_at", "encounter_id", "detail",
         "evidence_event_ids", "evidence_server_event_ids", "evidence_part", "character_known")
 
 
+def evidence(found: DataFrame) -> DataFrame:
+    """A row per piece of evidence: whose violation, at which place in its stored list, which event."""
+    pieces = F.posexplode(F.arrays_zip("evidence_event_ids", "evidence_server_event_ids")).alias("place", "_e")
+    return found.select("violation_id", "violation_key", "evidence_part", pieces).select(
+        "violation_id", "violation_key", "evidence_part", "place", F.col("_e.evidence_event_ids").alias("event_id"),
+        F.col("_e.evidence_server_event_ids").alias("server_event_id"))
+
+
 def offenders(found: DataFrame, min_rules: int = 3, decisive: str = "high") -> DataFrame:
-    """One row per known character: how many violations, of which rules, when.
+    """One row per known character: how many violations, of which rules, when; of `described` findings or of `violations`.
 
     Confirmed means a rule of the decisive severity or at least `min_rules` different rules.
     The set of rules is bounded by the catalogue; further evidence rows of one burst count once.

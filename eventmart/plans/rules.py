@@ -19,19 +19,21 @@ from eventmart.operators.ordered import HOT_ROWS, Hot, with_previous
 from eventmart.operators.quality import first_known
 
 FINDING = ["rule_id", "character_id", "occurred_at", "encounter_id", "detail",
-           "evidence_event_ids", "evidence_server_event_ids", "evidence_part"]
+           "evidence_event_ids", "evidence_server_event_ids", "evidence_part", "evidence_first"]
 HOUR = 3600
 
 
 def finding(df: DataFrame, rule: str, detail: Column, event_ids: Column, server_ids: Column,
             character: str | Column = "character_id", at: str | Column = "event_ts_utc",
-            encounter: str | Column | None = None, part: Column | None = None) -> DataFrame:
+            encounter: str | Column | None = None, part: Column | None = None, first: Column | None = None) -> DataFrame:
+    """One row per finding. `part` and `first` (the smallest event id) are for one whose evidence is spread over several rows."""
     no_text = F.lit(None).cast("string")
     return df.select(
         F.lit(rule).alias("rule_id"), col(character).alias("character_id"), col(at).alias("occurred_at"),
         (no_text if encounter is None else col(encounter)).alias("encounter_id"), detail.alias("detail"),
         event_ids.alias("evidence_event_ids"), server_ids.alias("evidence_server_event_ids"),
-        (F.lit(0) if part is None else part).cast("int").alias("evidence_part"))
+        (F.lit(0) if part is None else part).cast("int").alias("evidence_part"),
+        (F.element_at(event_ids, 1) if first is None else first).alias("evidence_first"))
 
 
 def own_evidence() -> tuple[Column, Column]:
@@ -88,28 +90,28 @@ def unjudged_hits(events: DataFrame, characters: DataFrame, abilities: DataFrame
 def burst_damage(hits: DataFrame, part_rows: int = 50_000) -> DataFrame:
     """Several hits of one character in one encounter at one instant.
 
-    Bursts are found with a hash aggregate; only their hits come back for the evidence. The id
-    lists of a monstrous burst are spread over several rows (`evidence_part` 0, 1, ...) of about
-    `part_rows` ids each, all with the totals of the whole burst.
+    Bursts are found with a hash aggregate; only their hits come back for the evidence. A burst is one finding
+    of any size: its id lists are stored in pieces of about `part_rows` ids (`evidence_part` 0, 1, ...; piece 0 has the
+    first event), all with the totals and the first event of the whole burst, by which it is numbered and named.
     """
     key = ["character_id", "encounter_id", "event_ts_utc"]
     target = F.coalesce("target_character_id", "target_creature_id")
     named = F.when(target.isNotNull(), F.col("event_id"))
     bursts = (hits.groupBy(*key)
-                  .agg(F.count("*").alias("n"), F.sum("damage").alias("total"),
+                  .agg(F.count("*").alias("n"), F.sum("damage").alias("total"), F.min("event_id").alias("first"),
                        F.min_by(target, named).alias("target")).where(F.col("n") > 1))
     # equality keeps the join hashable; a NULL key matches nothing, so NULLs become one marker value
     marked = [F.coalesce(F.col(k).cast("string"), F.lit("\x00")).alias(f"_m_{k}") for k in key]
     own = hits.select("event_id", "server_event_id", *marked)
     whole = bursts.select("*", *marked, F.ceil(F.col("n") / part_rows).alias("_parts"))
     members = own.join(whole, [f"_m_{k}" for k in key]).withColumn(
-        "_part", F.pmod(F.xxhash64("event_id"), F.col("_parts")).cast("int"))
+        "_part", F.when(F.col("event_id") == F.col("first"), 0).otherwise(F.pmod(F.xxhash64("event_id"), F.col("_parts"))).cast("int"))
     pair = F.array_sort(F.collect_list(F.struct("event_id", "server_event_id")))
     lists = members.groupBy(*[f"_m_{k}" for k in key], "_part").agg(
-        pair.alias("_e"), *[F.any_value(c).alias(c) for c in [*key, "n", "total", "target"]])
+        pair.alias("_e"), *[F.any_value(c).alias(c) for c in [*key, "n", "total", "target", "first"]])
     detail = text_of(F.col("n"), " hits at the same instant, ", F.col("total"), " damage on ", F.col("target"))
     return finding(lists, "R01", detail, F.col("_e.event_id"), F.col("_e.server_event_id"),
-                   encounter="encounter_id", part=F.col("_part"))
+                   encounter="encounter_id", part=F.col("_part"), first=F.col("first"))
 
 
 def item_duplication(custody: DataFrame, slice_seconds: int = 86_400, hot: Hot = HOT_ROWS) -> DataFrame:

@@ -162,7 +162,7 @@ def write_new_alerts(batch: DataFrame, batch_id: int, table: str) -> None:
     are looked up; the driver holds one date for each of them.
     """
     day = alert_day(batch.columns)
-    keyed = batch.withColumn("violation_key", violation_key()).dropDuplicates(["violation_key"]).withColumn("day", day)
+    keyed = batch.withColumn("violation_key", violation_key(batch.columns)).dropDuplicates(["violation_key"]).withColumn("day", day)
     days = [r.day for r in batch.select(day.alias("day")).distinct().collect()]
     known = batch.sparkSession.read.parquet(table).where(
         (F.col("batch_id") < batch_id) & F.col("day").isin(days)).select("violation_key")

@@ -34,7 +34,8 @@ def test_r01_monstrous_burst_keeps_all_evidence_in_parts(events):
     assert sorted(i for r in out for i in r.evidence_event_ids) == list(range(1, 301))
     assert len(out) > 1 and max(len(r.evidence_event_ids) for r in out) < 120
     assert {r.detail for r in out} == {"300 hits at the same instant, 3000 damage on x"}
-    assert [r.evidence_part for r in out].count(0) == 1
+    assert [r.evidence_part for r in out].count(0) == 1 and {r.evidence_first for r in out} == {1}
+    assert 1 in next(r.evidence_event_ids for r in out if r.evidence_part == 0)
 
 
 def test_r02_second_transfer_without_holding(events):
@@ -211,8 +212,8 @@ def test_r12_and_r13(spark, events):
 
 def found(spark, *specs):
     schema = ("rule_id string, character_id string, occurred_at timestamp, encounter_id string, detail string, "
-              "evidence_event_ids array<bigint>, evidence_server_event_ids array<string>, evidence_part int")
-    return spark.createDataFrame([(r, c, at(t), None, "d", [i], [f"s{i}"], part) for i, (r, c, t, part) in enumerate(specs)], schema)
+              "evidence_event_ids array<bigint>, evidence_server_event_ids array<string>, evidence_part int, evidence_first bigint")
+    return spark.createDataFrame([(r, c, at(t), None, "d", [i], [f"s{i}"], part, i - part) for i, (r, c, t, part) in enumerate(specs)], schema)
 
 
 def test_violations_offenders_results(spark, people):
@@ -220,9 +221,11 @@ def test_violations_offenders_results(spark, people):
               ("R01", "c", 1, 0), ("R01", "c", 1, 1), ("R01", "ghost", 0, 0), ("R03", None, 9, 0))
     cat = findings.rule_catalogue(spark)
     v = findings.violations([f], cat, people)
-    assert [r.violation_id for r in v.orderBy("occurred_at", "rule_id", "character_id", "evidence_event_ids").collect()] == list(range(1, 10))
+    assert [r.violation_id for r in v.orderBy("occurred_at", "rule_id", "character_id", "evidence_event_ids").collect()] == [1, 2, 2, 3, 4, 5, 6, 7, 8]
     assert rows(v.where("NOT character_known"), "character_id") == [("ghost",), (None,)]
-    assert v.select("violation_key").distinct().count() == 9
+    assert v.select("violation_key").distinct().count() == 8
+    assert rows(findings.evidence(v).where("violation_id = 2"), "evidence_part", "place", "event_id", "server_event_id") == [(0, 0, 5, "s5"), (1, 0, 6, "s6")]
+    assert rows(findings.offenders(v)) == rows(findings.offenders(findings.described([f], cat, people)))
     o = {r.character_id: r for r in findings.offenders(v).collect()}
     assert set(o) == {"a", "b", "c"}
     assert [(o[c].confirmed_cheater, o[c].distinct_rules, o[c].violations) for c in "abc"] == [(True, 3, 3), (False, 2, 2), (True, 1, 1)]
@@ -232,6 +235,17 @@ def test_violations_offenders_results(spark, people):
     assert sum(n for n, _ in res.values()) == 8
 
 
+def test_a_burst_is_one_violation_of_any_size(spark, events, people):
+    """Ids and keys don't depend on how many rows the evidence of a burst is stored in."""
+    hits = events(*[hit("a", None, 5) for _ in range(100)], hit("a", "f", 5), hit("a", "f", 5), hit("b", "g", 1), hit("b", "g", 1))
+    cat = findings.rule_catalogue(spark)
+    plain, cut = (findings.violations([rules.burst_damage(hits, part_rows=n)], cat, people) for n in (50_000, 7))
+    assert plain.count() == 3 and cut.count() > 10
+    names = ["violation_id", "violation_key", "character_id", "detail"]
+    assert rows(plain.select(*names)) == rows(cut.select(*names).distinct())
+    assert rows(findings.evidence(plain), "violation_id", "event_id") == rows(findings.evidence(cut), "violation_id", "event_id")
+
+
 def test_lineage_finds_the_delivered_rows(spark, people):
     raw = spark.createDataFrame([(0, "s0", "x", 1, "b", "f", "e", at(0), "{}"), (5, "s5", "x", 2, "b", "f", "e", at(0), "{}")],
                                 "event_id bigint, server_event_id string, server_id string, shard_seq bigint, source_batch_id string, "
