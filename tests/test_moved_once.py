@@ -17,6 +17,23 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_findings_are_counted_before_their_actor_is_looked_up(spark):
+    schema = ("rule_id string, character_id string, occurred_at timestamp, encounter_id string, detail string, evidence_event_ids array<bigint>, "
+              "evidence_server_event_ids array<string>, evidence_part int, evidence_first bigint")
+    given = [("R03", "a"), ("R03", "a"), ("R01", "b"), ("R04", "twice"), ("R05", "twice"), ("R05", "ghost"), ("R05", None)]
+    found = [spark.createDataFrame([(r, c, None, None, "d", [i], [f"s{i}"], part, i) for i, (r, c) in enumerate(given) for part in (0, 1)], schema)
+             .withColumn("occurred_at", F.timestamp_seconds("evidence_first"))]
+    people = spark.createDataFrame([("a", "x", "red", "m"), ("b", "x", None, "m"), ("twice", "x", "red", "m"), ("twice", "x", "red", "m"),
+                                    ("twice", "y", "red", "m")], "character_id string, account_id string, faction string, class_id string")
+    cat = findings.rule_catalogue(spark)
+    tally, each = findings.tallied(found, cat, people), findings.described(found, cat, people)
+    assert tally.count() == 10 and each.count() == 22
+    assert rows(findings.offenders(tally)) == rows(findings.offenders(each))
+    assert rows(findings.rule_results(cat, tally)) == rows(findings.rule_results(cat, each))
+    got = {(o.character_id, o.account_id): (o.violations, o.distinct_rules, o.high_severity) for o in findings.offenders(tally).collect()}
+    assert got == {("a", "x"): (2, 1, 0), ("b", "x"): (1, 1, 1), ("twice", "x"): (4, 2, 0), ("twice", "y"): (2, 2, 0)}
+
+
 def test_quantiles_read_their_input_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
