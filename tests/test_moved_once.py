@@ -17,6 +17,33 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture()
+def moves(events):
+    def give(who, to, t, item="i"):
+        return dict(event_type="trade_completed", items_given=[item], character_id=who, counterpart_character_id=to, t=t)
+
+    return history.item_moves(events(give("a", "b", 0), give("a", "c", 5), give("c", "d", 6), give("a", "b", 7), give("d", "a", 8, "j"),
+                                     dict(event_type="item_looted", item_instance_id="i", character_id="z", t=6.5)))
+
+
+def test_custody_is_sorted_once_by_item(moves, tmp_path):
+    cold = measure_hot_keys(moves, ["item_instance_id"], f"{tmp_path}/hot")
+    chain = history.custody_chain(moves, hot=cold)
+    assert len(re.findall(r"\bSort \[", plan(chain))) == len(re.findall(r"Exchange hashpartitioning", plan(chain))) == 1
+    for hot in (0, 2_000_000):
+        assert rows(history.custody_chain(moves, slice_seconds=2, hot=hot), *chain.columns) == rows(chain)
+
+
+def test_last_given_needs_no_further_move(moves, tmp_path):
+    cold = measure_hot_keys(moves, ["item_instance_id"], f"{tmp_path}/hot")
+    chain = history.custody_chain(moves, hot=cold)
+    kept = history.with_last_given(chain, hot=cold)
+    assert plan(kept).count("Exchange hashpartitioning") == 1
+    found = rows(rules.item_duplication(kept, hot=cold), "character_id", "evidence_event_ids", "detail")
+    assert found and found == rows(rules.item_duplication(chain, hot=cold), "character_id", "evidence_event_ids", "detail")
+    assert kept.where("giver IS NULL AND last_given IS NOT NULL").isEmpty()
+
+
 def test_findings_are_counted_before_their_actor_is_looked_up(spark):
     schema = ("rule_id string, character_id string, occurred_at timestamp, encounter_id string, detail string, evidence_event_ids array<bigint>, "
               "evidence_server_event_ids array<string>, evidence_part int, evidence_first bigint")
