@@ -44,6 +44,14 @@ def test_last_given_needs_no_further_move(moves, tmp_path):
     assert kept.where("giver IS NULL AND last_given IS NOT NULL").isEmpty()
 
 
+def test_trade_sides_are_moved_once_by_trade(events, spark):
+    people = spark.createDataFrame([("a", "red"), ("b", "blue")], "character_id string, faction string")
+    side = dict(event_type="trade_completed", trade_id="t", zone_id="z", t=0)
+    out = rules.illegal_trade(events(side | dict(character_id="a"), side | dict(character_id="b")), people)
+    assert plan(out).count("Exchange hashpartitioning(trade_id") == 1
+    assert rows(out, "character_id", "evidence_event_ids") == [("a", [1, 2])]
+
+
 def test_findings_are_counted_before_their_actor_is_looked_up(spark):
     schema = ("rule_id string, character_id string, occurred_at timestamp, encounter_id string, detail string, evidence_event_ids array<bigint>, "
               "evidence_server_event_ids array<string>, evidence_part int, evidence_first bigint")
@@ -61,6 +69,16 @@ def test_findings_are_counted_before_their_actor_is_looked_up(spark):
     assert got == {("a", "x"): (2, 1, 0), ("b", "x"): (1, 1, 1), ("twice", "x"): (4, 2, 0), ("twice", "y"): (2, 2, 0)}
 
 
+def test_stored_findings_hold_no_key(spark, events):
+    people = spark.createDataFrame([("a", "x", "red", "m")], "character_id string, account_id string, faction string, class_id string")
+    hit = dict(event_type="pve_damage_dealt", character_id="a", encounter_id="e", damage=1, t=0)
+    given = [rules.burst_damage(events(hit, hit))], findings.rule_catalogue(spark), people
+    out = findings.violations(*given)
+    files = [f for f in out.inputFiles() if "findings-" in f]
+    assert files and "violation_key" not in spark.read.parquet(*files).columns
+    assert out.first().violation_key == findings.described(*given).first().violation_key
+
+
 def test_quantiles_read_their_input_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
