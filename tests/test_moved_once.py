@@ -112,3 +112,13 @@ def test_fights_add_up_no_text_before_they_are_moved(spark, events, tmp_path):
     assert rows(done, *names) == [("pve", "k", "boss", "victory", 9.0, 9, 7)]
     assert rows(kills, "creature_id", "participants", "fight_duration_s") == [("k", 1, 9.0)]
     assert rows(facts.encounter_participation(log, creatures, levels, hot=0), *names) == rows(done, *names)
+
+
+def test_the_chain_alone_is_not_stored(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    w = entry.World(spark, "/root/testdata/sf0.001")
+    stored = []
+    monkeypatch.setattr(entry.World, "stored", lambda self, name, build, partition_by=None: stored.append(name) or build())
+    chain = entry.REGISTRY["custody_chain"](w)
+    assert not stored and rows(chain) == rows(entry.plain(w.custody(), *chain.columns)) and stored == ["custody"]
