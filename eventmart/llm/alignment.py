@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from eventmart.llm.common import store
-from eventmart.llm.tokens import Ids, byte_level_tokens, file_bytes, json_encode, json_tokenizer, lasting, sentence_piece_tokens, stretches
+from eventmart.llm.tokens import KEPT, LONGEST, Numbers, byte_level_tokens, file_bytes, json_encode, json_tokenizer, lasting, sentence_piece_tokens, stretches
 
 WINDOW = 1_000_000  # characters aligned at once; a longer text goes through in several windows
 BROADCAST_ROWS = 500_000  # id pairs that are sent to all tasks; more are joined by a shuffle
@@ -39,7 +39,11 @@ class Aligned:
 
 
 class Aligner:
-    """Tokenizes texts both ways, finds overlaps and common ends; lives in one task."""
+    """Tokenizes texts both ways, finds overlaps and common ends; lives in one task.
+
+    Both tokenizers cut where a stretch ends, so a text's alignment is that of its stretches, one after the other. Each stretch is
+    aligned when it is first met; texts add up what is kept of theirs.
+    """
 
     def __init__(self, model_a: bytes, model_b: bytes, digest: bool) -> None:
         import sentencepiece
@@ -51,15 +55,40 @@ class Aligner:
         encode = json_encode(tokenizer)
         self.encode_a, self.encode_b = (lambda parts: encode([" " + p for p in parts])), (lambda parts: pieces.encode(parts, num_threads=1))
         self.names_a = np.array([f"{i}{mark}" for i in range(len(self.bytes_a)) for mark in ",|"], dtype=object)
-        self.names_b = np.array([f"{i}{mark}" for i in range(self.size_b) for mark in ",;"], dtype=object)
-        self.known = Ids(self.both)
-
-    def both(self, parts: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """Ids of A and of B of each stretch, as little-endian 32-bit numbers; None where the tokens don't give it back."""
+        self.names_b = np.array([f"{i}{mark}" for i in range(self.size_b) for mark in ",;\n"], dtype=object)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.size = Numbers(), 0
+        self.said: list[bytes] = []  # the groups of each stretch, written
+        self.counts = np.empty((0, 5), dtype=np.int32)  # of each: n_a, n_b, n_groups, n_links, whether the tokens don't give it back
+        self.starts = np.empty(0, dtype=np.int64)  # of each: its first link in `pairs`
+        self.pairs = np.empty(0, dtype=np.int64)
+
+    def learn(self) -> None:
+        """Align the stretches that have a number only."""
+        parts, self.known.new = self.known.new, []
+        if not parts:
+            return
+        self.size += sum(map(len, parts))
         texts = [(" " + p).encode() for p in parts]
         a = self.faithful(texts, list(self.encode_a(parts)), self.bytes_a, self.len_a)
         b = self.faithful(texts, self.encode_b(parts), self.bytes_b, self.len_b)
-        return [None if x is None or y is None else (x, y) for x, y in zip(a, b)]
+        kept = [m for m, (x, y) in enumerate(zip(a, b)) if x is not None and y is not None]
+        counts, said = np.zeros((len(parts), 5), dtype=np.int32), [b""] * len(parts)
+        counts[:, 4] = 1
+        if kept:
+            found, written, pairs = self.overlaps([a[m] for m in kept], [b[m] for m in kept])
+            counts[kept, :4], counts[kept, 4] = found, 0
+            for m, w in zip(kept, written):
+                said[m] = w
+            self.pairs, at = np.concatenate([self.pairs, pairs]), self.pairs.size
+        else:
+            at = self.pairs.size
+        ends = np.cumsum(counts[:, 3], dtype=np.int64)
+        self.starts = np.concatenate([self.starts, at + ends - counts[:, 3]])
+        self.counts = np.concatenate([self.counts, counts])
+        self.said += said
 
     @staticmethod
     def faithful(texts: list[bytes], found: list[list[int]], token: list[bytes], lengths: np.ndarray) -> list[bytes | None]:
@@ -89,73 +118,79 @@ class Aligner:
 
     def align(self, part: list[tuple[int, list[str]]], out: list[Aligned | None]) -> None:
         """Add windows (document, stretches) to their documents."""
-        self.known.learn(itertools.chain.from_iterable(p for _, p in part))
-        ids: tuple[list[bytes], list[bytes]] = ([], [])
-        kept = []
-        for k, cut in part:
-            if out[k] is None:
-                continue
-            found = list(map(self.known.__getitem__, cut))
-            if None in found:
+        if len(self.known) > KEPT or self.size > KEPT * LONGEST // 4:
+            self.forget()
+        if not part:
+            return
+        listed = list(map(self.known.__getitem__, itertools.chain.from_iterable(p for _, p in part)))
+        self.learn()
+        numbers, ends = np.array(listed), np.cumsum([0, *(len(p) for _, p in part)])
+        each = self.counts[numbers]
+        sums = np.add.reduceat(each, ends[:-1], axis=0, dtype=np.int64)
+        links = each[:, 3].astype(np.int64)
+        at = np.arange(links.sum()) + np.repeat(self.starts[numbers] - np.cumsum(links) + links, links)
+        span = len(self.bytes_a) * self.size_b
+        keys, times = np.unique(np.repeat(np.arange(len(part)) * span, sums[:, 3]) + self.pairs[at], return_counts=True)
+        bounds = np.searchsorted(keys, np.arange(len(part) + 1) * span)
+        for m, (k, _) in enumerate(part):
+            n_a, n_b, n_groups, n_links, broken = sums[m].tolist()
+            if broken:
                 out[k] = None
+            x = out[k]
+            if x is None:
                 continue
-            kept.append(k)
-            for side, x in zip(ids, zip(*found)):
-                side.append(b"".join(x))
-        still = [m for m, k in enumerate(kept) if out[k] is not None]
-        if still:
-            self.overlaps([kept[m] for m in still], [ids[0][m] for m in still], [ids[1][m] for m in still], out)
-
-    def overlaps(self, kept: list[int], ids_a: list[bytes], ids_b: list[bytes], out: list[Aligned | None]) -> None:
-        """Each token's start finds the token of the other side that covers it; both directions together are all overlaps."""
-        n = len(kept)
+            own, often = keys[bounds[m] : bounds[m + 1]] - m * span, times[bounds[m] : bounds[m + 1]]
+            if x.keys is None:
+                x.keys, x.times = own, often
+            else:  # a further window of a long text
+                x.keys, place = np.unique(np.r_[x.keys, own], return_inverse=True)
+                x.times = np.bincount(place, weights=np.r_[x.times, often]).astype(np.int64)
+            said = b";".join(map(self.said.__getitem__, listed[ends[m] : ends[m + 1]]))
+            if self.digest:
+                x.digest.update(b";" + said if x.n_groups else said)
+            else:
+                x.text.append(said)
+            x.n_a, x.n_b, x.n_groups, x.n_links = x.n_a + n_a, x.n_b + n_b, x.n_groups + n_groups, x.n_links + n_links
+
+    def overlaps(self, ids_a: list[bytes], ids_b: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+        """Of each stretch its counts (n_a, n_b, n_groups, n_links) and its groups, written; the linked id pairs, stretch by stretch.
+
+        Each token's start finds the token of the other side that covers it; both directions together are all overlaps. Places
+        are counted on from stretch to stretch: both sides have the same bytes in each.
+        """
+        n = len(ids_a)
         count_a, count_b = (np.array([len(x) // 4 for x in side]) for side in (ids_a, ids_b))
         a, b = (np.frombuffer(b"".join(side), dtype="<u4").astype(np.int64) for side in (ids_a, ids_b))
         end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        doc_a, doc_b = np.repeat(np.arange(n), count_a), np.repeat(np.arange(n), count_b)
-        left = pd.DataFrame({"at": end_a - self.len_a[a], "doc": doc_a, "i": np.arange(len(a))})
-        right = pd.DataFrame({"at": end_b - self.len_b[b], "doc": doc_b, "j": np.arange(len(b))})
-        from_a = pd.merge_asof(left, right, on="at", by="doc")
-        from_b = pd.merge_asof(right, left, on="at", by="doc")
-        cover_a, cover_b = from_a["j"].to_numpy().astype(np.int64), from_b["i"].to_numpy().astype(np.int64)
+        stretch_a = np.repeat(np.arange(n), count_a)
+        left = pd.DataFrame({"at": end_a - self.len_a[a], "i": np.arange(len(a))})
+        right = pd.DataFrame({"at": end_b - self.len_b[b], "j": np.arange(len(b))})
+        cover_a = pd.merge_asof(left, right, on="at")["j"].to_numpy().astype(np.int64)
+        cover_b = pd.merge_asof(right, left, on="at")["i"].to_numpy().astype(np.int64)
         start_a, start_b = left["at"].to_numpy(), right["at"].to_numpy()
         same_a, same_b = start_b[cover_a] == start_a, start_a[cover_b] == start_b
         more = np.flatnonzero(~same_b)  # equal starts are met from either side
         i, j = np.r_[np.arange(len(a)), cover_b[more]], np.r_[cover_a, more]
-        doc = doc_a[i]
-        links = np.bincount(doc, minlength=n)
-        keys, times = np.unique((doc * len(self.bytes_a) + a[i]) * self.size_b + b[j], return_counts=True)
-        span = len(self.bytes_a) * self.size_b
-        bounds = np.searchsorted(keys, np.arange(n + 1) * span)
-
+        order = np.argsort(i, kind="stable")
+        pairs = (a[i] * self.size_b + b[j])[order]
         last_a, last_b = np.r_[same_a[1:], True], np.r_[same_b[1:], True]  # a token ends where the next one starts
-        groups = np.bincount(doc_a[last_a], minlength=n)
-        written = self.written(a, b, last_a, last_b)
-        places = np.r_[0, np.cumsum(count_a + count_b)]
-        for m, k in enumerate(kept):
-            x = out[k]
-            x.n_a, x.n_b, x.n_groups, x.n_links = x.n_a + int(count_a[m]), x.n_b + int(count_b[m]), x.n_groups + int(groups[m]), x.n_links + int(links[m])
-            own, often = keys[bounds[m] : bounds[m + 1]] - m * span, times[bounds[m] : bounds[m + 1]]
-            if x.keys is None:
-                x.keys, x.times = own, often
-            else:  # a further window of a long text
-                x.keys, place = np.unique(np.r_[x.keys, own], return_inverse=True)
-                x.times = np.bincount(place, weights=np.r_[x.times, often]).astype(np.int64)
-            said = "".join(written[places[m] : places[m + 1]].tolist())
-            x.text.append(said)
-            if self.digest:  # all but the last mark, which only a further window makes part of the text
-                x.digest.update("".join(x.text)[:-1].encode())
-                x.text = [said[-1]]
-
-    def written(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> np.ndarray:
-        """Ids with the mark that follows each, group by group: those of the first tokenizer, then those of the second."""
+        counts = np.column_stack([count_a, count_b, np.bincount(stretch_a[last_a], minlength=n), np.bincount(stretch_a[i], minlength=n)])
+        return counts, self.written(a, b, last_a, last_b, np.cumsum(count_b) - 1), pairs
+
+    def written(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray, closing: np.ndarray) -> list[bytes]:
+        """Each stretch's ids with the mark that follows each, group by group: those of the first tokenizer, then those of the second.
+
+        `closing` has the places in `b` where stretches end.
+        """
         group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         before_a = np.r_[0, np.cumsum(np.bincount(group_b, minlength=int(last_a.sum())))]  # tokens b in earlier groups
         before_b = np.cumsum(np.bincount(group_a, minlength=int(last_a.sum())))  # tokens a up to and with the group
+        mark_b = last_b.astype(np.int64)
+        mark_b[closing] = 2
         out = np.empty(len(a) + len(b), dtype=object)
         out[np.arange(len(a)) + before_a[group_a]] = self.names_a[2 * a + last_a]
-        out[np.arange(len(b)) + before_b[group_b]] = self.names_b[2 * b + last_b]
-        return out
+        out[np.arange(len(b)) + before_b[group_b]] = self.names_b[3 * b + mark_b]
+        return "".join(out.tolist()).encode().split(b"\n")[:-1]
 
     def closed(self, x: Aligned | None) -> Aligned:
         x = x or Aligned()
@@ -164,7 +199,7 @@ class Aligner:
         return x
 
     def groups(self, x: Aligned) -> str:
-        return "" if not x.n_a else x.digest.hexdigest() if self.digest else "".join(x.text)[:-1]
+        return "" if not x.n_a else x.digest.hexdigest() if self.digest else b";".join(x.text).decode()
 
 
 def aligned(docs: DataFrame, model_a: bytes, model_b: bytes, digest: bool) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterable
 KEPT, LONGEST = 700_000, 64
 #: a blank between two characters that no tokenizer takes for white space
 CUT = re.compile("(?<=[^\\s᠎]) (?=[^\\s᠎])")
-ODD = re.compile("(?:^|[\\s᠎]) | (?:[\\s᠎]|$)")
+ODD = re.compile(" (?:(?=[\\s᠎])|(?<=[\\s᠎] )|(?<!. )|\\Z)", re.DOTALL)  # a blank that isn't such, looked for at blanks only
 
 
 def stretches(text: str) -> list[str]:
@@ -25,27 +25,17 @@ def stretches(text: str) -> list[str]:
     return CUT.split(text) if ODD.search(text) else text.split(" ")
 
 
-class Ids(dict):
-    """What `encode` makes of stretches of text (a list of them at a time), kept for those met again."""
+class Numbers(dict):
+    """A number for each stretch of text met, in the order they come; `new` has those not asked for yet by who works on them."""
 
-    def __init__(self, encode: Callable[[list], Iterable]) -> None:
+    def __init__(self) -> None:
         super().__init__()
-        self.encode = encode
-        self.long: list = []
-
-    def learn(self, parts: Iterable) -> None:
-        """Tokenize the stretches that are not known yet, all at once; beyond `KEPT`, forget those not met just now."""
-        for p in self.long:
-            self.pop(p, None)
-        met = set(parts)
-        new = list(met.difference(self))
-        if len(self) + len(new) > KEPT:
-            stay = {p: self[p] for p in met if p in self}
-            self.clear()
-            self.update(stay)
-        self.long = [p for p in new if len(p) > LONGEST]
-        if new:
-            self.update(zip(new, self.encode(new)))
+        self.new: list[str] = []
+
+    def __missing__(self, part: str) -> int:
+        self[part] = number = len(self)
+        self.new.append(part)
+        return number
 
 
 def lasting(make: Callable, *models: bytes):

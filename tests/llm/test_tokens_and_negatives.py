@@ -148,6 +148,23 @@ def test_alignment_in_windows(tokenizers_ab, monkeypatch, digest):
     assert [(x.n_a, x.n_b, x.n_groups, x.n_links, cut.groups(x), dict(zip(x.keys.tolist(), x.times.tolist()))) for x in cut.run(texts)] == want
 
 
+def test_a_stretch_is_aligned_once(tokenizers_ab, monkeypatch):
+    """Texts of words met before cost look-ups only; what was forgotten is learned again, with the same result."""
+    models = [file_bytes(public_tokenizers.path(x)) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    joined, join = [], alignment.pd.merge_asof
+    monkeypatch.setattr(alignment.pd, "merge_asof", lambda left, *rest, **how: joined.append(len(left)) or join(left, *rest, **how))
+    texts = ["some longer text, of words\nmet again and again " * 30 + f"é{k % 3}x" for k in range(60)]
+    aligner = Aligner(*models, False)
+    found = aligner.run(texts)
+    assert found[0].n_a > 200 and sum(joined) < 100
+    monkeypatch.setattr(alignment, "KEPT", 4)
+    monkeypatch.setattr(alignment, "WINDOW", 100)
+    again = Aligner(*models, False)
+    said = [(x.n_a, x.n_b, x.n_groups, x.n_links, again.groups(x), x.keys.tolist(), x.times.tolist()) for x in again.run(texts)]
+    assert said == [(x.n_a, x.n_b, x.n_groups, x.n_links, aligner.groups(x), x.keys.tolist(), x.times.tolist()) for x in found]
+    assert len(again.known) < 100
+
+
 def best_fit_by_force(sizes, capacity):
     rooms = []
     for s in sorted(sizes, reverse=True):
