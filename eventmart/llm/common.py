@@ -13,12 +13,21 @@ from pyspark.sql import functions as F
 from eventmart.session import shared_folder
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+ROWS_A_FILE = 100_000  # of narrow tables whose size is known
+
+
+def store(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back, so that later work starts from files.
 
-    A lost executor then repeats one stage at most, and shuffle files of the job can go.
+    A lost executor then repeats one stage at most, and shuffle files of the job can go. Where it is known about how many `rows` there
+    are, a small table is dealt to a few files before it is written, however many partitions it was made in. Each file costs its writer
+    child processes for permissions on a file system without native calls, and while such a child starts, it has all of the
+    executor's memory in its own account as well.
     """
     spark = df.sparkSession
+    files = shuffle_parts(spark) if rows is None else max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_A_FILE))
+    if files < shuffle_parts(spark):
+        df = df.repartition(files)
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -58,13 +67,13 @@ def running_totals(df: DataFrame, order: list[str], sums: list[str], by: str | N
         *df.columns, *[(F.col(f"_in_{s}") + F.col(f"_b_{s}_base")).alias(f"{s}_end") for s in sums])
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """(node, component) of an undirected graph given as (a, b) of longs: component is its smallest node.
 
     Alternating large-star and small-star steps; each writes its edges to the shared folder. A node
-    with very many neighbours is aggregated map-side and joined back, never gathered.
+    with very many neighbours is aggregated map-side and joined back, never gathered. `rows` is how many edges there are, if known.
     """
-    edges = store(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    edges = store(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges", rows)
     mark = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -76,7 +85,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, F.col("b") == F.col("u")).select(
             F.explode(F.array(F.struct(F.col("m").alias("a"), F.col("a").alias("b")),
                               F.struct(F.col("m").alias("a"), F.col("b").alias("b")))).alias("e")).select("e.a", "e.b")
-        edges = store(small.where("a <> b").distinct(), "edges")
+        edges = store(small.where("a <> b").distinct(), "edges", rows if mark is None else mark[0])
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == mark:
             break

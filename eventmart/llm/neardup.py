@@ -170,11 +170,12 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85, bands: in
     live = store(members.join(shared, "bucket"), "members")
     # a class that agrees with many on many bands is likely what the others were made from
     weight = live.groupBy("rep").agg(F.sum("_n").alias("weight"))
-    touched = store(weight, "touched")
+    touched = store(weight, "touched", signed_rows.count())
     texts_of = docs.join(touched.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     held = store(keyed_texts(texts_of, size).dropDuplicates(["set_key"]).join(reps.select("set_key", "rep"), "set_key").select("rep", "text"), "texts")
+    rows_live = live.count()
     live = live.drop("_n").join(touched, "rep").select("bucket", "rep", "n_shingles", "weight", F.col("rep").alias("label"), F.lit(1).cast("long").alias("n_label"))
-    return finish(signed_rows, classes, link_all(live, held, size, percent))
+    return finish(signed_rows, classes, link_all(live, held, size, percent, rows=rows_live))
 
 
 def rarity(held: DataFrame, size: int, slots: int) -> np.ndarray:
@@ -231,7 +232,7 @@ def by_rare_shingles(live: DataFrame, held: DataFrame, size: int, percent: int,
     return store(rare.join(shared, "bucket", "left_semi").join(members, "rep"), "members")
 
 
-def link_all(live: DataFrame, held: DataFrame, size: int, percent: int, fan: int = 16) -> DataFrame:
+def link_all(live: DataFrame, held: DataFrame, size: int, percent: int, fan: int = 16, rows: int | None = None) -> DataFrame:
     """(node, component) of the links among the members (bucket, rep, n_shingles, weight, label, n_label) of each bucket.
 
     In each round some members of a bucket, its centres, are compared with all others that are not in
@@ -240,7 +241,7 @@ def link_all(live: DataFrame, held: DataFrame, size: int, percent: int, fan: int
     left are dealt anew by the rarest shingles of their sets (see `by_rare_shingles`), so that texts with a
     passage in common that are not alike no longer meet. Rounds then take 1, `fan`, `fan` ** 2 ... centres, so there
     are few of them; members of small components go first, then those of great weight: a group around one
-    original is one component after the first round, and what stands alone beside a group goes before the group.
+    original is one component after the first round, and what stands alone beside a group goes before the group. `rows` is the number of members, if known.
     """
     spark = live.sparkSession
     found = spark.createDataFrame([], "node long, component long")
@@ -252,27 +253,31 @@ def link_all(live: DataFrame, held: DataFrame, size: int, percent: int, fan: int
     while True:
         part = F.pmod(F.xxhash64("rep"), F.lit(centres))
         chosen = F.min(F.struct("n_label", (-F.col("weight")).alias("_w"), "rep", "n_shingles", "pos", "label")).alias("c")
-        stars = store(live.groupBy("bucket", part.alias("_part")).agg(chosen).select("bucket", "c"), "centres")
+        stars = store(live.groupBy("bucket", part.alias("_part")).agg(chosen).select("bucket", "c"), "centres", rows)
         pairs = live.join(stars, "bucket").where((F.col("label") != F.col("c.label")) & near).select(
             F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct()
-        pairs = store(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
-        links = store(confirmed(pairs, held, size, percent), "links")
+        pairs = store(pairs.join(checked, ["a", "b"], "left_anti"), "pairs", rows)
+        links = store(confirmed(pairs, held, size, percent), "links", pairs.count())
         checked = checked.union(pairs)
-        if not links.isEmpty():
-            found = store(components(links.union(found.select(F.col("component").alias("a"), F.col("node").alias("b")))), "components")
+        n_links = links.count()
+        if n_links:
+            n_links += found.count()
+            found = store(components(links.union(found.select(F.col("component").alias("a"), F.col("node").alias("b"))), n_links), "components", 2 * n_links)
         sizes = found.groupBy("component").agg(F.count("*").alias("_size"))
         names = found.join(sizes, "component").select(F.col("node").alias("rep"), "component", "_size")
         rest = live.drop("label", "n_label").join(stars.select("bucket", "c.rep", "c.n_shingles", "c.pos"), me, "left_anti").join(names, "rep", "left").select(
             *me, "weight", F.coalesce("component", "rep").alias("label"), F.coalesce("_size", F.lit(1).cast("long")).alias("n_label"))
-        rest = store(rest, "rest")
+        rest = store(rest, "rest", rows)
         several = rest.groupBy("bucket").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high").select("bucket")
-        live = store(rest.join(several, "bucket", "left_semi"), "members")
-        if live.isEmpty():
+        live = store(rest.join(several, "bucket", "left_semi"), "members", rows)
+        rows = live.count()
+        if not rows:
             return found
         if dealt_anew:
             centres *= fan
         else:
             live, dealt_anew = by_rare_shingles(live, held, size, percent), True
+            rows = live.count()
 
 
 def finish(signed_rows: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from eventmart.llm import decontamination, divergence, licenses, neardup, spans, warc
+from eventmart.llm import common, decontamination, divergence, licenses, neardup, spans, warc
 from eventmart.llm.common import components, words_of
 from eventmart.llm.decontamination import contaminated
 from eventmart.llm.mixing import mix_sources, source_targets
@@ -420,6 +420,36 @@ def test_texts_with_a_passage_in_common_are_not_all_paired(spark, monkeypatch):
     assert made[60] < 60 * 20 and made[120] < 3 * made[60], made
 
 
+def test_small_tables_of_the_rounds_are_few_files(spark, monkeypatch):
+    """However many partitions a round's tables are made in; each file costs its writer time and child processes."""
+    stored, store = [], common.store
+
+    def noted(df, name, *rows):
+        stored.append((name, out := store(df, name, *rows)))
+        return out
+
+    r, texts = random.Random(6), []
+    for k in range(60):
+        words = prose(100, 10 ** 6, seed=k).split()
+        for _ in range(3):
+            words[r.randrange(100)] = f"new{r.randrange(10 ** 9)}"
+            texts.append(" ".join(words))
+    monkeypatch.setattr(common, "store", noted)
+    monkeypatch.setattr(neardup, "store", noted)
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = sorted(neardup.near_duplicates(documents(spark, *texts)).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [r.component_id for r in got] == [p for _, p in linked(texts, 3, 85)]
+    small = [(name, len(t.inputFiles())) for name, t in stored if name in ("touched", "centres", "pairs", "links", "edges", "rest")]
+    assert len(small) > 6 and max(n for _, n in small) <= spark.sparkContext.defaultParallelism, small
+
+
 def test_near_duplicates_odd_input(spark, odd):
     got = neardup.near_duplicates(odd).collect()
     assert len(got) == 10 and all(r.kept and r.component_id is None for r in got if r.doc_id is None)
