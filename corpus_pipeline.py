@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import store, words_of
+from eventmart.llm.common import small_batches, store, words_of
 from eventmart.llm.decontamination import contaminated
 from eventmart.llm.divergence import divergence_rules
 from eventmart.llm.mixing import mix_sources
@@ -22,6 +22,7 @@ from eventmart.llm.sharding import minimax_shards
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the divergence rules keep."""
+    small_batches(spark)
     names = docs.columns
     own = docs.select("text", "lang", *[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(names) if c not in ("text", "lang")])
     kept = divergence_rules(own).where("kept")
@@ -33,12 +34,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows with the same doc_id are one document and stay or go together; rows without doc_id stay.
     """
+    small_batches(spark)
     gone = near_duplicates(docs, size=5, percent=80).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(store(gone, "gone"), F.col("doc_id") == F.col("_gone"), "left_anti")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any item of the benchmark; rows without doc_id stay."""
+    small_batches(spark)
     leaks = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("_leak")).distinct()
     return docs.join(store(leaks, "leaks"), F.col("doc_id") == F.col("_leak"), "left_anti")
 

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import gc
+import re
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmart.session import shared_folder
 
 
 ROWS_A_FILE = 100_000  # of narrow tables whose size is known
+BATCH_BYTES = 4 << 20
 
 
 def store(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
@@ -41,6 +44,24 @@ def free(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on, rows go to Python workers in batches of about 4 MB at most (a lower limit of the session's stays).
+
+    By their number alone (10,000), rows with texts make batches of 20 MB and more, which an executor holds several times: as it
+    writes them, as the worker reads them and as it gets them back.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    value, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", spark.conf.get(key).strip().lower()).groups()
+    if int(value) << 10 * " kmgtp".index(unit or " ") > BATCH_BYTES:
+        spark.conf.set(key, BATCH_BYTES)
+
+
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty table that needs no Python worker, as one made from a list of rows would."""
+    fields = T.StructType.fromDDL(schema).fields
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]).where(F.lit(False))
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import store, texts
+from eventmart.llm.common import empty, store, texts
 
 # words: A-Z in lower case; letters, digits and what lies beyond ASCII
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -232,7 +232,7 @@ def contaminated(
         groups[-1].append(b)
         held += rows_of
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
-    out = docs.sparkSession.createDataFrame([], schema)
+    out = empty(docs.sparkSession, schema)
     for group in groups:
         block_items = numbered.where(F.col("_block").isin(group)).drop("_block")
         vocabulary = block_items.select(word.alias("word")).distinct()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -63,12 +64,13 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 def tally(flush_at: int = 200_000) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Partial counts (lang, kind, token, n) of a task; it never holds more than about `flush_at` entries."""
 
-    def rows(held: dict[str, Counter], classes: dict[str, np.ndarray]) -> pa.RecordBatch:
-        out = [(lang, "word", w, n) for lang, c in held.items() for w, n in c.items()]
-        out += [(lang, "class", name.encode(), int(n)) for lang, c in classes.items() for name, n in zip(CLASSES, c) if n]
-        cols = list(zip(*out)) or [[], [], [], []]
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()),
-                                           pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.int64())], ["lang", "kind", "token", "n"])
+    def rows(held: dict[str, Counter], classes: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        out = chain(((lang, "word", w, n) for lang, c in held.items() for w, n in c.items()),
+                    ((lang, "class", name.encode(), int(n)) for lang, c in classes.items() for name, n in zip(CLASSES, c) if n))
+        while part := list(islice(out, 10_000)):
+            cols = list(zip(*part))
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()),
+                                              pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.int64())], ["lang", "kind", "token", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
@@ -79,9 +81,9 @@ def tally(flush_at: int = 200_000) -> Callable[[Iterator[pa.RecordBatch]], Itera
                 held.setdefault(lang, Counter()).update(text.lower().split())
                 classes[lang] = classes.get(lang, 0) + np.array(class_counts(text), dtype=np.int64)
                 if sum(map(len, held.values())) > flush_at:
-                    yield rows(held, classes)
+                    yield from rows(held, classes)
                     held, classes = {}, {}
-        yield rows(held, classes)
+        yield from rows(held, classes)
 
     return run
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import components, store, texts
+from eventmart.llm.common import components, empty, store, texts
 
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -244,8 +244,7 @@ def link_all(live: DataFrame, held: DataFrame, size: int, percent: int, fan: int
     original is one component after the first round, and what stands alone beside a group goes before the group. `rows` is the number of members, if known.
     """
     spark = live.sparkSession
-    found = spark.createDataFrame([], "node long, component long")
-    checked = spark.createDataFrame([], "a long, b long")
+    found, checked = empty(spark, "node long, component long"), empty(spark, "a long, b long")
     left, left_there = F.col("n_shingles") - F.col("pos"), F.col("c.n_shingles") - F.col("c.pos")
     near = (100 + percent) * F.least(left, left_there) >= percent * (F.col("n_shingles") + F.col("c.n_shingles"))  # else the sets can't be alike enough
     me, live = ["bucket", "rep", "n_shingles", "pos"], live.withColumn("pos", F.lit(0).cast("long"))

@@ -8,6 +8,7 @@ import time
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -450,6 +451,49 @@ def test_small_tables_of_the_rounds_are_few_files(spark, monkeypatch):
     assert len(small) > 6 and max(n for _, n in small) <= spark.sparkContext.defaultParallelism, small
 
 
+def test_stages_send_texts_in_small_batches(spark):
+    """Batches of 10,000 texts, whatever their length, were held several times by each executor."""
+    key, lines = "spark.sql.execution.arrow.maxBytesPerBatch", spark.range(3000).select(F.repeat(F.lit("abcd"), 1000).alias("text")).coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        spark.conf.unset(key)
+        stage(spark, docs, FOLDER)
+        got = lines.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r.n for r in got) == 3000 and max(r.size for r in got) < 4_300_000, (name, got)
+    for mine in ("1m", "70000"):  # a lower limit of the user's stays
+        spark.conf.set(key, mine)
+        common.small_batches(spark)
+        assert spark.conf.get(key) == mine
+    spark.conf.unset(key)
+
+
+def test_reference_counts_leave_in_small_batches():
+    texts = [" ".join(f"w{i}" for i in range(25_000)), "w1 w2 w2", None]
+    got = list(divergence.tally()(iter([pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["en", "en", None])], ["text", "lang"])])))
+    counts = {(r["lang"], r["token"]): r["n"] for b in got for r in b.to_pylist() if r["kind"] == "word"}
+    assert max(b.num_rows for b in got) <= 10_000
+    assert len(counts) == 25_000 and counts["en", b"w2"] == 3 and counts["en", b"w1"] == 2 and counts["en", b"w24999"] == 1
+
+
+def test_empty_tables_need_no_python_workers(spark, monkeypatch):
+    """A table made from an empty list is made by Python workers, with a daemon of their own beside that of the Arrow batches."""
+    docs, bench = (spark.read.parquet(f"{FOLDER}/{name}.parquet") for name in ("documents", "benchmark"))
+    expected = sorted(contaminated(docs, bench).collect()), sorted(neardup.near_duplicates(docs).collect())
+
+    def refuse(*_, **__):
+        raise AssertionError("made from a list")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refuse)
+    assert (sorted(contaminated(docs, bench).collect()), sorted(neardup.near_duplicates(docs).collect())) == expected
+    none = common.empty(spark, "a long, b string")
+    assert none.dtypes == [("a", "bigint"), ("b", "string")] and none.count() == 0
+
+
 def test_near_duplicates_odd_input(spark, odd):
     got = neardup.near_duplicates(odd).collect()
     assert len(got) == 10 and all(r.kept and r.component_id is None for r in got if r.doc_id is None)
