@@ -1,16 +1,20 @@
 """Steps that are alike move, sort and read their rows once, and say the same as before."""
 
 import re
+import time
 
 import pytest
-from conftest import rows
+from conftest import at, rows
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventmart.operators import history
 from eventmart.operators.ordered import measure_hot_keys
 from eventmart.operators.quantiles import exact_quantile
 from eventmart.plans import facts, findings, rules
+from eventmart.session import DROP_SHUFFLES
+from eventmart.sources.landing import materialize
 
 
 def plan(df):
@@ -122,3 +126,93 @@ def test_the_chain_alone_is_not_stored(spark, monkeypatch):
     monkeypatch.setattr(entry.World, "stored", lambda self, name, build, partition_by=None: stored.append(name) or build())
     chain = entry.REGISTRY["custody_chain"](w)
     assert not stored and rows(chain) == rows(entry.plain(w.custody(), *chain.columns)) and stored == ["custody"]
+
+
+def _finding_rows(spark, given):
+    schema = ("rule_id string, character_id string, occurred_at timestamp, encounter_id string, detail string, evidence_event_ids array<bigint>, "
+              "evidence_server_event_ids array<string>, evidence_part int, evidence_first bigint")
+    return spark.createDataFrame([(r, c, None if t is None else at(t), None, f"d{i}", [i], [f"s{i}"], part, i)
+                                  for r, c, t, i, part in given], schema)
+
+
+def test_violations_are_moved_once_and_without_what_their_rule_and_actor_add(spark, tmp_path):
+    found = _finding_rows(spark, [("R01", "a", 5, 1, 0), ("R01", "a", 5, 1, 1), ("R03", "a", 5, 2, 0), ("R03", "a", 5, 3, 0), ("R03", "twice", 5, 4, 0),
+                                  ("R03", "twice", 5, 5, 0), ("R01", "twice", 9, 6, 0), ("R01", "twice", 9, 6, 1), ("R04", None, 9, 7, 0),
+                                  ("R04", "ghost", None, 8, 0), ("R04", None, None, 9, 0), ("R99", "a", 1, 10, 0), ("R05", "a", 90_000, 11, 0)])
+    found.write.parquet(f"{tmp_path}/f")
+    people = spark.createDataFrame([("a", "x", "red", "m"), ("twice", "y", "red", "m"), ("twice", "z", None, "m"), (None, "n", "red", "m")],
+                                   "character_id string, account_id string, faction string, class_id string")
+    cat = findings.rule_catalogue(spark)
+    out = findings.violations([spark.read.parquet(f"{tmp_path}/f")], cat, people, stored=True)
+    moves = [m for m in re.findall(r"Exchange hashpartitioning[^\n]*\n[^\n]*", plan(out)) if "detail" in m]
+    assert len(re.findall(r"Exchange hashpartitioning\(_fine", plan(out))) == 1
+    assert not any("rule_name" in m or "violation_key" in m for m in moves)
+    assert not [f for f in out.inputFiles() if "findings-" in f]
+    order = ["occurred_at", "rule_id", "character_id", "evidence_first", "evidence_part", "detail"]
+    every = findings.described([found], cat, people).withColumn("violation_id", F.sum(F.when(F.col("evidence_part") == 0, 1).otherwise(0)).over(
+        W.orderBy(*order, "account_id").rowsBetween(W.unboundedPreceding, 0)))
+    names = ["violation_key", "rule_name", "occurred_at", "character_id", "faction", "detail", "evidence_part", "character_known"]
+    assert rows(out, *names) == rows(every, *names) and out.count() == 16
+    assert rows(out, "violation_id", "detail", "evidence_part") == rows(every, "violation_id", "detail", "evidence_part")
+    whole = out.where("evidence_part = 0")
+    assert sorted(r[0] for r in whole.select("violation_id").collect()) == list(range(1, 14)) == sorted(
+        r[0] for r in findings.violations([found], cat, people).where("evidence_part = 0").select("violation_id").collect())
+
+
+def test_bound_items_are_read_from_the_chain_stored_with_their_first_equip(spark, events, tmp_path):
+    def give(who, to, t, item):
+        return dict(event_type="trade_completed", items_given=[item], item_instance_id=item, character_id=who, counterpart_character_id=to, t=t)
+
+    log = events(give("a", "b", 0, "i"), give("b", "c", 9, "i"), give("c", "d", 12, "j"), give("a", "b", 13, "free"),
+                 *[dict(event_type="item_equipped", item_instance_id=i, character_id="b", t=t) for i, t in (("i", 7), ("i", 5), ("j", 20))])
+    moves = history.item_moves(log)
+    chain = history.custody_chain(moves, hot=measure_hot_keys(moves, ["item_instance_id"], f"{tmp_path}/hot"))
+    kept = rules.with_first_equip(chain, log)
+    assert kept.count() == 4 and len(re.findall(r"Exchange hashpartitioning\(item_instance_id", plan(kept))) <= 2
+    kept.write.parquet(f"{tmp_path}/kept")
+    out = rules.bound_item_moved(spark.read.parquet(f"{tmp_path}/kept"), log)
+    assert "Exchange" not in plan(out)
+    assert rows(out, "character_id", "evidence_event_ids", "detail") == rows(
+        rules.bound_item_moved(chain, log), "character_id", "evidence_event_ids", "detail") != []
+
+
+@pytest.fixture()
+def small_world(spark, tmp_path):
+    """A folder of sample tables with a few rows, opened as the entry does."""
+    import __spark_entry__ as entry
+
+    tables = {
+        "events": (", ".join(f"({i}, timestamp_seconds({1_704_067_200 + 600 * (i // 3)}), {i % 3 + 1}, '{k}', {i}.5, 'k={i % 4 + 1}')"
+                             for i, k in enumerate(["signup", "click", "view", "click", "purchase", "error", "click"] * 20, start=1)),
+                   "event_id, ts, user_id, event_type, value, props"),
+        "supplier": (", ".join(f"({i}, 'S{i}', {i % 25}, 1.5)" for i in range(1, 6)), "s_suppkey, s_name, s_nationkey, s_acctbal")}
+    for name, (given, columns) in tables.items():
+        spark.sql(f"SELECT * FROM VALUES {given} AS t({columns})").write.parquet(f"{tmp_path}/world/{name}.parquet")
+    return entry.World(spark, f"{tmp_path}/world")
+
+
+def test_awards_are_judged_without_storing_all_events(small_world, monkeypatch):
+    import __spark_entry__ as entry
+
+    w, stored = small_world, []
+    monkeypatch.setattr(entry, "_stored", {})
+    monkeypatch.setattr(entry.World, "stored", lambda self, name, build, partition_by=None: stored.append(name) or build().localCheckpoint())
+    short = rows(w.r("R13"))
+    assert stored == ["award_log"] and short
+    assert short == rows(rules.wrong_amount(w.stg(), w.creatures))
+
+
+def test_files_of_a_shuffle_go_when_the_stored_table_is_written(spark, tmp_path):
+    def moved():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    before, setting = moved(), spark.conf.get(DROP_SHUFFLES, "false")
+    given = spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count()
+    table, n = materialize(given, f"{tmp_path}/t")
+    until = time.time() + 20
+    while moved() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not moved() - before
+    assert n == table.count() == given.count() == 7
+    assert spark.conf.get(DROP_SHUFFLES, "false") == setting
