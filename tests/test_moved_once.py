@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from eventmart.operators import history
 from eventmart.operators.ordered import measure_hot_keys
 from eventmart.operators.quantiles import exact_quantile
-from eventmart.plans import facts, findings, rules
+from eventmart.plans import facts, findings, reports, rules
 from eventmart.session import DROP_SHUFFLES
 from eventmart.sources.landing import materialize
 
@@ -185,7 +185,16 @@ def small_world(spark, tmp_path):
         "events": (", ".join(f"({i}, timestamp_seconds({1_704_067_200 + 600 * (i // 3)}), {i % 3 + 1}, '{k}', {i}.5, 'k={i % 4 + 1}')"
                              for i, k in enumerate(["signup", "click", "view", "click", "purchase", "error", "click"] * 20, start=1)),
                    "event_id, ts, user_id, event_type, value, props"),
-        "supplier": (", ".join(f"({i}, 'S{i}', {i % 25}, 1.5)" for i in range(1, 6)), "s_suppkey, s_name, s_nationkey, s_acctbal")}
+        "supplier": (", ".join(f"({i}, 'S{i}', {i % 25}, 1.5)" for i in range(1, 6)), "s_suppkey, s_name, s_nationkey, s_acctbal"),
+        "customer": (", ".join(f"({i}, 'C{i}', {i % 25}, 1.5)" for i in range(40)), "c_custkey, c_name, c_nationkey, c_acctbal"),
+        "part": (", ".join(f"({i}, 'P{i}', {i % 50 + 1}, 9.5D)" for i in range(1, 12)), "p_partkey, p_name, p_size, p_retailprice"),
+        "nation": (", ".join(f"({i}, 'N{i}', {i % 5})" for i in range(25)), "n_nationkey, n_name, n_regionkey"),
+        "region": (", ".join(f"({i}, 'R{i}')" for i in range(5)), "r_regionkey, r_name"),
+        "orders": (", ".join(f"({i}, {i % 5 + 1}, 10.5, timestamp'2024-01-0{i % 9 + 1}')" for i in range(1, 60)),
+                   "o_orderkey, o_custkey, o_totalprice, o_orderdate"),
+        "lineitem": (", ".join(f"({i // 4}, {i % 4 + 1}, {i % 10 + 1}, {20 + i // 4 % 20}, {i * 7 % 50 + 1}, '{'R' if i % 3 == 0 else 'N'}', "
+                               f"'{'FO'[i % 2]}', timestamp'2024-01-{i % 27 + 1:02d}')" for i in range(4, 900)),
+                     "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus, l_shipdate")}
     for name, (given, columns) in tables.items():
         spark.sql(f"SELECT * FROM VALUES {given} AS t({columns})").write.parquet(f"{tmp_path}/world/{name}.parquet")
     return entry.World(spark, f"{tmp_path}/world")
@@ -216,3 +225,41 @@ def test_files_of_a_shuffle_go_when_the_stored_table_is_written(spark, tmp_path)
     assert not moved() - before
     assert n == table.count() == given.count() == 7
     assert spark.conf.get(DROP_SHUFFLES, "false") == setting
+
+
+def test_fights_are_narrowed_before_their_levels_are_looked_up(spark, events):
+    def fight(enc, who, outcome, t, damage=3):
+        given = dict(encounter_id=enc, character_id=who)
+        return [dict(event_type="encounter_started", encounter_kind="pve", zone_id="z", creature_id="k", t=t, **given),
+                dict(event_type="encounter_ended", outcome=outcome, t=t + 9, **given),
+                *([dict(event_type="pve_damage_dealt", damage=damage, t=t, **given)] if damage else [])]
+
+    log = events(*fight("e", "a", "victory", 0), *fight("f", "a", "defeat", 50), *fight("g", "a", "victory", 99), *fight("h", "a", "victory", 99, None),
+                 *fight("e", "b", "victory", 0)).withColumn("opponent_character_ids", F.lit(None).cast("array<string>"))
+    creatures = spark.createDataFrame([("k", "boss"), ("k", "boss")], "creature_id string, rank string")  # listed twice
+    levels = spark.createDataFrame([("a", at(-9), 7, 1), ("a", at(60), 12, 11)], "character_id string, valid_from timestamp, level int, bracket_min_level int")
+    names = reports.WON_COLUMNS
+    for hot in (0, 2_000_000):
+        whole = facts.encounter_participation(log, creatures, levels, hot=hot)
+        some = facts.encounter_participation(log, creatures, levels, hot=hot, columns=names, only=reports.won_fight())
+        assert some.columns == names
+        assert rows(some) == rows(whole.where(reports.won_fight()).select(*names)) and some.count() == 6
+        stored = [f for f in some.inputFiles() if "/fights-" in f]
+        assert stored and set(spark.read.parquet(*stored).columns) == {"character_id", "started_at", "outcome", "duration_s", "damage_done"}
+
+
+def test_the_report_on_won_fights_stores_no_more_than_it_reads(small_world, monkeypatch):
+    import __spark_entry__ as entry
+
+    w, stored, plain_store = small_world, [], entry.World.stored
+    monkeypatch.setattr(entry, "_stored", {})
+    monkeypatch.setattr(entry.World, "stored", lambda self, name, build, partition_by=None: (
+        stored.append(name), plain_store(self, name, build, partition_by))[1])
+    short = rows(entry.REGISTRY["rate_percentile"](w))
+    assert short and set(stored) == {"levels", "damage", "custody_to_count", "award_log", "won_fights", "offenders", "people"}
+    tally = rows(w.tallied())
+    entry._stored.clear()
+    given = findings.tallied([w.rule(r) for r in entry.RULE_KEYS], findings.rule_catalogue(w.spark), w.characters)
+    assert rows(given) == tally and {"custody", "R10"} <= set(stored)
+    assert rows(entry.plain(reports.dps_percentile(w.fights(), w.people(), min_fights=5))) == short
+    assert {r[0] for r in tally} >= {"R02", "R09", "R13"}
