@@ -263,3 +263,22 @@ def test_the_report_on_won_fights_stores_no_more_than_it_reads(small_world, monk
     assert rows(given) == tally and {"custody", "R10"} <= set(stored)
     assert rows(entry.plain(reports.dps_percentile(w.fights(), w.people(), min_fights=5))) == short
     assert {r[0] for r in tally} >= {"R02", "R09", "R13"}
+
+
+def test_hot_keys_are_counted_by_bucket_first(spark, tmp_path):
+    given = spark.range(6000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE 'k' || id END AS k", "id % 2 AS side")
+    for i, (keys, limit, want) in enumerate([(["k"], 1500, [("hot",), (None,)]), (["k", "side"], 999, [("hot", 0), ("hot", 1), (None, 0), (None, 1)]),
+                                             (["k"], 2000, []), (["k"], 0, None)]):
+        for buckets in (65_536, 2):
+            got = measure_hot_keys(given, keys, f"{tmp_path}/{i}-{buckets}", limit, buckets)
+            assert got.count == got.table.count() == (2002 if want is None else len(want))
+            assert want is None or rows(got.table) == sorted(want, key=str)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    keys = spark.range(0, 4000, 1, 4).selectExpr("'k' || id AS k").mapInArrow(count, "k string")
+    assert measure_hot_keys(keys, ["k"], f"{tmp_path}/none", 1000).count == 0 and seen.value == 4000  # no second reading where nothing is hot
